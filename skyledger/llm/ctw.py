@@ -6,8 +6,10 @@ is half its own estimate and half the product of its children's, at every depth.
 ``P_kt / (2 P_w)`` then mix the estimates of all depths on the path of each coded bit.
 
 The model is never broadcast or collected. Texts are scored in buckets (one per file split): a bucket's distinct
-words and byte n-grams, a small part of its text, are counted, looked up by key in the distributed model, and sent
-back to the bucket. Only the two upper levels of the tree (256 nodes' tables at most) reach the driver.
+words and byte n-grams, a small part of its text, are counted and dealt out by cell (the two nearest context bytes of
+an n-gram, the leading bits of a word's hash), packed so that a row holds a cell's keys. Cells are summed over buckets
+in a tree of bounded fan-in, looked up in, and the answers go back to their buckets. Only the two upper levels of the
+tree (256 nodes' tables at most) reach the driver.
 """
 
 from __future__ import annotations
@@ -26,7 +28,8 @@ END = 0xFF  # no UTF-8 text holds this byte: it stands before and after every te
 WORDS, GRAMS = 0, 1
 END_WORD = np.uint64(xxhash.xxh3_64_intdigest(b"\n")).astype(np.int64)
 HALF = math.log(0.5)
-BUCKETS_PER_GROUP = 64
+FAN_IN = 64  # buckets whose cells meet in one group
+WORD_CELLS = 10  # leading bits of a word's hash
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -75,11 +78,66 @@ def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return k[at], np.add.reduceat(n, at) if len(at) else n
 
 
+def cells_of(kind: int, keys: np.ndarray, depth: int) -> np.ndarray:
+    return (keys.view(np.uint64) >> np.uint64(64 - WORD_CELLS) if kind == WORDS else keys >> 8 * (depth - 1)).astype(np.int32)
+
+
+def sheet(keys: np.ndarray, values: np.ndarray) -> bytes:
+    """Keys (8 bytes each), then their values (8 bytes each)."""
+    return keys.astype(np.int64).tobytes() + values.astype(np.float64).tobytes()
+
+
+def of_sheet(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(blob) // 16
+    return np.frombuffer(blob, np.int64, n), np.frombuffer(blob, np.float64, n, 8 * n)
+
+
+def summed(group: pa.Table) -> pa.Table:
+    """applyInArrow function: the sheets of one cell as one, counts of equal keys added; keys never counted fall out."""
+    keys, counts = zip(*map(of_sheet, group.column("sheet").to_pylist()), strict=True)
+    k, n = merged(list(keys), list(counts))
+    k, n = k[n > 0], n[n > 0]
+    return pa.table({"kind": group.column("kind").slice(0, 1), "cell": group.column("cell").slice(0, 1), "part": group.column("part").slice(0, 1), "sheet": pa.array([sheet(k, n)], pa.binary()), "tokens": pa.array([float(n.sum())]), "distinct": pa.array([len(k)], pa.int64())})
+
+
+class Lookup:
+    """An open-addressing hash table over arrays."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        self.bits = max(4, int(2.5 * len(keys) + 1).bit_length())
+        self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits)
+        left = np.arange(len(keys))
+        place = self.place(keys)
+        while len(left):
+            free = self.keys[place] == -1
+            self.keys[place[free]] = keys[left[free]]
+            won = self.keys[place] == keys[left]
+            self.values[place[won]] = values[left[won]]
+            left, place = left[~won], (place[~won] + 1) & (1 << self.bits) - 1
+
+    def place(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def __call__(self, wanted: np.ndarray) -> np.ndarray:
+        place = self.place(wanted)
+        out, found = self.values[place], self.keys[place]
+        left = np.flatnonzero(found != wanted)
+        place = place[left]
+        while len(left):
+            if (self.keys[place] == -1).any():
+                raise ValueError("the input's splits changed between two reads: a bucket asks for a key that it did not announce")
+            place = (place + 1) & (1 << self.bits) - 1
+            hit = self.keys[place] == wanted[left]
+            out[left[hit]] = self.values[place[hit]]
+            left, place = left[~hit], place[~hit]
+        return out
+
+
 class Tally:
     """Distinct keys of one bucket with how often training texts hold them."""
 
     def __init__(self) -> None:
-        self.keys, self.counts, self.size, self.limit = [], [], 0, 2_000_000
+        self.keys, self.counts, self.size, self.limit = [], [], 0, 1_000_000
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
         self.keys.append(keys)
@@ -87,7 +145,7 @@ class Tally:
         self.size += len(keys)
         if self.size > self.limit:
             k, n = self.done()
-            self.keys, self.counts, self.size, self.limit = [k], [n], len(k), max(2_000_000, 2 * len(k))
+            self.keys, self.counts, self.size, self.limit = [k], [n], len(k), max(1_000_000, 2 * len(k))
 
     def done(self) -> tuple[np.ndarray, np.ndarray]:
         return merged(self.keys, self.counts)
@@ -104,7 +162,7 @@ def counter(depth: int):
             for b in np.unique(bucket):
                 rows = np.flatnonzero(bucket == b)
                 words, tally = found.setdefault(int(b), (Tally(), Tally()))
-                for i, j in chunks(starts[rows], ends[rows]):
+                for i, j in chunks(starts[rows], ends[rows], 1_500_000):
                     part = rows[i:j]
                     keys, row = grams(data, starts[part], ends[part], depth)
                     keys = keys << np.uint64(1) | train[part][row].astype(np.uint64)
@@ -120,9 +178,14 @@ def counter(depth: int):
                         words.add(np.append(hashes[at], END_WORD), np.append(times, len(own)) * learned)
         for b, (words, tally) in found.items():
             for kind, (keys, counts) in ((WORDS, words.done()), (GRAMS, tally.done())):
-                for i in range(0, len(keys), 200_000):
-                    k = keys[i : i + 200_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), b, np.int64)), pa.array(np.full(len(k), kind, np.int8)), pa.array(k), pa.array(counts[i : i + 200_000])], names=["bucket", "kind", "key", "n"])
+                cell = cells_of(kind, keys, depth)
+                order = np.argsort(cell, kind="stable")
+                keys, counts, cell = keys[order], counts[order], cell[order]
+                at = runs(cell)
+                blobs = [sheet(keys[i:j], counts[i:j]) for i, j in zip(at, np.append(at[1:], len(cell)), strict=True)]
+                for i in range(0, len(at), 500):
+                    n = len(at[i : i + 500])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int8)), pa.array(cell[at[i : i + 500]]), pa.array(np.full(n, b, np.int64)), pa.array(blobs[i : i + 500], pa.binary())], names=["kind", "cell", "bucket", "sheet"])
 
     return count
 
@@ -170,16 +233,15 @@ def unpacked(blob: bytes) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
 
 
 def grower(depth: int):
-    """applyInArrow function for the n-grams of one two-byte context: its part of the tree, and the totals the root needs."""
+    """applyInArrow function for the summed n-grams of one two-byte context: its part of the tree, and the totals the root needs."""
 
     def grow(group: pa.Table) -> pa.Table:
-        order = np.argsort(np.asarray(group.column("key")))
-        nodes = tree(np.asarray(group.column("key"))[order], np.asarray(group.column("n"))[order], depth)
+        keys, counts = of_sheet(group.column("sheet")[0].as_py())
+        nodes = tree(keys, counts, depth)
         key, zeros, ones, _, mixed = nodes[2]
         top = np.zeros((3, 256))
         top[:, (key & np.uint64(0xFF)).astype(int)] = zeros, ones, mixed
-        context = int(key[0] >> np.uint64(8))
-        return pa.table({"context": pa.array([context], pa.int32()), "model": pa.array([packed(nodes, depth)], pa.binary()), "top": pa.array([top.tobytes()], pa.binary())})
+        return pa.table({"kind": group.column("kind"), "cell": group.column("cell"), "model": pa.array([packed(nodes, depth)], pa.binary()), "top": pa.array([top.tobytes()], pa.binary())})
 
     return grow
 
@@ -187,7 +249,7 @@ def grower(depth: int):
 def above(group: pa.Table) -> pa.Table:
     """Totals of all two-byte contexts with one nearest byte."""
     tops = sum(np.frombuffer(x, np.float64) for x in group.column("top").to_pylist())
-    first = group.column("context")[0].as_py() >> 8
+    first = group.column("cell")[0].as_py() >> 8
     return pa.table({"first": pa.array([first], pa.int32()), "top": pa.array([tops.tobytes()], pa.binary())})
 
 
@@ -236,14 +298,24 @@ def log10_of(keys: np.ndarray, levels: list, top: tuple, depth: int) -> np.ndarr
 
 
 def looker(depth: int, top: tuple):
-    """Cogrouped applyInArrow function: the probability of each n-gram that some bucket asks for."""
+    """Cogrouped applyInArrow function: what a cell's model says of the keys that buckets ask for."""
 
     def look(asked: pa.Table, model: pa.Table) -> pa.Table:
-        levels = unpacked(model.column("model")[0].as_py()) if model.num_rows else []
-        key = np.asarray(asked.column("key"))
-        unique, at = np.unique(key, return_inverse=True)
-        value = log10_of(unique, levels, top, depth)[at] if len(key) else np.zeros(0)
-        return pa.table({"bucket": asked.column("bucket"), "kind": pa.array(np.full(len(key), GRAMS, np.int8)), "key": asked.column("key"), "value": pa.array(value)})
+        blob = model.column("model")[0].as_py() if model.num_rows else b""
+        kinds = asked.column("kind").to_pylist()
+        sheets = [of_sheet(x)[0] for x in asked.column("sheet").to_pylist()]
+        if not sheets:
+            return asked.select(["bucket", "kind", "sheet"])
+        unique, at = np.unique(np.concatenate(sheets), return_inverse=True)
+        if kinds[0] == WORDS:
+            known, counts = of_sheet(blob)
+            place = np.minimum(np.searchsorted(known, unique), max(len(known) - 1, 0))
+            value = np.where(known[place] == unique, counts[place], 0.0) if len(known) else np.zeros(len(unique))
+        else:
+            value = log10_of(unique, unpacked(blob), top, depth)
+        cuts = np.cumsum([len(s) for s in sheets])[:-1]
+        out = [sheet(k, v) for k, v in zip(sheets, np.split(value[at], cuts), strict=True)]
+        return pa.table({"bucket": asked.column("bucket"), "kind": asked.column("kind"), "sheet": pa.array(out, pa.binary())})
 
     return look
 
@@ -253,32 +325,21 @@ def scorer(depth: int, tokens: int, distinct: int):
     rest = math.log10(tokens + 0.5 * (distinct + 1))
 
     def score(docs: pa.Table, values: pa.Table) -> pa.Table:
-        kind, key, value = (np.asarray(values.column(c)) for c in ("kind", "key", "value"))
+        kinds, sheets = np.asarray(values.column("kind")), values.column("sheet")
         tables = {}
         for k in (WORDS, GRAMS):
-            mine = np.flatnonzero(kind == k)
-            mine = mine[np.argsort(key[mine])]
-            tables[k] = key[mine], value[mine]
-
-        def look(k: int, wanted: np.ndarray) -> np.ndarray:
-            keys, found = tables[k]
-            at = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
-            if len(wanted) and (not len(keys) or not np.array_equal(keys[at], wanted)):
-                raise ValueError("the input's splits changed between two reads: a bucket asks for a key that it did not announce")
-            return found[at]
-
+            keys, found = zip(*(of_sheet(sheets[int(i)].as_py()) for i in np.flatnonzero(kinds == k)), strict=True)
+            tables[k] = Lookup(np.concatenate(keys), np.concatenate(found))
         data, starts, ends = utf8(docs.column("text"))
         n = len(starts)
         scores, base = np.zeros(n), np.zeros(n)
         n_tokens, n_known, n_bytes = np.zeros(n, np.int64), np.zeros(n, np.int64), ends - starts
-        for i, j in chunks(starts, ends):
+        for i, j in chunks(starts, ends, 1_000_000):
             keys, row = grams(data, starts[i:j], ends[i:j], depth)
-            unique, at = np.unique(keys.astype(np.int64), return_inverse=True)
-            scores[i:j] = np.bincount(row, look(GRAMS, unique)[at], j - i)
+            scores[i:j] = np.bincount(row, tables[GRAMS](keys.view(np.int64)), j - i)
             words = [words_of(data, s, e) for s, e in zip(starts[i:j], ends[i:j], strict=True)]
             many = np.array([len(w) for w in words])
-            unique, at = np.unique(np.concatenate([hashed([x for w in words for x in w]), np.full(j - i, END_WORD)]), return_inverse=True)
-            count = look(WORDS, unique)[at]
+            count = tables[WORDS](np.concatenate([hashed([x for w in words for x in w]), np.full(j - i, END_WORD)]))
             row = np.concatenate([np.repeat(np.arange(j - i), many), np.arange(j - i)])
             n_tokens[i:j] = many + 1
             n_known[i:j] = np.bincount(row, count > 0, j - i).astype(np.int64)
@@ -309,21 +370,25 @@ def ctw_scores(docs: DataFrame, depth: int = 5, held_out_fold: int = 1, folds: i
     split = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
     cut = F.pmod(F.xxhash64("doc_id"), F.lit(max(1, -(-int(split) // bucket_bytes))))
     docs = docs.select("doc_id", "text", (fold(F.col("doc_id"), folds) != held_out_fold).alias("train"), F.xxhash64(F.input_file_name(), F.input_file_block_start(), cut).alias("bucket"))
-    counted = written(docs.select("bucket", "train", "text").mapInArrow(counter(depth), "bucket long, kind tinyint, key long, n long"), "ctw-counts")
-    words, asked = counted.where(F.col("kind") == WORDS), counted.where(F.col("kind") == GRAMS)
-    total = words.where("n > 0").groupBy("key").agg(F.sum("n").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("distinct")).first()
-
-    context = F.shiftright("key", 8 * (depth - 1)).cast("int")
-    learned = asked.where("n > 0").groupBy("key").agg(F.sum("n").alias("n")).withColumn("context", context)
-    model = written(learned.groupBy("context").applyInArrow(grower(depth), "context int, model binary, top binary"), "ctw-model")
-    tops = model.select("context", "top").groupBy(F.shiftright("context", 8)).applyInArrow(above, "first int, top binary").collect()  # 256 rows at most
-
-    groups = max(1, -(-counted.select("bucket").distinct().count() // BUCKETS_PER_GROUP))
-    part = F.pmod(F.xxhash64("bucket"), F.lit(groups)).cast("int")
-    ask = asked.select("bucket", "key", context.alias("context"), part.alias("part")).groupBy("context", "part")
-    tell = model.select("context", "model", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part")).groupBy("context", "part")
-    values = ask.cogroup(tell).applyInArrow(looker(depth, upper_levels(tops)), "bucket long, kind tinyint, key long, value double")
-    known = words.groupBy("key").agg(F.sum("n").cast("double").alias("value"))
-    values = values.unionByName(words.join(known, "key").select("bucket", "kind", "key", "value"))
+    asked = written(docs.select("bucket", "train", "text").mapInArrow(counter(depth), "kind tinyint, cell int, bucket long, sheet binary"), "ctw-counts")
+    buckets = asked.select("bucket").distinct().count()
+    groups = max(1, -(-buckets // FAN_IN))
+    asked = asked.withColumn("part", F.pmod(F.xxhash64("bucket"), F.lit(groups)).cast("int"))
+
+    shape = "kind tinyint, cell int, part int, sheet binary, tokens double, distinct long"
+    total = asked.groupBy("kind", "cell", "part").applyInArrow(summed, shape)
+    parts = groups
+    while parts > 1:
+        parts = -(-parts // FAN_IN)
+        total = total.withColumn("part", (F.col("part") / FAN_IN).cast("int")).groupBy("kind", "cell", "part").applyInArrow(summed, shape)
+    total = written(total, "ctw-totals")
+    words = total.where(F.col("kind") == WORDS)
+    learned = words.agg(F.coalesce(F.sum("tokens"), F.lit(0.0)).cast("long").alias("tokens"), F.coalesce(F.sum("distinct"), F.lit(0)).alias("distinct")).first()
+    model = written(total.where((F.col("kind") == GRAMS) & (F.col("distinct") > 0)).groupBy("kind", "cell").applyInArrow(grower(depth), "kind tinyint, cell int, model binary, top binary"), "ctw-model")
+    tops = model.select("cell", "top").groupBy(F.shiftright("cell", 8)).applyInArrow(above, "first int, top binary").collect()  # 256 rows at most
+
+    told = model.select("kind", "cell", "model").unionByName(words.select("kind", "cell", F.col("sheet").alias("model")))
+    told = told.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    values = asked.groupBy("kind", "cell", "part").cogroup(told.groupBy("kind", "cell", "part")).applyInArrow(looker(depth, upper_levels(tops)), "bucket long, kind tinyint, sheet binary")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long, bits_per_byte double"
-    return docs.groupBy("bucket").cogroup(values.groupBy("bucket")).applyInArrow(scorer(depth, total["tokens"], total["distinct"]), schema)
+    return docs.groupBy("bucket").cogroup(values.groupBy("bucket")).applyInArrow(scorer(depth, learned["tokens"], learned["distinct"]), schema)
