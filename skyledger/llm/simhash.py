@@ -66,29 +66,40 @@ def near(a: Column, b: Column, radius: int) -> Column:
     return F.bit_count(a.bitwiseXOR(b)) <= radius
 
 
+def once(most: int) -> str:
+    """The one variant, of all that two words share, at which their pair is given: of the lower half if that differs in
+    at most ``most`` bits, else of the upper one; the word of ``a`` itself if it is near enough to that of ``b``, else with its lowest differing bit turned."""
+
+    def turned(x: str, y: str) -> str:
+        return f"if(bit_count({x} ^ {y}) <= {-(-most // 2)}, {x}, {x} ^ (({x} ^ {y}) & -({x} ^ {y})))"
+
+    low = [f"({w} & 4294967295L)" for w in "ab"]
+    high = [f"shiftrightunsigned({w}, 32)" for w in "ab"]
+    return f"if(bit_count({low[0]} ^ {low[1]}) <= {most}, {turned(*low)}, {turned(*high)} + 4294967296L)"
+
+
 def links(prints: DataFrame, radius: int = 4, crowd: int = CROWD) -> DataFrame:
     """Edges (src, dst) between distinct fingerprints ``fp`` that connect all that differ in ``radius`` bits or fewer.
 
     Fingerprints within the radius differ in at most half of it in one of their halves, so some variant of that half
     lies within half of *that* from both: each fingerprint emits the ball of its two 32-bit halves (66 variants for a
     radius of 4), and the shuffle on variants brings them together. Variants met by one fingerprint end there; those
-    met by a few give verified pairs. Where more than ``crowd`` meet, pairs would grow with the square, so their
+    met by a few give verified pairs, each at one of the variants that it shares. Where more than ``crowd`` meet, pairs would grow with the square, so their
     fingerprints emit the ball of half the radius over all 64 bits instead (2081 variants): whoever shares such a
     variant is within the radius, and one edge to the smallest suffices. No pair is lost either way."""
-    if radius % 2 or not 0 <= radius <= 8:
-        raise ValueError("the radius must be even, up to 8")
+    if radius not in (0, 2, 4):
+        raise ValueError("the radius must be 0, 2 or 4")
     word, half = F.col("fp"), -(-(radius // 2) // 2)
     low, high = word.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(word, 32)
-    variants = prints.select("fp", F.explode(ball(32, half)).alias("mask")).select("fp", F.explode(F.array(low.bitwiseXOR(F.col("mask")), high.bitwiseXOR(F.col("mask")) + F.lit(1 << 32))).alias("variant"))
-    met = variants.groupBy("variant").agg(F.count("*").alias("n"), F.min("fp").alias("src"), F.max("fp").alias("dst")).where("n > 1")
-    met = written(met, "variants")
-    two = met.where("n = 2").select("src", "dst").where(near(F.col("src"), F.col("dst"), radius))
-    groups = variants.join(met.where(f"n > 2 and n <= {crowd}").select("variant"), "variant").groupBy("variant").agg(F.sort_array(F.collect_list("fp")).alias("fps"))
-    few = groups.select(F.explode(F.expr(f"flatten(transform(fps, a -> transform(filter(fps, b -> b > a and bit_count(a ^ b) <= {radius}), b -> struct(a as src, b as dst))))")).alias("p")).select("p.src", "p.dst")
-    crowded = variants.join(met.where(f"n > {crowd}").select("variant"), "variant", "left_semi").select("fp").distinct()
+    spread = prints.select("fp").repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    variants = spread.select("fp", F.explode(ball(32, half)).alias("mask")).select("fp", F.explode(F.array(low.bitwiseXOR(F.col("mask")), high.bitwiseXOR(F.col("mask")) + F.lit(1 << 32))).alias("variant"))
+    met = written(variants.withColumn("n", F.count("*").over(Window.partitionBy("variant"))).where("n > 1"), "variants")
+    groups = met.where(f"n <= {crowd}").groupBy("variant").agg(F.sort_array(F.collect_list("fp")).alias("fps"))
+    few = groups.select(F.explode(F.expr(f"flatten(transform(fps, a -> transform(filter(fps, b -> b > a and bit_count(a ^ b) <= {radius} and variant = {once(radius // 2)}), b -> struct(a as src, b as dst))))")).alias("p")).select("p.src", "p.dst")
+    crowded = met.where(f"n > {crowd}").select("fp").distinct()
     around = crowded.select("fp", F.explode(ball(64, radius // 2)).alias("mask")).select(F.col("fp").bitwiseXOR(F.col("mask")).alias("variant"), F.col("fp").alias("dst"))
     many = around.withColumn("src", F.min("dst").over(Window.partitionBy("variant"))).where("src != dst").select("src", "dst").where(near(F.col("src"), F.col("dst"), radius))
-    return two.unionByName(few).unionByName(many).distinct()
+    return few.unionByName(many).distinct()
 
 
 def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, seed: int = 42, crowd: int = CROWD) -> DataFrame:
