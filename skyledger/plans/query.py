@@ -15,3 +15,23 @@ class Query:
     name: str
     run: Callable[[SparkSession, str], DataFrame]
     sql: str | None = None
+
+
+class Tables:
+    """The tables of a folder as attributes."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark, self.folder = spark, folder
+
+    def __getattr__(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+
+
+def query(into: list[Query], sql: str | None = None):
+    """Registers a plan that takes ``Tables`` under its own name."""
+
+    def keep(plan: Callable[[Tables], DataFrame]):
+        into.append(Query(plan.__name__, lambda spark, folder: plan(Tables(spark, folder)), sql))
+        return plan
+
+    return keep

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("history",)
+MODULES = ("history", "columns", "relations", "spatial")
 
 
 def _all():
