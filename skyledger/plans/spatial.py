@@ -56,7 +56,7 @@ def q_ordered_children(t: Tables) -> DataFrame:
     return t.orders.groupBy("o_custkey").agg(F.array_join(F.transform(kids, lambda x: x["o_orderkey"].cast("string")), ",").alias("orders"))
 
 
-ITEMS = "(SELECT l_orderkey AS line, l_linenumber * 10.0 + (l_partkey % 7) AS x, (l_suppkey % 9 + 1)::DOUBLE AS width, l_partkey AS item, l_suppkey AS s, l_extendedprice AS p FROM lineitem)"
+ITEMS = "(SELECT l_orderkey AS line, (l_linenumber * 10 + l_partkey % 7)::DOUBLE AS x, (l_suppkey % 9 + 1)::DOUBLE AS width, l_partkey AS item, l_suppkey AS s, l_extendedprice AS p FROM lineitem)"
 
 
 @query(QUERIES, f"""WITH a AS (SELECT *, max(x + width) OVER (PARTITION BY line ORDER BY x, item, s, p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM {ITEMS}),
