@@ -113,7 +113,9 @@ def grammar(ids: np.ndarray, ends: np.ndarray, first_rule: int, rounds: int = 6,
         place = table[(pair * HASH) >> np.uint32(14)]
         rank = np.where((chosen[place] == pair) & inside, place, np.int32(SYMBOLS))
         before, after = np.append(np.int32(SYMBOLS), rank[:-1]), np.append(rank[1:], np.int32(SYMBOLS))
-        take = np.flatnonzero((rank < SYMBOLS) & (rank < before) & (rank <= after))
+        at = np.arange(len(rank))
+        offset = at - np.maximum.accumulate(np.where(rank != before, at, 0))  # within a run of one pair, every other place is taken
+        take = np.flatnonzero((rank < SYMBOLS) & (offset % 2 == 0) & ((offset > 0) | (rank < before)) & (rank <= after))
         seq[take] = rank[take] + (first_rule + n_rules)
         last[take] |= last[take + 1]
         stays = np.ones(len(seq), bool)
