@@ -17,7 +17,7 @@ from .common import LOWER_BYTES, utf8, written
 END_ID = 2
 MAGIC, SYMBOLS = b"RPG1", 1 << 16  # symbols are 16 bits wide: ids of the vocabulary, then rules
 SHARD_TOKENS = 1 << 20
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 2_500_000
 BREAK = b"<|"  # special tokens begin so; words with it are left as they are
 HASH = np.uint32(2654435761)
 _held: dict[str, tuple] = {}
@@ -112,10 +112,13 @@ def grammar(ids: np.ndarray, ends: np.ndarray, first_rule: int, rounds: int = 6,
         table[(chosen[::-1] * HASH) >> np.uint32(14)] = np.arange(len(chosen) - 1, -1, -1)
         place = table[(pair * HASH) >> np.uint32(14)]
         rank = np.where((chosen[place] == pair) & inside, place, np.int32(SYMBOLS))
-        before, after = np.append(np.int32(SYMBOLS), rank[:-1]), np.append(rank[1:], np.int32(SYMBOLS))
-        at = np.arange(len(rank))
-        offset = at - np.maximum.accumulate(np.where(rank != before, at, 0))  # within a run of one pair, every other place is taken
-        take = np.flatnonzero((rank < SYMBOLS) & (offset % 2 == 0) & ((offset > 0) | (rank < before)) & (rank <= after))
+        at = np.flatnonzero(rank < SYMBOLS).astype(np.int32)
+        own, edge = rank[at], np.int32(SYMBOLS)
+        beside = at[1:] == at[:-1] + 1
+        before, after = np.append(edge, np.where(beside, own[:-1], edge)), np.append(np.where(beside, own[1:], edge), edge)
+        place = np.arange(len(at), dtype=np.int32)
+        offset = place - np.maximum.accumulate(np.where(own != before, place, 0))  # within a run of one pair, every other place is taken
+        take = at[(offset % 2 == 0) & ((offset > 0) | (own < before)) & (own <= after)]
         seq[take] = rank[take] + (first_rule + n_rules)
         last[take] |= last[take + 1]
         stays = np.ones(len(seq), bool)
