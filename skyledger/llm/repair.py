@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import importlib
+import string
 import struct
 import zlib
 
@@ -18,6 +19,7 @@ END_ID = 2
 MAGIC, SYMBOLS = b"RPG1", 1 << 16  # symbols are 16 bits wide: ids of the vocabulary, then rules
 SHARD_TOKENS = 1 << 20
 CACHE_WORDS = 2_500_000
+MARKS = string.punctuation.replace("'", "")
 BREAK = b"<|"  # special tokens begin so; words with it are left as they are
 HASH = np.uint32(2654435761)
 _held: dict[str, tuple] = {}
@@ -34,6 +36,7 @@ class WordCache(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.cores: dict[str, bytes] = {}
         self.size = self.tokenizer.get_vocab_size()
         self.last = np.zeros(self.size, bool)
         self.last[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
@@ -41,37 +44,52 @@ class WordCache(dict):
             raise ValueError("ids of this vocabulary need more than 16 bits")
 
     def learn(self, words: set[bytes]) -> None:
-        if len(self) + len(words) > CACHE_WORDS:
+        new = [w for w in words if w not in self]
+        if len(self) + len(self.cores) + len(new) > CACHE_WORDS:
             self.clear()
-        new = {w: bare(w) for w in words if w not in self}
-        self.encode({core for core, _ in new.values() if core not in self})
-        self.encode({mark for _, mark in new.values() if mark and mark not in self})
-        self.update((w, self[core] + self[mark] if mark else self[core]) for w, (core, mark) in new.items())
-
-    def encode(self, words: set[bytes]) -> None:
+            self.cores.clear()
+            new = list(words)
+        if not new:
+            return
+        blob = b"\n".join(new)
+        if BREAK in blob:
+            blob = b"\n".join([w if BREAK in w else w.translate(LOWER_BYTES) for w in new])
+        else:
+            blob = blob.translate(LOWER_BYTES)
+        texts = blob.decode().split("\n")
+        cores = [bare(x) for x in texts]
+        marks = [x[len(core) :] for x, core in zip(texts, cores, strict=True)]
+        known = self.cores
+        self.encode({x for x in {*cores, *marks} if x not in known})
+        self.update(zip(new, [known[core] + known[mark] for core, mark in zip(cores, marks, strict=True)], strict=True))
+
+    def encode(self, words: set[str]) -> None:
         """Words of letters alone are one piece each, and a piece's last id ends a word: such words go by the hundred.
         Where a count of pieces disagrees, and for all other words, one goes at a time."""
-        alone = [w for w in words if not w.isalpha()]
-        letters = [w for w in words if w.isalpha()]
+        alone, letters = [], []
+        for w in words:
+            (letters if w.isalpha() else alone).append(w)
         for at in range(0, len(letters), 20_000):
             parts = [letters[i : i + 200] for i in range(at, min(at + 20_000, len(letters)), 200)]
-            for part, x in zip(parts, self.tokenizer.encode_batch_fast([b" ".join(p).decode() for p in parts], add_special_tokens=False), strict=True):
+            for part, x in zip(parts, self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False), strict=True):
                 ids = np.array(x.ids, "<u2")
-                cuts = np.flatnonzero(self.last[ids]) + 1
+                cuts = (2 * np.flatnonzero(self.last[ids]) + 2).tolist()
                 if len(cuts) == len(part):
-                    self.update(zip(part, (y.tobytes() for y in np.split(ids, cuts[:-1])), strict=True))
+                    line = ids.tobytes()
+                    self.cores.update(zip(part, [line[i:j] for i, j in zip([0, *cuts], cuts)]))  # noqa: B905
                 else:
                     alone += part
         for at in range(0, len(alone), 20_000):
             part = alone[at : at + 20_000]
-            encoded = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.update((w, np.array(x.ids, "<u2").tobytes()) for w, x in zip(part, encoded, strict=True))
+            encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            self.cores.update((w, np.array(x.ids, "<u2").tobytes()) for w, x in zip(part, encoded, strict=True))
 
 
-def bare(word: bytes) -> tuple[bytes, bytes]:
-    """A word with A-Z lowered, as the tokenizer does, and parted from one final mark where a letter or digit stands before it."""
-    low = word if BREAK in word else word.translate(LOWER_BYTES)
-    return (low[:-1], low[-1:]) if len(low) > 1 and low[-1:] in b".,!?:;" and low[-2:-1].isalnum() else (low, b"")
+def bare(word: str) -> str:
+    """A word without the ASCII marks it ends in. They are a piece of their own where a letter or digit stands before
+    them that neither composing nor lowering turns into a letter and a mark, as for all before U+0130."""
+    core = word.rstrip(MARKS)
+    return core if core and core[-1] < "\u0130" and core[-1].isalnum() and "<|" not in word else word
 
 
 def cache_of(path: str) -> WordCache:
