@@ -57,11 +57,13 @@ def bbox_join(a: DataFrame, b: DataFrame, size: float, strict: bool = True) -> D
     return left.join(right, ["bin_x", "bin_y"]).where(hit & home).drop("bin_x", "bin_y")
 
 
-def points_in_boxes(points: DataFrame, boxes: DataFrame, size: float) -> DataFrame:
-    """Points with the rectangles that own them: lower edges belong, upper ones do not."""
+def points_in_boxes(points: DataFrame, boxes: DataFrame, size: float, closed: bool = False) -> DataFrame:
+    """Points with the rectangles that own them: lower edges belong, upper ones do only with ``closed``."""
     at = points.withColumn("bin_x", F.floor(F.col("lon") / size).cast("int")).withColumn("bin_y", F.floor(F.col("lat") / size).cast("int"))
     c = F.col
     inside = (c("lon") >= c("west")) & (c("lon") < c("east")) & (c("lat") >= c("south")) & (c("lat") < c("north"))
+    if closed:
+        inside = c("lon").between(c("west"), c("east")) & c("lat").between(c("south"), c("north"))
     return at.join(bins(boxes, "west", "south", "east", "north", size), ["bin_x", "bin_y"]).where(inside).drop("bin_x", "bin_y")
 
 

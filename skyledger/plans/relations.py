@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skyledger.operators import joins as J
 from skyledger.operators import quality as Q
+from skyledger.operators.review import scene_review
 from skyledger.sources import sinks as K
 from skyledger.sources.readers import listing_products, overlaps
 
@@ -155,10 +156,33 @@ def q_bbox_scan(t: Tables) -> DataFrame:
 
 @query(QUERIES, f"SELECT id, box FROM {POINTS} JOIN {BOXES} ON lon >= west AND lon < east AND lat >= south AND lat < north WHERE NOT lon < (west - east) * (lat - north) / (south - north) + east")
 def q_point_in_polygon(t: Tables) -> DataFrame:
-    """The polygons are the lower right halves of the boxes."""
+    return J.points_in_polygons(points(t), lower_halves(t), 5.0).select("id", "box")
+
+
+REVIEW = f"""WITH f AS (SELECT lon, lat, id % 3 AS tier, owner % 2048 AS flags FROM {POINTS}), b AS {BOXES}, s AS (SELECT * FROM b WHERE size > 40),
+c AS (SELECT box AS scene, 'west' AS label, west, (west + east) / 2 AS east, south, north FROM s UNION ALL SELECT box, 'east', (west + east) / 2, east, south, north FROM s),
+m AS (SELECT 'features' AS measure, NULL AS tier, NULL AS bit UNION ALL SELECT unnest(['preferred', 'fallback']), unnest([2, 1]), NULL UNION ALL SELECT 'flag ' || (1 << k), NULL, 1 << k FROM range(11) x(k))
+SELECT box AS scene, measure, NULL::VARCHAR AS label, count(lon)::BIGINT AS n FROM s CROSS JOIN m LEFT JOIN f ON lon BETWEEN west AND east AND lat BETWEEN south AND north AND (m.tier IS NULL OR m.tier = f.tier) AND (bit IS NULL OR flags & bit <> 0) GROUP BY 1, 2
+UNION ALL SELECT scene, 'context', label, count(lon)::BIGINT FROM c LEFT JOIN f ON lon BETWEEN west AND east AND lat BETWEEN south AND north GROUP BY 1, 3
+UNION ALL SELECT s.box, 'probe', 'centre', count(b.box)::BIGINT FROM s LEFT JOIN b ON (s.west + s.east) / 2 >= b.west AND (s.west + s.east) / 2 < b.east AND (s.south + s.north) / 2 >= b.south AND (s.south + s.north) / 2 < b.north
+    AND NOT (s.west + s.east) / 2 < (b.west - b.east) * ((s.south + s.north) / 2 - b.north) / (b.south - b.north) + b.east GROUP BY 1"""
+
+
+def lower_halves(t: Tables) -> DataFrame:
+    """Triangles: the lower right halves of the boxes."""
     edge = lambda *e: F.struct(*[F.col(c).alias(n) for c, n in zip(e, ("x1", "y1", "x2", "y2"), strict=True)])
-    rings = boxes(t).withColumn("edges", F.array(edge("west", "south", "east", "south"), edge("east", "south", "east", "north"), edge("east", "north", "west", "south")))
-    return J.points_in_polygons(points(t), rings, 5.0).select("id", "box")
+    return boxes(t).withColumn("edges", F.array(edge("west", "south", "east", "south"), edge("east", "south", "east", "north"), edge("east", "north", "west", "south")))
+
+
+@query(QUERIES, REVIEW)
+def q_scene_review(t: Tables) -> DataFrame:
+    scenes = boxes(t).where("size > 40").withColumnRenamed("box", "scene")
+    middle, level = (F.col("west") + F.col("east")) / 2, (F.col("south") + F.col("north")) / 2
+    west = scenes.withColumn("label", F.lit("west")).withColumn("east", middle)
+    east = scenes.withColumn("label", F.lit("east")).withColumn("west", middle)
+    features = points(t).select("lon", "lat", (F.col("id") % 3).alias("tier"), (F.col("owner") % 2048).alias("flags"))
+    probes = scenes.select("scene", F.lit("centre").alias("label"), middle.alias("lon"), level.alias("lat"))
+    return scene_review(features, scenes, west.unionByName(east), probes, lower_halves(t), 5.0)
 
 
 @query(QUERIES, f"SELECT * FROM (SELECT id, box, max(size) OVER (PARTITION BY id) AS best_size, row_number() OVER (PARTITION BY id ORDER BY size DESC, box)::INT AS place FROM {POINTS} JOIN {BOXES} ON lon >= west AND lon < east AND lat >= south AND lat < north)")
