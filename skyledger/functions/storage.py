@@ -17,6 +17,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` with its lineage cut in the shared folder, which is set first where no session has one."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as a Parquet table in the shared folder and read back: cuts the lineage and survives lost executors."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"

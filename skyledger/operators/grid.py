@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.functions import columns as C
+from skyledger.functions.storage import checkpointed
 
 from .graph import connected_components
 
@@ -94,7 +95,7 @@ def median_split(rows: DataFrame, key: str, most: int, rounds: int = 40) -> Data
         out = done if out is None else out.unionByName(done)
         over = joined.where(F.col("n") > most)
         place = F.row_number().over(Window.partitionBy("part").orderBy(F.when(F.col("wide"), F.col("x")).otherwise(F.col("y")), key))
-        rest = over.withColumn("part", F.concat("part", F.when(place <= F.floor(F.col("n") / 2), "0").otherwise("1"))).select(*rest.columns).checkpoint()
+        rest = checkpointed(over.withColumn("part", F.concat("part", F.when(place <= F.floor(F.col("n") / 2), "0").otherwise("1"))).select(*rest.columns))
         if rest.isEmpty():
             return out
     raise RuntimeError("groups did not get below the limit")
@@ -111,7 +112,7 @@ def quad_split(tiles: DataFrame, most: int, deepest: int = 20) -> DataFrame:
         fits = (F.col("n") <= most) | F.lit(z == deepest)
         done = joined.where(fits).groupBy("bx", "by").agg(F.count("*").alias("rows")).select(F.lit(z).alias("z"), F.col("bx").alias("x"), F.col("by").alias("y"), "rows")
         out = done if out is None else out.unionByName(done)
-        rest = joined.where(~fits).select(*rest.columns).checkpoint()
+        rest = checkpointed(joined.where(~fits).select(*rest.columns))
         if rest.isEmpty():
             return out
     return out

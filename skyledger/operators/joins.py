@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyledger.functions.storage import checkpointed
+
 
 def nest_children(parent: DataFrame, child: DataFrame, key: str, order: list[str], fields: list[str], name: str) -> DataFrame:
     """Parents with their children as an ordered array, empty where there are none."""
@@ -93,22 +95,30 @@ def nearest(samples: DataFrame, points: DataFrame, sample_id: str, size: float,
         around = left.withColumn("bin_x", F.explode(F.sequence(half[0] - 1, half[0] + 1))).withColumn("bin_y", F.explode(F.sequence(half[1] - 1, half[1] + 1)))
         target = points.select(F.col("lon").alias("p_lon"), F.col("lat").alias("p_lat"), F.floor(F.col("lon") / size).alias("bin_x"), F.floor(F.col("lat") / size).alias("bin_y"))
         best = around.join(target, ["bin_x", "bin_y"]).groupBy(sample_id).agg(F.min(F.hypot(F.col("lon") - F.col("p_lon"), F.col("lat") - F.col("p_lat"))).alias("distance")).where(F.col("distance") <= size)
-        best = best.checkpoint() if out is None else best
+        best = checkpointed(best)
         out = best if out is None else out.unionByName(best)
-        left = left.join(best, sample_id, "left_anti").checkpoint()
+        left = checkpointed(left.join(best, sample_id, "left_anti"))
         if left.isEmpty():
             return out
         size *= 2
     raise RuntimeError("no point is near enough to some sample")
 
 
-def as_of(need: DataFrame, editions: DataFrame, name: str, day: str, edition: str) -> DataFrame:
-    """The newest edition of a name on or before each day; null where there is none.
-
-    Both sides are put in one order by name and day, and the last edition is carried forward: no pairs are made."""
-    both = need.select(name, day, F.lit(None).cast("timestamp").alias("e"), F.lit(1).alias("asked")).unionByName(editions.select(name, F.col(edition).alias(day), F.col(edition).alias("e"), F.lit(0).alias("asked")))
-    carried = F.last("e", ignorenulls=True).over(Window.partitionBy(name).orderBy(day, "asked").rowsBetween(Window.unboundedPreceding, 0))
-    return both.withColumn("found", carried).where("asked = 1").select(name, day, F.col("found").alias(edition)).distinct()
+def as_of(need: DataFrame, editions: DataFrame, name: str, day: str, edition: str, period: str = "month") -> DataFrame:
+    """The newest edition of a name on or before each day; null where there is none, or no name or day.
+
+    Both sides are put in one order by name and day, and the last edition is carried forward: no pairs are made. Repeats
+    go before the shuffle. A name is ordered a ``period`` at a time, so that a frequent one fills many tasks; what earlier
+    periods end with comes from a window over one row a name and period."""
+    asked = need.select(name, day, F.lit(None).cast("timestamp").alias("e"), F.lit(1).alias("asked")).distinct()
+    given = editions.where(F.col(name).isNotNull() & F.col(edition).isNotNull()).select(name, F.col(edition).alias(day), F.col(edition).cast("timestamp").alias("e"), F.lit(0).alias("asked")).distinct()
+    both = asked.unionByName(given).withColumn("period", F.date_trunc(period, day))
+    upto = lambda n: (Window.unboundedPreceding, n)
+    before = F.last("newest", ignorenulls=True).over(Window.partitionBy(name).orderBy("period").rowsBetween(*upto(-1)))
+    ends = both.groupBy(name, "period").agg(F.max("e").alias("newest")).select(name, "period", before.alias("before"))
+    carried = F.last("e", ignorenulls=True).over(Window.partitionBy(name, "period").orderBy(day, "asked").rowsBetween(*upto(0)))
+    rows = both.withColumn("found", carried).where("asked = 1")
+    return rows.join(ends, [name, "period"], "left").select(name, day, F.coalesce("found", "before").alias(edition))
 
 
 def rule_cascade(left: DataFrame, id_column: str, rules: list[tuple[str, DataFrame, Column]]) -> DataFrame:

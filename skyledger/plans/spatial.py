@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.functions import columns as C
-from skyledger.functions.storage import shared_folder
+from skyledger.functions.storage import checkpointed
 from skyledger.operators import grid as G
 from skyledger.operators import joins as J
 from skyledger.operators.graph import connected_components
@@ -114,7 +114,6 @@ def q_integral_window(t: Tables) -> DataFrame:
 
 @query(QUERIES, f"""WITH RECURSIVE c AS (SELECT x, y FROM {CELLS} WHERE lo >= 16), r(x, y, label) USING KEY (x, y) AS (SELECT x, y, y * 128 + x FROM c UNION (SELECT c.x, c.y, min(r.label) FROM r JOIN c ON abs(r.x - c.x) + abs(r.y - c.y) = 1 JOIN recurring.r o ON o.x = c.x AND o.y = c.y GROUP BY c.x, c.y, o.label HAVING min(r.label) < o.label)) SELECT x, y, label::BIGINT AS label FROM r""")
 def q_components(t: Tables) -> DataFrame:
-    shared_folder(t.spark)
     return G.label_components(cells(t).where("lo >= 16").select("x", "y"), 128).select("x", "y", "label")
 
 
@@ -138,13 +137,12 @@ def q_crawl_closure(t: Tables) -> DataFrame:
     """Pages reached from page 0: a frontier loop, each page expanded once."""
     n = t.pages.count()
     links = t.pages.select("page_id", F.explode(F.array((F.col("page_id") * 7 + 1) % n, (F.col("page_id") * F.col("page_id") + 3) % n)).alias("to"))
-    shared_folder(t.spark)
     seen = front = t.spark.range(1).select(F.col("id").alias("page_id"))
     while True:
-        front = links.join(front, "page_id").select(F.col("to").alias("page_id")).distinct().join(seen, "page_id", "left_anti").checkpoint()
+        front = checkpointed(links.join(front, "page_id").select(F.col("to").alias("page_id")).distinct().join(seen, "page_id", "left_anti"))
         if front.isEmpty():
             return seen
-        seen = seen.unionByName(front).checkpoint()
+        seen = checkpointed(seen.unionByName(front))
 
 
 @query(QUERIES, "SELECT p_partkey, round(degrees(atan(sinh(pi() * (1 - 2 * (p_partkey % 64) / 64.0)))), 9) AS north, (p_partkey % 64) / 64.0 * 360 - 180 AS west FROM part")
@@ -231,14 +229,12 @@ def q_resolve_tile(t: Tables) -> DataFrame:
 
 @query(QUERIES)
 def q_median_split(t: Tables) -> DataFrame:
-    shared_folder(t.spark)
     rows = points(t).select("id", F.col("lon").alias("x"), F.col("lat").alias("y"))
     return G.median_split(rows, "id", 500).groupBy("part").agg(F.count("*").alias("n"), F.min("x").alias("west"), F.max("x").alias("east"))
 
 
 @query(QUERIES)
 def q_quad_split(t: Tables) -> DataFrame:
-    shared_folder(t.spark)
     return G.quad_split(points(t).select("id", C.tile_x(F.col("lon"), 20).alias("x"), C.tile_y(F.col("lat"), 20).alias("y")), 500)
 
 

@@ -22,7 +22,8 @@ def q_normalize(t: Tables) -> DataFrame:
 
 @query(QUERIES, f"SELECT term, count(DISTINCT doc_id)::BIGINT AS docs, count(*)::BIGINT AS n FROM {TERMS} WHERE term <> '' GROUP BY 1")
 def q_inverted_index(t: Tables) -> DataFrame:
-    return X.inverted_index(t.documents, "doc_id", ["text"]).groupBy("term").agg(F.count_distinct("doc_id").alias("docs"), F.sum("n").alias("n"))
+    """Terms with their documents and occurrences; the index has one row a term and document."""
+    return X.inverted_index(t.documents, "doc_id", ["text"]).groupBy("term").agg(F.count("*").alias("docs"), F.sum("n").alias("n"))
 
 
 SEARCH = f"""WITH q AS (SELECT DISTINCT item_id, unnest(string_split({NORMAL.format(c='text')}, ' ')[1:4]) AS term FROM benchmark), i AS (SELECT term, doc_id, ln(1 + count(*)) AS tf FROM {TERMS} WHERE term IN (SELECT term FROM q) GROUP BY 1, 2),
@@ -45,6 +46,13 @@ def q_search_topk(t: Tables) -> DataFrame:
     return q_search(t).orderBy(F.desc("score"), "item_id", "doc_id").limit(50)
 
 
+@query(QUERIES, f"WITH q AS (SELECT DISTINCT unnest(string_split({NORMAL.format(c='text')}, ' ')[1:4]) AS term FROM benchmark), v AS (SELECT DISTINCT term AS word FROM {TERMS} WHERE length(term) > 1) SELECT term, word FROM q JOIN v ON starts_with(word, term) OR levenshtein(term, word) <= floor(length(term) * 0.2) WHERE term <> ''")
+def q_fuzzy_terms(t: Tables) -> DataFrame:
+    asked = t.benchmark.select(F.explode(F.slice(F.split(normalize_text(F.col("text")), " "), 1, 4)).alias("term"))
+    words = t.documents.select(F.explode(F.array_distinct(F.split(normalize_text(F.col("text")), " "))).alias("word")).where("length(word) > 1")
+    return X.fuzzy_terms(asked, words)
+
+
 @query(QUERIES, r"""WITH p AS (SELECT doc_id, text, coalesce(list_min([x FOR x IN [instr(lower(text), 'the'), instr(lower(text), 'le '), instr(lower(text), 'und')] IF x > 0]), 1) AS hit FROM documents), s AS (SELECT *, greatest(1, hit - 62) AS a, least(length(text), hit + 190) AS b FROM p)
 SELECT doc_id, md5(CASE WHEN a > 1 THEN '…' ELSE '' END || trim(substr(text, a, b - a + 1)) || CASE WHEN b < length(text) THEN '…' ELSE '' END) AS digest FROM s""")
 def q_snippet(t: Tables) -> DataFrame:

@@ -46,10 +46,11 @@ def publish(df: DataFrame, root: str, name: str) -> str:
     out.write(bytearray(json.dumps({"name": name, "generation": content, "rows": mark["n"]}).encode()))
     out.close()
     draft_path, place_path = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (draft, place))
-    if fs.exists(place_path):
-        fs.delete(place_path, False)
-    if not fs.rename(draft_path, place_path):
-        raise OSError(f"the manifest could not be moved to {place}")
+    files = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    kind = getattr(spark._jvm, "org.apache.hadoop.fs.Options$Rename")
+    how = spark.sparkContext._gateway.new_array(kind, 1)
+    how[0] = kind.OVERWRITE
+    files.rename(draft_path, place_path, how)
     return content
 
 
