@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyledger.functions.storage import checkpointed
+
 from .common import n_words
 
 SMALL_TABLE = 100_000  # rows up to which the table of sources is broadcast
@@ -55,7 +57,7 @@ def expected_copies(docs: DataFrame, sources: DataFrame, most: int, passes: int
         found = with_sources(docs.select("key", "size", "preference"), sources.select("key", "low", "high")).groupBy("key").agg(*words)
         below = sum((F.coalesce(F.col(f"w{k}"), F.lit(0.0)) <= F.col("target")).cast("int") for k in range(1, ways))
         sources = sources.join(found, "key", "left").withColumn("low2", F.col("low") + below * step).withColumn("high", F.col("low2") + step).withColumn("low", F.col("low2")).select("key", "source_size", "target", "low", "high")
-        sources = sources.checkpoint()
+        sources = checkpointed(sources)
     return with_sources(docs, sources).withColumn("copies", F.least(F.lit(float(most)), F.col("low") * F.col("preference")))
 
 
