@@ -361,12 +361,15 @@ def ctw_scores(docs: DataFrame, depth: int = 5, held_out_fold: int = 1, folds: i
     training text every bit costs one bit. An empty table gives an empty result.
 
     Buckets are the file splits of the scan, cut further by doc_id where a split is over ``bucket_bytes``; both passes
-    over ``docs`` must see the same splits, and the second raises if they do not.
+    over ``docs`` must see the same splits, and the second raises if they do not. Where rows do not come straight from
+    files (after a shuffle, or made in memory) they are written first, so that buckets stay bounded.
     """
     if not 2 <= depth <= 6:
         raise ValueError("depth must lie between 2 and 6")
     spark = docs.sparkSession
     shared_folder(spark)
+    if not docs.where(F.input_file_name() == "").isEmpty():  # reads no column of a file
+        docs = written(docs.select("doc_id", "text"), "ctw-docs")
     split = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
     cut = F.pmod(F.xxhash64("doc_id"), F.lit(max(1, -(-int(split) // bucket_bytes))))
     docs = docs.select("doc_id", "text", (fold(F.col("doc_id"), folds) != held_out_fold).alias("train"), F.xxhash64(F.input_file_name(), F.input_file_block_start(), cut).alias("bucket"))

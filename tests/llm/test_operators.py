@@ -107,6 +107,13 @@ def test_ctw_scores_match_brute_force(spark):
         assert (found[i]["n_tokens"], found[i]["n_known"], found[i]["train_tokens"]) == (len(mine), sum(w in tokens for w in mine), len(tokens))
 
 
+def test_ctw_scores_do_not_depend_on_where_rows_come_from(spark, docs):
+    few = docs.where("doc_id < 40")
+    scanned = sorted((r["doc_id"], round(r["score"], 4)) for r in ctw.ctw_scores(few).collect())
+    shuffled = sorted((r["doc_id"], round(r["score"], 4)) for r in ctw.ctw_scores(few.repartition(5, "doc_id")).collect())
+    assert scanned == shuffled and scanned
+
+
 def test_ctw_is_a_distribution():
     keys = np.frombuffer(os.urandom(400), np.uint8) % 4 + 97
     data = keys.astype(np.uint8)
