@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from skyledger.llm.common import table, written
 from skyledger.llm.langid import known_language
 from skyledger.llm.mixing import mixed_documents
+from skyledger.llm.nearcopies import one_of_near_copies
 from skyledger.llm.placement import place
 from skyledger.llm.queries import SHARDS
-from skyledger.llm.simhash import keep_one
 from skyledger.llm.tiling import decontaminated
 
 
@@ -19,8 +19,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that of the smallest id."""
-    return keep_one(docs)
+    """One document of each group of near duplicates (five-word shingles, Jaccard similarity 0.8): that of the smallest id."""
+    return one_of_near_copies(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
