@@ -132,6 +132,14 @@ def q_single_link(t: Tables) -> DataFrame:
     return connected_components(close, "id", "b").select(F.col("node").alias("id"), F.col("component").alias("root"))
 
 
+@query(QUERIES)
+def q_single_link_all(t: Tables) -> DataFrame:
+    """Groups of all points; ``q_single_link`` keeps to the fifth that its SQL names, a quadratic self join."""
+    p = points(t).select("id", "lon", "lat")
+    close = J.distance_join(p, p.select(F.col("id").alias("b"), F.col("lon").alias("b_lon"), F.col("lat").alias("b_lat"), F.lit(0.5).alias("radius")), 1.0)
+    return connected_components(close, "id", "b").select(F.col("node").alias("id"), F.col("component").alias("root"))
+
+
 @query(QUERIES, "WITH RECURSIVE n AS (SELECT count(*) AS n FROM pages), l AS (SELECT page_id, (page_id * 7 + 1) % n AS a, (page_id * page_id + 3) % n AS b FROM pages, n), s AS (SELECT 0::BIGINT AS page_id UNION SELECT unnest([a, b]) FROM s JOIN l USING (page_id)) SELECT page_id FROM s")
 def q_crawl_closure(t: Tables) -> DataFrame:
     """Pages reached from page 0: a frontier loop, each page expanded once."""
@@ -187,6 +195,17 @@ def q_chunk_cover(t: Tables) -> DataFrame:
     return chunks.select("box", (F.col("k") / 8.0).alias("west"), F.least((F.col("k") + 1) / 8.0, F.col("east")).alias("east"))
 
 
+@query(QUERIES, f"SELECT box, (x // 8 - 20000)::INT AS shard_x, (y // 8 - 20000)::INT AS shard_y, greatest(west, (x - 160000) / 8.0) AS west, greatest(south, (y - 160000) / 8.0) AS south, least(east, (x - 159999) / 8.0) AS east, least(north, (y - 159999) / 8.0) AS north FROM {BOXES}, range(floor(west * 8)::INT + 160000, ceil(east * 8)::INT + 160000) a(x), range(floor(south * 8)::INT + 160000, ceil(north * 8)::INT + 160000) b(y)")
+def q_chunk_cover_all(t: Tables) -> DataFrame:
+    """Chunks of an eighth of a degree of every box, both ways, clipped to it, and the degree that holds each; ``q_chunk_cover`` keeps to the small boxes and to longitude, as its SQL does."""
+    c = F.col
+    span = lambda a, b: F.explode(F.sequence(F.floor(c(a) * 8).cast("int"), F.ceil(c(b) * 8).cast("int") - 1))
+    chunks = boxes(t).withColumn("x", span("west", "east")).withColumn("y", span("south", "north"))
+    shards = [F.floor(c(k) / 8).cast("int").alias(f"shard_{k}") for k in "xy"]
+    low = [F.greatest(e, c(k) / 8.0).alias(e) for e, k in (("west", "x"), ("south", "y"))]
+    return chunks.select("box", *shards, *low, *[F.least(e, (c(k) + 1) / 8.0).alias(e) for e, k in (("east", "x"), ("north", "y"))])
+
+
 @query(QUERIES, f"SELECT box, round(west - 1000 / (111320 * cos(radians((south + north) / 2))), 9) AS west, round(south - 1000 / 111320.0, 9) AS south FROM {BOXES}")
 def q_expand_bounds(t: Tables) -> DataFrame:
     shrink = F.cos(F.radians((F.col("south") + F.col("north")) / 2))
