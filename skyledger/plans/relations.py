@@ -203,6 +203,13 @@ def q_nearest(t: Tables) -> DataFrame:
     return J.nearest(samples, points(t).where("id % 10 = 0"), "box", 4.0).select("box", F.round("distance", 9).alias("distance"))
 
 
+@query(QUERIES)
+def q_nearest_all(t: Tables) -> DataFrame:
+    """The nearest of all points; ``q_nearest`` keeps to the tenth that its SQL names, a plain product."""
+    samples = boxes(t).select("box", F.col("west").alias("lon"), F.col("south").alias("lat"))
+    return J.nearest(samples, points(t), "box", 4.0).select("box", F.round("distance", 9).alias("distance"))
+
+
 @query(QUERIES, "WITH e AS (SELECT DISTINCT o_orderpriority AS name, o_orderdate AS edition FROM orders WHERE o_orderkey % 50 = 0), n AS (SELECT DISTINCT o_orderpriority AS name, o_orderdate AS day FROM orders) SELECT name, day::VARCHAR AS day, (SELECT max(edition) FROM e WHERE e.name = n.name AND edition <= day)::VARCHAR AS edition FROM n")
 def q_asof_edition(t: Tables) -> DataFrame:
     need = t.orders.select(F.col("o_orderpriority").alias("name"), F.col("o_orderdate").alias("day"))
@@ -211,6 +218,16 @@ def q_asof_edition(t: Tables) -> DataFrame:
     return found.select("name", F.date_format("day", "yyyy-MM-dd HH:mm:ss").alias("day"), F.date_format("edition", "yyyy-MM-dd HH:mm:ss").alias("edition"))
 
 
+@query(QUERIES, "WITH e AS (SELECT DISTINCT o_orderpriority AS name, l_shipdate::TIMESTAMP AS edition FROM lineitem JOIN orders ON l_orderkey = o_orderkey), n AS (SELECT DISTINCT o_orderpriority AS name, o_orderdate::TIMESTAMP AS day FROM orders) SELECT n.name, day::VARCHAR AS day, edition::VARCHAR AS edition FROM n ASOF LEFT JOIN e ON e.name = n.name AND e.edition <= n.day")
+def q_asof_shipped(t: Tables) -> DataFrame:
+    """Editions are all ship dates of a priority; ``q_asof_edition`` keeps to the orders that its SQL names."""
+    need = t.orders.select(F.col("o_orderpriority").alias("name"), F.col("o_orderdate").cast("timestamp").alias("day"))
+    names = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderpriority").alias("name"))
+    editions = t.lineitem.join(names, "l_orderkey").select("name", F.col("l_shipdate").cast("timestamp").alias("edition"))
+    found = J.as_of(need, editions, "name", "day", "edition")
+    return found.select("name", F.date_format("day", "yyyy-MM-dd HH:mm:ss").alias("day"), F.date_format("edition", "yyyy-MM-dd HH:mm:ss").alias("edition"))
+
+
 @query(QUERIES, """WITH a AS (SELECT s.p_partkey, count(DISTINCT r.p_partkey) AS n, min(r.p_partkey) AS c FROM part s JOIN part r ON r.p_name = s.p_name AND r.p_brand = s.p_brand AND r.p_partkey % 7 = 0 WHERE s.p_partkey % 7 > 0 GROUP BY 1),
 b AS (SELECT s.p_partkey, count(DISTINCT r.p_partkey) AS n, min(r.p_partkey) AS c FROM part s JOIN part r ON r.p_name = s.p_name AND r.p_size = s.p_size AND r.p_partkey % 7 = 0 WHERE s.p_partkey % 7 > 0 AND s.p_partkey NOT IN (SELECT p_partkey FROM a) GROUP BY 1)
 SELECT p_partkey, rule, CASE WHEN n = 1 THEN 'matched' WHEN n > 1 THEN 'ambiguous' ELSE 'unmatched' END AS status, CASE WHEN n = 1 THEN c END::DOUBLE AS candidate FROM (SELECT p_partkey FROM part WHERE p_partkey % 7 > 0) LEFT JOIN (SELECT *, 'exact' AS rule FROM a UNION ALL SELECT *, 'sized' FROM b) USING (p_partkey)""")

@@ -41,3 +41,9 @@ def test_chunks_cover_each_box(spark, near):
     for r in found:
         area[r["box"]] = area.get(r["box"], 0) + (r["east"] - r["west"]) * (r["north"] - r["south"])
     assert all(math.isclose(area[b["box"]], (b["east"] - b["west"]) * (b["north"] - b["south"]), rel_tol=1e-6) for b in near[1])
+
+
+def test_nearest_looks_at_all_points(spark, near):
+    found = {r["box"]: r["distance"] for r in registry.queries()["q_nearest_all"](spark, FOLDER).collect()}
+    want = {b["box"]: min(math.hypot(x - b["west"], y - b["south"]) for _, x, y in near[0]) for b in near[1]}
+    assert found.keys() == want.keys() and all(math.isclose(found[k], want[k], abs_tol=1e-8) for k in want)
