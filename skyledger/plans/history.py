@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,6 +80,23 @@ def q_density(t: Tables) -> DataFrame:
     return cells(t).where("y % 8 < 7").groupBy(F.expr("y div 8").cast("int").alias("band"), F.expr("x div 8").cast("int").alias("block")).agg(F.bit_or(bit).alias("mask")).withColumn("clear", F.bit_count("mask"))
 
 
+@query(QUERIES)
+def q_density_all(t: Tables) -> DataFrame:
+    """Shares of each block of 4 x 4 samples that are preferred, fallback where not preferred, and known at all.
+
+    Rows weigh by their area on the sphere, with 128 rows of samples from pole to pole of the map; ``q_density`` leaves every eighth row
+    out, as its SQL does, and has neither override nor weights."""
+    edge = lambda row: F.tanh(F.lit(math.pi) * (1 - row / 64.0))
+    area = lambda row: edge(row) - edge(row + 1)
+    bit = F.expr("shiftleft(1, (y % 4) * 4 + x % 4)")
+    mask = lambda test: F.bit_or(F.when(test, bit).otherwise(0))
+    masks = cells(t).groupBy(F.expr("y div 4").cast("int").alias("band"), F.expr("x div 4").cast("int").alias("block")).agg(mask(F.col("lo") >= 16).alias("preferred"), mask(F.col("lo") >= 13).alias("fallback"), F.bit_or(bit).alias("known"))
+    masks = masks.withColumn("fallback", F.col("fallback").bitwiseAND(F.bitwise_not("preferred")))
+    rows = [area(F.col("band") * 4 + i) for i in range(4)]
+    share = lambda c: sum((F.bit_count(F.shiftright(c, 4 * i).bitwiseAND(F.lit(15))) * rows[i] for i in range(4)), F.lit(0.0)) / (4 * sum(rows[1:], rows[0]))
+    return masks.select("band", "block", *[F.round(share(c), 9).alias(c) for c in ("preferred", "fallback", "known")])
+
+
 @query(QUERIES, f"WITH a AS (SELECT x // 2 AS x, y // 2 AS y, sum(lo) / 4 AS d FROM {CELLS} GROUP BY 1, 2), b AS (SELECT x // 2 AS x, y // 2 AS y, sum(d) / 4 AS d FROM a GROUP BY 1, 2) SELECT x // 2 AS x, y // 2 AS y, round(sum(d) / 4, 6) AS d FROM b GROUP BY 1, 2")
 def q_density_rollup(t: Tables) -> DataFrame:
     level = cells(t).select("x", "y", F.col("lo").alias("d"))

@@ -237,6 +237,13 @@ def q_tile_mask(t: Tables) -> DataFrame:
     return cells(t).groupBy(F.expr("x div 8").cast("int").alias("bx"), F.expr("y div 8").cast("int").alias("by_")).agg(F.bit_or(bit).alias("mask"))
 
 
+@query(QUERIES, f"SELECT x // 8 AS bx, y // 8 AS by_, bit_or(CASE WHEN (y % 8) * 8 + x % 8 = 63 THEN (-9223372036854775808)::BIGINT ELSE 1::BIGINT << least(62, (y % 8) * 8 + x % 8)::INT END)::BIGINT AS mask FROM {CELLS} GROUP BY 1, 2")
+def q_tile_mask_all(t: Tables) -> DataFrame:
+    """All 64 cells of a block; ``q_tile_mask`` leaves the last two out, as its SQL does."""
+    bit = F.expr("shiftleft(1L, (y % 8) * 8 + x % 8)")
+    return cells(t).groupBy(F.expr("x div 8").cast("int").alias("bx"), F.expr("y div 8").cast("int").alias("by_")).agg(F.bit_or(bit).alias("mask"))
+
+
 @query(QUERIES, f"WITH c AS {CELLS}, p AS (SELECT x // 2 AS x, y // 2 AS y, max(hi) AS hi FROM c WHERE lines = 7 GROUP BY 1, 2) SELECT c.x, c.y, CASE WHEN lines = 7 THEN c.hi ELSE p.hi END AS hi, CASE WHEN lines = 7 THEN 'own' WHEN p.hi IS NOT NULL THEN 'parent' ELSE 'none' END AS origin FROM c LEFT JOIN p ON p.x = c.x // 2 AND p.y = c.y // 2")
 def q_resolve_tile(t: Tables) -> DataFrame:
     own = cells(t)

@@ -47,3 +47,23 @@ def test_nearest_looks_at_all_points(spark, near):
     found = {r["box"]: r["distance"] for r in registry.queries()["q_nearest_all"](spark, FOLDER).collect()}
     want = {b["box"]: min(math.hypot(x - b["west"], y - b["south"]) for _, x, y in near[0]) for b in near[1]}
     assert found.keys() == want.keys() and all(math.isclose(found[k], want[k], abs_tol=1e-8) for k in want)
+
+
+def test_tile_mask_has_every_cell(spark):
+    cells = bindings.cells(Tables(spark, FOLDER)).collect()
+    found = registry.queries()["q_tile_mask_all"](spark, FOLDER).collect()
+    assert sum((r["mask"] & (1 << 64) - 1).bit_count() for r in found) == len(cells) and any(r["mask"] < 0 for r in found)
+
+
+def test_density_counts_every_row_by_weight(spark):
+    area = lambda y: math.tanh(math.pi * (1 - y / 64)) - math.tanh(math.pi * (1 - (y + 1) / 64))
+    want = {}
+    for r in bindings.cells(Tables(spark, FOLDER)).collect():
+        at = want.setdefault((r["y"] // 4, r["x"] // 4), [0.0, 0.0, 0.0])
+        w = area(r["y"]) / (4 * sum(area(r["y"] // 4 * 4 + i) for i in range(4)))
+        at[0] += w * (r["lo"] >= 16)
+        at[1] += w * (13 <= r["lo"] < 16)
+        at[2] += w
+    found = {(r["band"], r["block"]): (r["preferred"], r["fallback"], r["known"]) for r in registry.queries()["q_density_all"](spark, FOLDER).collect()}
+    assert found.keys() == want.keys()
+    assert all(math.isclose(a, b, abs_tol=1e-8) for k in want for a, b in zip(found[k], want[k], strict=True))
