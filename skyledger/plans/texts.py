@@ -46,6 +46,25 @@ def q_search_topk(t: Tables) -> DataFrame:
     return q_search(t).orderBy(F.desc("score"), "item_id", "doc_id").limit(50)
 
 
+def asked_terms(t: Tables) -> DataFrame:
+    return t.benchmark.select("item_id", F.explode(F.split(normalize_text(F.col("text")), " ")).alias("term")).where("term <> ''").distinct()
+
+
+@query(QUERIES)
+def q_search_all(t: Tables) -> DataFrame:
+    """Documents that hold each word of an item, or for it a longer or near one; ``q_search`` asks for the first four words as they stand, as its SQL does."""
+    terms, index = asked_terms(t), X.inverted_index(t.documents, "doc_id", ["text"]).withColumnRenamed("term", "word")
+    near = index.join(X.fuzzy_terms(terms, index), "word").groupBy("term", "doc_id", "field").agg(F.sum("n").alias("n"))
+    return X.search(terms, near, "item_id", "doc_id", {"text": 1.0}, t.documents.count()).select("item_id", "doc_id", F.round("score", 6).alias("score"))
+
+
+@query(QUERIES)
+def q_fuzzy_terms_all(t: Tables) -> DataFrame:
+    """Prefix and near words of every word of each item; ``q_fuzzy_terms`` keeps to the first four, as its SQL does."""
+    words = t.documents.select(F.explode(F.array_distinct(F.split(normalize_text(F.col("text")), " "))).alias("word")).where("length(word) > 1")
+    return X.fuzzy_terms(asked_terms(t), words)
+
+
 @query(QUERIES, f"WITH q AS (SELECT DISTINCT unnest(string_split({NORMAL.format(c='text')}, ' ')[1:4]) AS term FROM benchmark), v AS (SELECT DISTINCT term AS word FROM {TERMS} WHERE length(term) > 1) SELECT term, word FROM q JOIN v ON starts_with(word, term) OR levenshtein(term, word) <= floor(length(term) * 0.2) WHERE term <> ''")
 def q_fuzzy_terms(t: Tables) -> DataFrame:
     asked = t.benchmark.select(F.explode(F.slice(F.split(normalize_text(F.col("text")), " "), 1, 4)).alias("term"))

@@ -67,3 +67,12 @@ def test_density_counts_every_row_by_weight(spark):
     found = {(r["band"], r["block"]): (r["preferred"], r["fallback"], r["known"]) for r in registry.queries()["q_density_all"](spark, FOLDER).collect()}
     assert found.keys() == want.keys()
     assert all(math.isclose(a, b, abs_tol=1e-8) for k in want for a, b in zip(found[k], want[k], strict=True))
+
+
+def test_search_looks_up_every_word_and_near_ones(spark, tmp_path):
+    texts = {1: "alpha beta gamma delta runway", 2: "alpha beta gamma delta", 3: "alpha beta gamma delta rumway", 4: "alphabet beta gamma delta runways", 5: "alpha beta gamma runway"}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(9, "alpha beta gamma delta runway")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert {r["doc_id"] for r in registry.queries()["q_search_all"](spark, str(tmp_path)).collect()} == {1, 3, 4}
+    found = {(r["term"], r["word"]) for r in registry.queries()["q_fuzzy_terms_all"](spark, str(tmp_path)).collect()}
+    assert {("runway", "runway"), ("runway", "rumway"), ("runway", "runways"), ("alpha", "alphabet")} <= found
