@@ -172,8 +172,14 @@ def identify(docs: DataFrame, net: ByteNet | None = None, folds: int = 5, held_o
 def known_language(docs: DataFrame, least: float = 0.3, **options) -> DataFrame:
     """``docs``, all columns, but for those whose language is unknown or scored under ``least``.
 
-    Rows without an id are judged by their text."""
-    key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
+    Rows are judged by id and text, so rows that share an id are judged apart; the network is trained by ids, and by
+    texts where there is none."""
+    if options.get("net") is None:
+        named = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("doc_id"), "text", "lang")
+        options = options | {"net": train(named, **{k: v for k, v in options.items() if k != "net"})}
+        if options["net"] is None:
+            return docs.where(F.lit(False))
+    key = F.xxhash64(F.col("doc_id").cast("long"), "text")
     found = identify(docs.select(key.alias("doc_id"), "text", "lang"), **options)
     bad = found.where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)).select(F.col("doc_id").alias("bad")).distinct()
     return docs.join(bad, key == F.col("bad"), "left_anti")

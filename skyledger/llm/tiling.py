@@ -159,8 +159,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, least: int = 5, coverag
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs``, all columns, without the documents that hold a benchmark item; rows without an id are judged by their text."""
-    found = contamination(docs.select(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("doc_id"), "text"), benchmark, **options)
-    key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
+    """``docs``, all columns, without the documents that hold a benchmark item; rows are judged by id and text, so rows that share an id are judged apart."""
+    key = F.xxhash64(F.col("doc_id").cast("long"), "text")
+    found = contamination(docs.select(key.alias("doc_id"), "text"), benchmark, **options)
     bad = found.select(F.col("doc_id").alias("bad")).distinct()
     return docs.join(bad, key == F.col("bad"), "left_anti")
