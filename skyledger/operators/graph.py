@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.functions.storage import written
+from skyledger.functions.storage import forget, written
 
 
 def large_star(edges: DataFrame) -> DataFrame:
@@ -34,7 +34,8 @@ def connected_components(edges: DataFrame, source: str = "src", target: str = "d
     pairs = written(nodes.where("u != v").distinct(), "edges")
     mark = None
     for _ in range(rounds):
-        pairs = written(small_star(large_star(pairs)), "edges")
+        before, pairs = pairs, written(small_star(large_star(pairs)), "edges")
+        forget(before)
         seen = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == mark:
             break
