@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.llm.common import table, written
 from skyledger.llm.langid import known_language
-from skyledger.llm.mixing import mixed_documents
+from skyledger.llm.mixing import by_length, mixed_documents
 from skyledger.llm.nearcopies import one_of_near_copies
 from skyledger.llm.placement import place
 from skyledger.llm.queries import SHARDS
@@ -30,7 +30,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    return mixed_documents(docs)
+    return mixed_documents(docs, preference=by_length())
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

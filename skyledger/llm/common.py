@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.functions.storage import shared_folder, written  # noqa: F401
+from skyledger.functions.storage import forget, shared_folder, written  # noqa: F401
 
 #: ASCII white space as the text contracts define it.
 SPACE = r"\x20\x09-\x0D"
@@ -64,6 +64,14 @@ def chunks(starts: np.ndarray, ends: np.ndarray, most: int = 4_000_000):
         i = j
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def runs(ordered: np.ndarray) -> np.ndarray:
     """Where each run of equal values begins in an ordered array."""
     if not len(ordered):

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, fold, utf8
+from .common import chunks, fold, fresh, utf8
 
 WINDOW, EMBED, FILTERS, WIDTHS = 128, 8, 16, (2, 3, 4)
 UNKNOWN = "und"
@@ -102,12 +102,15 @@ def windows(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
 
 def train(docs: DataFrame, per_class: int = 400, per_text: int = 6, folds: int = 5, held_out_fold: int = 0) -> ByteNet | None:
     """A network fitted on texts with a label outside the held-out fold: about ``per_class`` texts of each language, the
-    ones with the smallest hashes of their ids, and up to ``per_text`` evenly spaced windows of each."""
+    ones with the smallest hashes of id and text, and up to ``per_text`` evenly spaced windows of each.
+
+    ``2 * per_class`` rows a language at most reach the driver, however many rows repeat one id and text."""
     labelled = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (fold(F.col("doc_id"), folds) != held_out_fold))
     counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().orderBy("lang").collect()}
     if not counts:
         return None
-    share = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1_000_000)) / 1e6
+    draw = F.xxhash64("doc_id", "text", F.lit("langid"))
+    share = F.pmod(draw, F.lit(1_000_000)) / 1e6
     limit = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(1.0, per_class / n)))])
     classes = sorted(counts)
 
@@ -119,9 +122,10 @@ def train(docs: DataFrame, per_class: int = 400, per_text: int = 6, folds: int =
                 many = max(1, -(-int(e - s) // WINDOW))
                 picks = sorted({round(k * (many - 1) / max(1, per_text - 1)) for k in range(per_text)})
                 out.append([data[s + k * WINDOW : min(e, s + (k + 1) * WINDOW)].tobytes() for k in picks])
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("doc_id"), pa.array(out, pa.list_(pa.binary()))], names=["lang", "doc_id", "parts"])
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("doc_id"), batch.column("draw"), pa.array(out, pa.list_(pa.binary()))], names=["lang", "doc_id", "draw", "parts"])
 
-    rows = labelled.where(share < F.element_at(limit, F.col("lang"))).select("lang", "doc_id", "text").mapInArrow(cut, "lang string, doc_id long, parts array<binary>").collect()
+    few = labelled.where(share < F.element_at(limit, F.col("lang"))).select("lang", "doc_id", draw.alias("draw"), "text")
+    rows = few.mapInArrow(cut, "lang string, doc_id long, draw long, parts array<binary>").orderBy("draw").limit(2 * per_class * len(classes)).collect()
     rows.sort(key=lambda r: (r["lang"], r["doc_id"] is None, r["doc_id"] or 0, r["parts"]))
     rng = np.random.default_rng(3)
     by_class = [[p for r in rows if r["lang"] == c for p in r["parts"]] for c in classes]
@@ -135,6 +139,28 @@ def train(docs: DataFrame, per_class: int = 400, per_text: int = 6, folds: int =
     return ByteNet(classes).fit(np.stack(x), np.array(y))
 
 
+def predict(net: ByteNet, batch: pa.RecordBatch, text: str, letters: str) -> tuple[list[str], np.ndarray]:
+    """Language and score of each row of a batch: every window of a text is scored and the windows' logits are averaged."""
+    data, starts, ends = utf8(batch.column(text))
+    n = len(starts)
+    total, many = np.zeros((n, len(net.classes))), np.zeros(n)
+    for i, j in chunks(starts, ends, 1_000_000):
+        x, row = windows(data, starts[i:j], ends[i:j])
+        for a in range(0, len(x), 2048):
+            z = net.logits(x[a : a + 2048])
+            for k in range(z.shape[1]):
+                total[i:j, k] += np.bincount(row[a : a + 2048], z[:, k], j - i)
+        many[i:j] += np.bincount(row, minlength=j - i)
+    p = softmax(total / np.maximum(many, 1)[:, None])
+    known = np.asarray(batch.column(letters))
+    names = [net.classes[k] if ok else UNKNOWN for k, ok in zip(p.argmax(1), known, strict=True)]
+    return names, np.where(known, p.max(1) if n else np.zeros(0), 0.0)
+
+
+def has_letters(text: str) -> Column:
+    return F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
+
+
 def identify(docs: DataFrame, net: ByteNet | None = None, folds: int = 5, held_out_fold: int = 0) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every whole text of ``docs`` (doc_id, text, lang).
 
@@ -142,44 +168,35 @@ def identify(docs: DataFrame, net: ByteNet | None = None, folds: int = 5, held_o
     ``und`` with score 0, as is every text where no row has a label to learn from. Labels are used to train alone.
     A null doc_id falls into the fold of the empty string; rows pass through as they are; other columns are ignored."""
     net = net if net is not None else train(docs, folds=folds, held_out_fold=held_out_fold)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold(F.col("doc_id"), folds) == held_out_fold).alias("held_out"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold(F.col("doc_id"), folds) == held_out_fold).alias("held_out"), has_letters("text").alias("letters"), "text")
     if net is None:
         return rows.select("doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batches):
-        net = shared.value
         for batch in batches:
-            data, starts, ends = utf8(batch.column("text"))
-            n = len(starts)
-            total, many = np.zeros((n, len(net.classes))), np.zeros(n)
-            for i, j in chunks(starts, ends, 1_000_000):
-                x, row = windows(data, starts[i:j], ends[i:j])
-                for a in range(0, len(x), 2048):
-                    z = net.logits(x[a : a + 2048])
-                    for k in range(z.shape[1]):
-                        total[i:j, k] += np.bincount(row[a : a + 2048], z[:, k], j - i)
-                many[i:j] += np.bincount(row, minlength=j - i)
-            p = softmax(total / np.maximum(many, 1)[:, None])
-            letters = np.asarray(batch.column("letters"))
-            best = p.argmax(1)
-            names = [net.classes[k] if ok else UNKNOWN for k, ok in zip(best, letters, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(np.where(letters, p.max(1) if n else np.zeros(0), 0.0))], names=["doc_id", "held_out", "lang_pred", "score"])
+            names, scores = predict(shared.value, batch, "text", "letters")
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(scores)], names=["doc_id", "held_out", "lang_pred", "score"])
 
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def known_language(docs: DataFrame, least: float = 0.3, **options) -> DataFrame:
-    """``docs``, all columns, but for those whose language is unknown or scored under ``least``.
-
-    Rows are judged by id and text, so rows that share an id are judged apart; the network is trained by ids, and by
-    texts where there is none."""
-    if options.get("net") is None:
-        named = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("doc_id"), "text", "lang")
-        options = options | {"net": train(named, **{k: v for k, v in options.items() if k != "net"})}
-        if options["net"] is None:
-            return docs.where(F.lit(False))
-    key = F.xxhash64(F.col("doc_id").cast("long"), "text")
-    found = identify(docs.select(key.alias("doc_id"), "text", "lang"), **options)
-    bad = found.where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)).select(F.col("doc_id").alias("bad")).distinct()
-    return docs.join(bad, key == F.col("bad"), "left_anti")
+def known_language(docs: DataFrame, least: float = 0.3, net: ByteNet | None = None, **options) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text is of a known language with a score of ``least`` or more.
+
+    Each row is judged where it stands, by its own text: nothing is joined or shuffled, so rows that share an id are
+    judged apart, repeated rows stay as often as they come, and no column name can clash. Null texts and texts without
+    a letter go. A null doc_id is in the fold of the empty string in training. Where no row has a label to learn from,
+    no language is known and nothing is kept; an empty table stays empty."""
+    net = net if net is not None else train(docs, **options)
+    if net is None:
+        return docs.where(F.lit(False))
+    shared, letters, names = docs.sparkSession.sparkContext.broadcast(net), fresh(docs, "letters"), docs.columns
+
+    def run(batches):
+        for batch in batches:
+            found, scores = predict(shared.value, batch, "text", letters)
+            keep = (np.array(found, object) != UNKNOWN) & (scores >= least)
+            yield batch.select(names).filter(pa.array(keep.astype(bool)))
+
+    return docs.withColumn(letters, has_letters("text")).mapInArrow(run, docs.schema)

@@ -1,19 +1,21 @@
-"""Near copies by the Jaccard similarity of word shingles: MinHash bands give candidates, the texts decide."""
+"""Near copies by the Jaccard similarity of word shingles: SimHash balls and MinHash bands propose pairs, the texts decide."""
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.operators.graph import connected_components
 
-from .common import LOWER_BYTES, chunks, utf8, written
+from .common import LOWER_BYTES, chunks, forget, fresh, utf8, written
+from .simhash import links as near_prints
 
 BANDS, ROWS = 24, 4  # a pair of similarity s shares a band with a chance of 1 - (1 - s^4)^24: all but 3.2e-6 at 0.8
-CROWD = 8  # how many of the next members of a band, in order, each member is compared with
+CROWD = 12  # members of a band up to which all pairs of it are proposed at once
+HUBS = 32  # members of a larger band that meet all others in the first round; four times as many in each further one
 
 
 def shingles(text: bytes, size: int) -> list[bytes]:
@@ -27,18 +29,23 @@ def shingles(text: bytes, size: int) -> list[bytes]:
     return [line[s:e] for s, e in zip(starts[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist(), strict=True)]
 
 
-def band_keys(texts: list[bytes], size: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of each text a hash of its words, and one key a band of the least values of its shingles' hashes."""
+def signatures(texts: list[bytes], size: int, seed: int) -> tuple[np.ndarray, ...]:
+    """Of each text a hash of its words, its SimHash, the number of its distinct shingles, and one key a band of the
+    least values of its shingles' hashes."""
     digest = xxhash.xxh64_intdigest
-    found = [shingles(t, size) for t in texts]
     nodes = np.fromiter((digest(b" ".join(t.translate(LOWER_BYTES).split()), seed) for t in texts), np.uint64, len(texts))
+    found = [[digest(s, seed) for s in shingles(t, size)] for t in texts]
     n = np.fromiter(map(len, found), np.int64, len(texts))
-    keys = np.zeros((len(texts), BANDS), np.uint64)
+    distinct = np.fromiter((len(set(f)) for f in found), np.int64, len(texts))
+    keys, prints = np.zeros((len(texts), BANDS), np.uint64), np.zeros(len(texts), np.uint64)
     full = np.flatnonzero(n)
     if not len(full):
-        return nodes, keys
-    hashes = np.fromiter((digest(s, seed) for f in found for s in f), np.uint64, int(n.sum()))
+        return nodes, prints, distinct, keys
+    hashes = np.fromiter((h for f in found for h in f), np.uint64, int(n.sum()))
     at = (np.cumsum(n) - n)[full]
+    bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+    votes = np.add.reduceat(bits, at, axis=0, dtype=np.int32)
+    prints[full] = np.packbits(2 * votes > n[full, None], axis=1).view(">u8").ravel()
     turn = np.random.default_rng(seed).integers(0, 1 << 64, (2, BANDS * ROWS), np.uint64)
     for band in range(BANDS):
         key = np.full(len(full), band + 1, np.uint64)
@@ -47,54 +54,77 @@ def band_keys(texts: list[bytes], size: int, seed: int) -> tuple[np.ndarray, np.
             key = (key ^ least) * np.uint64(0x9E3779B97F4A7C15)
             key ^= key >> np.uint64(29)
         keys[full, band] = key
-    return nodes, keys
+    return nodes, prints, distinct, keys
 
 
 def signed(docs: DataFrame, size: int = 5, seed: int = 42) -> DataFrame:
-    """(doc_id, text_hash, node, keys): equal words are one node; wordless and null texts are one too."""
+    """(doc_id, text_hash, node, fp, n, keys): equal words are one node; wordless and null texts are one too."""
 
     def run(batches):
         for batch in batches:
             data, starts, ends = utf8(batch.column("text"))
-            parts = [band_keys([data[s:e].tobytes() for s, e in zip(starts[i:j], ends[i:j], strict=True)], size, seed) for i, j in chunks(starts, ends, 1_000_000)]
-            nodes = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.uint64)
-            keys = np.concatenate([p[1] for p in parts]) if parts else np.zeros((0, BANDS), np.uint64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(nodes) + 1, dtype=np.int32) * BANDS), pa.array(keys.ravel().view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(nodes.view(np.int64)), lists], names=["doc_id", "text_hash", "node", "keys"])
+            for i, j in chunks(starts, ends, 1_000_000):
+                nodes, prints, n, keys = signatures([data[s:e].tobytes() for s, e in zip(starts[i:j], ends[i:j], strict=True)], size, seed)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(nodes) + 1, dtype=np.int32) * BANDS), pa.array(keys.ravel().view(np.int64)))
+                own = [batch.column(c).slice(i, j - i) for c in ("doc_id", "text_hash")]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(nodes.view(np.int64)), pa.array(prints.view(np.int64)), pa.array(n), lists], names=["doc_id", "text_hash", "node", "fp", "n", "keys"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    return rows.mapInArrow(run, "doc_id long, text_hash long, node long, keys array<long>")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, node long, fp long, n long, keys array<long>")
 
 
-def candidates(nodes: DataFrame, crowd: int = CROWD) -> DataFrame:
-    """(src, dst, hub, shared) of distinct ``nodes`` (node, keys) that share a band.
+def sizes_allow(a: str, b: str, least: float) -> Column:
+    """Whether sets of ``a`` and ``b`` shingles can be similar enough at all."""
+    return F.least(a, b) >= least * F.greatest(a, b) - 1e-9
 
-    Bands of up to ``crowd`` + 1 members give all their pairs. In a larger one, where pairs would grow with the square,
-    each member meets the next ``crowd`` in the order of another band, and the member that stands in the most and
-    largest bands: the text that the others were made from."""
-    bands = nodes.select("node", F.col("keys"), F.posexplode("keys").alias("band", "key")).select("node", "key", F.expr(f"keys[(band + 1) % {BANDS}]").alias("after"))
-    by_key = Window.partitionBy("key")
-    met = written(bands.withColumn("n", F.count("*").over(by_key)).where("n > 1"), "bands")
-    order = by_key.orderBy("after", "node")
-    following = met.select("node", F.array(*[F.lead("node", i).over(order) for i in range(1, crowd + 1)]).alias("others")).select("node", F.explode("others").alias("other")).where("other is not null").withColumn("hub", F.lit(0))
-    crowded = met.where(f"n > {crowd + 1}").select("node", "key", "n")
-    score = crowded.groupBy("node").agg(F.sum("n").alias("score"))
-    hub = F.first("node").over(by_key.orderBy(F.desc("score"), "node"))
-    central = crowded.join(score, "node").select("node", hub.alias("other"), F.lit(1).alias("hub"))
-    pairs = following.unionByName(central).select(F.least("node", "other").alias("src"), F.greatest("node", "other").alias("dst"), "hub").where("src < dst")
-    return pairs.groupBy("src", "dst").agg(F.max("hub").alias("hub"), F.count("*").alias("shared"))
+
+def by_print(nodes: DataFrame) -> DataFrame:
+    """Pairs (src, dst) of nodes whose SimHashes lie within four bits, by the balls of ``simhash.links``."""
+    first = nodes.groupBy("fp").agg(F.min("node").alias("first"))
+    same = nodes.join(first, "fp").where("node != first").select(F.col("first").alias("src"), F.col("node").alias("dst"))
+    of = lambda end: first.select(F.col("fp").alias(end), F.col("first").alias(f"{end}_node"))
+    near = near_prints(first.select("fp")).join(of("src"), "src").join(of("dst"), "dst")
+    return same.unionByName(near.select(F.least("src_node", "dst_node").alias("src"), F.greatest("src_node", "dst_node").alias("dst")))
+
+
+def in_bands(nodes: DataFrame) -> DataFrame:
+    """(key, node, n, m) of the bands that ``m`` > 1 nodes share. Members are counted before rows meet, so no band is gathered."""
+    bands = nodes.select(F.explode("keys").alias("key"), "node", "n")
+    return bands.join(bands.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "key")
+
+
+def proposals(met: DataFrame, least: float, crowd: int) -> DataFrame:
+    """Pairs (src, dst, hub, shared) of bands: all of those with ``crowd`` members or fewer; of larger ones, each member
+    with the one that stands in the most and largest bands: the text that the others were made from."""
+    few = met.where(f"m <= {crowd}").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("node", "n"))).alias("all"))
+    pairs = few.select(F.explode(F.expr("flatten(transform(all, a -> transform(filter(all, b -> b.node > a.node), b -> struct(a.node as src, b.node as dst, a.n as x, b.n as y))))")).alias("p")).select("p.*", F.lit(0).alias("hub"))
+    large = met.where(f"m > {crowd}")
+    score = large.groupBy("node").agg(F.sum("m").alias("score"))
+    hubs = large.join(score, "node").groupBy("key").agg(F.max(F.struct("score", "node", "n")).alias("h"))
+    central = large.join(hubs, "key").where("node != h.node").select(F.least("node", "h.node").alias("src"), F.greatest("node", "h.node").alias("dst"), F.col("n").alias("x"), F.col("h.n").alias("y"), F.lit(1).alias("hub"))
+    return pairs.unionByName(central).where(sizes_allow("x", "y", least)).groupBy("src", "dst").agg(F.max("hub").alias("hub"), F.count("*").alias("shared"))
 
 
 def alike(pairs: DataFrame, texts: DataFrame, least: float, size: int) -> DataFrame:
     """Those (src, dst) of which the sets of shingles have a Jaccard similarity of ``least`` or more."""
 
     def run(batches):
+        held = {}
+
+        def shingle_set(text) -> set[bytes]:
+            text = text.as_py() or ""
+            if text not in held:
+                if len(held) > 1:
+                    held.pop(next(iter(held)))
+                held[text] = set(shingles(text.encode(), size))
+            return held[text]
+
         for batch in batches:
             keep = []
             for a, b in zip(batch.column("a"), batch.column("b"), strict=True):
-                x, y = (set(shingles((t.as_py() or "").encode(), size)) for t in (a, b))
+                x, y = shingle_set(b), shingle_set(a)
                 both = len(x & y)
-                keep.append(both > 0 and both >= least * (len(x) + len(y) - both))
+                keep.append(both > 0 and both >= least * (len(x) + len(y) - both) - 1e-9)
             yield batch.select(["src", "dst"]).filter(pa.array(keep, pa.bool_()))
 
     first = texts.select(F.col("node").alias("src"), F.col("text").alias("a"))
@@ -102,40 +132,82 @@ def alike(pairs: DataFrame, texts: DataFrame, least: float, size: int) -> DataFr
     return pairs.select("src", "dst").join(first, "src").join(second, "dst").select("src", "dst", "a", "b").mapInArrow(run, "src long, dst long")
 
 
+def with_roots(df: DataFrame, found: DataFrame, node: str, name: str) -> DataFrame:
+    """Adds ``name``, the component of column ``node``, which is the node itself where ``found`` has none."""
+    held = found.select(F.col("node").alias("node_"), F.col("component").alias("component_"))
+    return df.join(held, F.col(node) == F.col("node_"), "left").withColumn(name, F.coalesce("component_", node)).drop("node_", "component_")
+
+
+def crowded_links(large: DataFrame, links: DataFrame, found: DataFrame, texts: DataFrame, least: float, size: int) -> DataFrame:
+    """Components once all pairs of the bands ``large`` (key, node, n) that could still join two of them are compared.
+
+    In each round some members of a band, drawn by hash, meet all others of it that stand in other components, and
+    leave the band; a band whose members are all in one component is done. The draws grow fourfold a round, so a band
+    is done after a number of rounds that grows with the logarithm of its size, and no pair is left out: two members
+    were compared, or stood in one component already."""
+    rounds = 0
+    while True:
+        state = written(with_roots(large, found, "node", "root"), "crowded")
+        undone = state.groupBy("key").agg(F.count("*").alias("m"), F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("key", "m")
+        draw = F.pmod(F.xxhash64("key", "node", F.lit(rounds)), F.lit(1 << 20)) / float(1 << 20)
+        state = written(state.join(undone, "key").withColumn("drawn", draw * F.col("m") < HUBS * 4**rounds), "crowded")
+        if state.isEmpty():
+            return found
+        hubs = state.where("drawn").select("key", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("root").alias("hub_root"))
+        met = state.join(hubs, "key").where((F.col("root") != F.col("hub_root")) & sizes_allow("n", "hub_n", least))
+        pairs = written(met.select(F.least("node", "hub").alias("src"), F.greatest("node", "hub").alias("dst")).distinct(), "candidates")
+        more = written(alike(pairs, texts, least, size), "links")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            found = written(connected_components(links), "components")
+        large, rounds = state.where("not drawn").select("key", "node", "n"), rounds + 1
+
+
 def near_copies(docs: DataFrame, least: float = 0.8, size: int = 5, seed: int = 42, crowd: int = CROWD) -> DataFrame:
     """(doc_id, text_hash, component) of each row: texts linked, directly or through others, by pairs of which the sets
     of ``size``-word shingles have a Jaccard similarity of ``least`` or more.
 
-    No pair is linked without its texts being compared. Each text is first compared with its likeliest candidate; of the
-    others only pairs that this leaves apart are compared, so that a large group costs about one comparison a member."""
+    Pairs come from the balls around SimHashes and, as these reach few pairs at 0.8, from MinHash bands; none is linked
+    without its texts being compared, and none that shares a band is left out. Each text is first compared with its
+    likeliest partner; of the others only pairs that this leaves apart are compared, so a large group costs about one
+    comparison a member."""
     rows = written(signed(docs, size, seed), "signed")
-    nodes = rows.groupBy("node").agg(F.first("keys").alias("keys"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("row"))
-    pairs = written(candidates(nodes.select("node", "keys"), crowd), "candidates")
-    ends = pairs.select(F.col("src").alias("node")).unionByName(pairs.select(F.col("dst").alias("node"))).distinct()
-    wanted = nodes.select("node", "row.doc_id", "row.text_hash").join(ends, "node", "left_semi").select("node", F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
-    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    texts = written(named.join(wanted, named.doc_id.eqNullSafe(wanted.id) & (named.text_hash == wanted.hash)).select("node", "text").dropDuplicates(["node"]), "texts")
+    firsts = rows.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "fp", "n", "keys")).alias("row"))
+    nodes = written(firsts.select("node", "row.*"), "nodes")
+    met = written(in_bands(nodes), "bands")
+    close = by_print(nodes.select("node", "fp")).withColumns({"hub": F.lit(0), "shared": F.lit(1).cast("long")})
+    pairs = written(proposals(met, least, crowd).unionByName(close).groupBy("src", "dst").agg(F.max("hub").alias("hub"), F.sum("shared").alias("shared")), "candidates")
+    ends = met.select("node").unionByName(pairs.select(F.col("src").alias("node"))).unionByName(pairs.select(F.col("dst").alias("node"))).distinct()
+    wanted = nodes.join(ends, "node", "left_semi").select("node", F.coalesce("doc_id", F.lit(0)).alias("id_"), F.col("none").alias("none_"), F.col("text_hash").alias("hash_"))
+    named = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id_"), F.col("doc_id").cast("long").isNull().alias("none_"), F.xxhash64("text").alias("hash_"), "text")
+    texts = written(named.join(wanted, ["id_", "none_", "hash_"]).select("node", "text").dropDuplicates(["node"]), "texts")
     ways = pairs.select(F.col("src").alias("u"), F.col("dst").alias("v"), "hub", "shared").unionByName(pairs.select(F.col("dst").alias("u"), F.col("src").alias("v"), "hub", "shared"))
     best = ways.groupBy("u").agg(F.max(F.struct("hub", "shared", "v")).alias("best")).select(F.least("u", "best.v").alias("src"), F.greatest("u", "best.v").alias("dst")).distinct()
     best = written(best, "best")
     links = written(alike(best, texts, least, size), "links")
     found = written(connected_components(links), "components")
-    of = lambda end: found.select(F.col("node").alias(end), F.col("component").alias(f"{end}_root"))
-    apart = pairs.select("src", "dst").join(best, ["src", "dst"], "left_anti").join(of("src"), "src", "left").join(of("dst"), "dst", "left")
-    more = written(alike(apart.where(F.coalesce("src_root", "src") != F.coalesce("dst_root", "dst")), texts, least, size), "links")
+    apart = with_roots(with_roots(pairs.select("src", "dst").join(best, ["src", "dst"], "left_anti"), found, "src", "a"), found, "dst", "b")
+    more = written(alike(apart.where("a != b"), texts, least, size), "links")
     if not more.isEmpty():
-        found = connected_components(links.unionByName(more))
-    return rows.select("doc_id", "text_hash", "node").join(found, "node", "left").select("doc_id", "text_hash", F.coalesce("component", "node").alias("component"))
+        links = links.unionByName(more)
+        found = written(connected_components(links), "components")
+    found = crowded_links(met.where(f"m > {crowd}").select("key", "node", "n"), links, found, texts, least, size)
+    out = written(with_roots(rows.select("doc_id", "text_hash", "node"), found, "node", "component").select("doc_id", "text_hash", "component"), "copies")
+    forget(rows, nodes, met, pairs, texts, best)
+    return out
 
 
 def one_of_near_copies(docs: DataFrame, **options) -> DataFrame:
     """``docs``, all columns, with one row of each group of near copies: that of the smallest doc_id, then of the
     smallest hash of its text.
 
-    Rows are told apart by id and text, so rows that share an id and differ in text are judged each by itself. Rows
-    without an id are kept where no other of their group has one."""
+    Rows are told apart by id and text, so rows that share an id and differ in text are judged each by itself; of rows
+    equal in both one stays. Rows without an id are kept where no other of their group has one. Null, empty and
+    wordless texts are copies of each other, as are texts that differ in case (A-Z) and spacing alone. An empty table
+    stays empty, and columns of any name pass through."""
     first = near_copies(docs, **options).groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("row"))
-    kept = first.select(F.col("row.doc_id").alias("kept_id"), F.col("row.text_hash").alias("kept_hash"))
-    rows = docs.withColumn("text_hash_", F.xxhash64("text"))
-    same = rows["doc_id"].cast("long").eqNullSafe(kept["kept_id"]) & (rows["text_hash_"] == kept["kept_hash"])
-    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text_hash_"]).select(*docs.columns)
+    key = [fresh(docs, c) for c in ("id_", "none_", "hash_")]
+    kept = first.select(F.coalesce("row.doc_id", F.lit(0)).alias(key[0]), F.col("row.none").alias(key[1]), F.col("row.text_hash").alias(key[2]))
+    named = dict(zip(key, [F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), F.col("doc_id").cast("long").isNull(), F.xxhash64("text")], strict=True))
+    rows = docs.withColumns(named).dropDuplicates(key)  # copies go before the shuffle, which the join then shares
+    return rows.join(kept, key, "left_semi").select(*docs.columns)

@@ -131,13 +131,16 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 3, penalty:
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = 6000, folds: int = 5, held_out_fold: int = 0, **options) -> RuleModel:
-    """Fitted on about ``rows`` labelled documents outside the held-out fold, those with the smallest hashes of their ids."""
+    """Fitted on about ``rows`` labelled documents outside the held-out fold, those with the smallest hashes of their ids.
+
+    Where rows repeat an id, those with the smallest hashes of their texts are taken, ``2 * rows`` in all at most."""
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & (fold(F.col("doc_id"), folds) != held_out_fold))
     n = usable.count()
     share = F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1_000_000)) / 1e6
     chosen = usable.where(share < min(1.0, rows / max(n, 1))).groupBy("doc_id").agg(F.max("y").alias("y"))  # about ``rows`` rows: broadcast
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
-    found = statistics(texts.select(F.struct("doc_id", "y").alias("doc_id"), "text")).select("doc_id.doc_id", "doc_id.y", *FEATURES).collect()
+    named = texts.select(F.struct("doc_id", "y", F.xxhash64("doc_id", "text").alias("draw")).alias("doc_id"), "text")
+    found = statistics(named).select("doc_id.doc_id", "doc_id.y", "doc_id.draw", *FEATURES).orderBy("draw", *FEATURES).limit(2 * rows).collect()
     found.sort(key=lambda r: tuple(r))
     x = np.array([[r[f] for f in FEATURES] for r in found], float).reshape(-1, len(FEATURES))
     return fit(x, np.array([r["y"] for r in found], float), **options)

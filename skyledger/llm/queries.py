@@ -9,7 +9,7 @@ from .ctw import ctw_scores
 from .flac import media_round_trip
 from .langid import identify
 from .license import license_scan
-from .mixing import mix
+from .mixing import by_length, mix
 from .placement import SLOTS, lookup_table, place
 from .quality import quality_scores
 from .repair import encoded
@@ -24,7 +24,7 @@ def op1_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(table(spark, sf_dir, "documents"), preference=by_length()).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op3_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,16 +64,23 @@ def queries() -> dict:
 
 
 MIX_SQL = r"""
-WITH d AS (SELECT doc_id, source, coalesce('a' || source, 'b') AS key, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END::BIGINT AS size, text FROM documents),
+WITH d AS (SELECT doc_id, coalesce('a' || source, 'b') AS key, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END::BIGINT AS size FROM documents),
+e AS (SELECT *, CASE WHEN size < 50 THEN 8 WHEN size < 200 THEN 16 WHEN size < 1000 THEN 24 ELSE 32 END::BIGINT AS class FROM d),
 s AS (SELECT key, sum(size)::BIGINT AS source_size, [5, 2, 1][((row_number() OVER (ORDER BY key) - 1) % 3 + 1)::INT]::BIGINT AS weight FROM d GROUP BY key),
 o AS (SELECT *, row_number() OVER w AS place, (sum(source_size) OVER ())::BIGINT - coalesce(sum(3 * source_size) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS left_over,
         (sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS share FROM s WINDOW w AS (ORDER BY source_size / weight, key)),
 l AS (SELECT left_over, share FROM o WHERE (3 * source_size)::DOUBLE >= (weight * left_over)::DOUBLE / share ORDER BY place LIMIT 1),
 t AS (SELECT key, source_size, least((3 * source_size)::DOUBLE, (weight * l.left_over)::DOUBLE / l.share) AS target FROM o, l),
-r AS (SELECT d.*, source_size, target, CASE WHEN source_size > 0 THEN floor(target)::BIGINT // source_size ELSE 0 END AS whole,
-        CASE WHEN source_size > 0 THEN floor(target)::BIGINT % source_size ELSE 0 END AS rest, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT AS digits FROM d JOIN t USING (key)),
-c AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY key ORDER BY digits, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM r)
-SELECT doc_id, size, source_size, target, (whole * size + greatest(0, least(size, rest - before)))::BIGINT AS taken FROM c
+k AS (SELECT key, class, source_size, target, floor(target)::BIGINT AS goal, words FROM (SELECT key, class, sum(size)::BIGINT AS words FROM e GROUP BY 1, 2) JOIN t USING (key)),
+v AS (SELECT *, (goal - coalesce(sum(3 * words) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE / nullif(sum(words * class) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0)::DOUBLE AS level FROM k WINDOW w AS (PARTITION BY key ORDER BY class DESC)),
+f AS (SELECT *, arg_max(level, class) FILTER (level * class <= 3) OVER (PARTITION BY key) AS first FROM v),
+c AS (SELECT key, class, source_size, target, goal, CASE WHEN words = 0 THEN 0::DOUBLE WHEN first IS NULL THEN 3::DOUBLE ELSE least(3::DOUBLE, first * class) END AS copies FROM f),
+r AS (SELECT e.*, source_size, target, goal, floor(copies)::BIGINT AS whole, copies - floor(copies) AS p, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT AS digits FROM e JOIN c USING (key, class)),
+u AS (SELECT *, (digits::DOUBLE + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u FROM r),
+q AS (SELECT *, CASE WHEN p > 0 AND size > 0 THEN u / (1::DOUBLE - u) / (p / (1::DOUBLE - p)) END AS rank, goal - (sum(whole * size) OVER (PARTITION BY key))::BIGINT AS need FROM u),
+b AS (SELECT *, coalesce(sum(CASE WHEN rank IS NOT NULL THEN size END) OVER (PARTITION BY key ORDER BY rank NULLS LAST, digits, doc_id, size GROUPS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before,
+        count(*) OVER (PARTITION BY key, rank, digits, doc_id, size) AS many FROM q)
+SELECT doc_id, size, source_size, target, (whole * size + CASE WHEN rank IS NULL OR need <= before THEN 0 WHEN need - before >= size * many THEN size ELSE (need - before) // many END)::BIGINT AS taken FROM b
 """
 
 

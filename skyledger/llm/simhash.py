@@ -116,21 +116,3 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, seed: in
     roots = nodes.groupBy("fp_root").agg(F.min("first").alias("component_id"))
     names = nodes.select("fp", "fp_root").join(roots, "fp_root")
     return prints.join(names, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "fp_root")
-
-
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """``docs``, all columns, with one document of each component: that of the smallest doc_id.
-
-    A component without any id keeps one of its rows; rows that repeat a kept id are dropped with the copies."""
-    found = near_duplicates(docs, **options)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    roots = found.where("doc_id is null and component_id is null").select("fingerprint", "fp_root").distinct()
-    rest = docs.where("doc_id is null").select(F.struct(*docs.columns).alias("row"), "text")
-    prints = rest.groupBy("text").agg(F.first("row").alias("row"))
-    hashed = prints.withColumn("doc_id", F.monotonically_increasing_id())
-    hashed = written(hashed, "unnamed")
-    rows = fingerprints(hashed).join(roots, F.lower(F.lpad(F.hex("fp"), 16, "0")) == F.col("fingerprint"))
-    first = rows.groupBy("fp_root").agg(F.min("doc_id").alias("doc_id"))
-    unnamed = hashed.join(first, "doc_id", "left_semi").select(*[F.col("row")[c].alias(c) for c in docs.columns])
-    return named.unionByName(unnamed)

@@ -10,10 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_BYTES, utf8
+from .common import LOWER_BYTES, runs, utf8
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
-BLOCK_WORDS = 1_000_000  # about as many benchmark words go out in one broadcast
+BLOCK_WORDS = 500_000  # about as many benchmark words go out in one broadcast
 #: A-Z lowered, ASCII punctuation and controls to spaces.
 PLAIN = bytes(ord(" ") if c < 0x30 or chr(c) in string.punctuation or c == 0x7F else LOWER_BYTES[c] for c in range(256))
 
@@ -46,6 +46,9 @@ class Index:
                 self.ids.append(item)
                 self.tokens.append(np.array([self.words.setdefault(w, len(self.words)) for w in words], np.int64))
                 seeds.setdefault(min(least, len(words)), []).append(at)
+        self.size = np.array([len(t) for t in self.tokens], np.int64)
+        self.flat = np.concatenate(self.tokens) if self.tokens else np.zeros(0, np.int64)
+        self.first = np.cumsum(self.size) - self.size
         self.seeds = {}
         for k, members in seeds.items():
             hashes = [rolling(self.tokens[i], k) for i in members]
@@ -53,25 +56,36 @@ class Index:
             order = np.argsort(h, kind="stable")
             self.seeds[k] = h[order], owner[order], at[order]
 
-    def matches(self, words: list[bytes]) -> dict[int, list[tuple[int, int]]]:
-        """Seeds that a text shares with each item: (place in text, place in item)."""
+    def matches(self, words: list[bytes], coverage: float = 0.0) -> dict[int, list[tuple[int, int]]]:
+        """Seeds that a text shares with each item: (place in text, place in item).
+
+        Items of whose words all seeds together cover less than ``coverage`` are left out: their tiles could not cover more."""
         get = self.words.get
         ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        known = np.concatenate(([0], np.cumsum(ids < 0)))
         found: dict[int, list[tuple[int, int]]] = {}
         for k, (hashes, owner, at) in self.seeds.items():
-            if len(ids) < k:
-                continue
-            known = np.concatenate(([0], np.cumsum(ids < 0)))
-            places = np.flatnonzero(known[k:] == known[:-k])
+            places = np.flatnonzero(known[k:] == known[:-k]) if len(ids) >= k else ()
             if not len(places):
                 continue
             h = rolling(ids, k)[places]
             low, high = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
-            for i in np.flatnonzero(high > low):
-                p = int(places[i])
-                for j in range(low[i], high[i]):
-                    if np.array_equal(ids[p : p + k], self.tokens[owner[j]][at[j] : at[j] + k]):
-                        found.setdefault(int(owner[j]), []).append((p, int(at[j])))
+            many = high - low
+            if not many.any():
+                continue
+            seed = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+            p, who, q = np.repeat(places, many), owner[seed], at[seed]
+            same = np.ones(len(seed), bool)
+            for j in range(k):
+                same &= ids[p + j] == self.flat[self.first[who] + q + j]
+            order = np.lexsort((p[same], q[same], who[same]))
+            p, who, q = p[same][order], who[same][order], q[same][order]
+            starts = runs(who)
+            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(who)], strict=True):
+                n = int(self.size[who[a]])
+                covered = int(np.minimum(np.diff(np.append(q[a:b], q[b - 1] + k)), k).sum())
+                if covered >= coverage * n:
+                    found[int(who[a])] = list(zip(p[a:b].tolist(), q[a:b].tolist(), strict=True))
         return found
 
 
@@ -116,24 +130,28 @@ def tiles(seeds: list[tuple[int, int]], k: int, n_item: int) -> list[tuple[int,
     return out
 
 
-def tiler(index, least: int):
-    def run(batches):
-        held = index.value
-        for batch in batches:
-            data, starts, ends = utf8(batch.column("text"))
-            ids, rows = batch.column("doc_id").to_pylist(), []
-            for doc, s, e in zip(ids, starts, ends, strict=True):
-                for item, seeds in held.matches(words_of(data[s:e].tobytes())).items():
-                    n = len(held.tokens[item])
-                    found = tiles(seeds, min(least, n), n)
-                    covered = sum(t[2] for t in found)
-                    rows.append((doc, held.ids[item], len(found), max(t[2] for t in found), covered, n, covered / n))
-            names = ["doc_id", "item_id", "n_tiles", "longest_tile", "covered_words", "item_words", "coverage"]
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
-            columns = list(zip(*rows, strict=True)) or [[]] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+def overlaps(held: Index, text: bytes, least: int, coverage: float) -> list[tuple]:
+    """(item, tiles, longest, covered, words, share) of the items of one block that a text covers to ``coverage`` or more."""
+    out = []
+    for item, seeds in held.matches(words_of(text), coverage).items():
+        n = len(held.tokens[item])
+        found = tiles(seeds, min(least, n), n)
+        covered = sum(t[2] for t in found)
+        if covered / n >= coverage:
+            out.append((held.ids[item], len(found), max(t[2] for t in found), covered, n, covered / n))
+    return out
+
 
-    return run
+def blocks_of(benchmark: DataFrame, least: int, block_words: int) -> list:
+    """The benchmark as broadcast seed indexes of about ``block_words`` words each. One block at a time passes the driver."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
+    words = items.agg(F.coalesce(F.sum(F.size(F.split("text", r"\s+"))), F.lit(0))).first()[0]
+    blocks, out = max(1, -(-words // block_words)), []
+    for b in range(blocks):
+        block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
+        out.append(spark.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in block], least)))
+    return out
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, least: int = 5, coverage: float = 0.5, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -144,23 +162,42 @@ def contamination(docs: DataFrame, benchmark: DataFrame, least: int = 5, coverag
     goes out as a seed index in blocks of bounded size, whatever its own size; documents are never shuffled, and each
     whole text is read once a block. Null and wordless texts and items match nothing. Repeated documents give repeated
     rows; rows of one item_id count as items of their own. Other columns are ignored; empty tables give no rows."""
-    spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    words = items.agg(F.coalesce(F.sum(F.size(F.split("text", r"\s+"))), F.lit(0))).first()[0]
-    blocks = max(1, -(-2 * words // block_words))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "doc_id long, item_id long, n_tiles long, longest_tile long, covered_words long, item_words long, coverage double"
-    out = None
-    for b in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
-        found = rows.mapInArrow(tiler(spark.sparkContext.broadcast(Index([(r["item_id"], r["text"]) for r in block], least)), least), schema)
+    names = ["doc_id", "item_id", "n_tiles", "longest_tile", "covered_words", "item_words", "coverage"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
+
+    def tiler(index):
+        def run(batches):
+            for batch in batches:
+                data, starts, ends = utf8(batch.column("text"))
+                rows = [(doc, *row) for doc, s, e in zip(batch.column("doc_id").to_pylist(), starts, ends, strict=True) for row in overlaps(index.value, data[s:e].tobytes(), least, coverage)]
+                columns = list(zip(*rows, strict=True)) or [[]] * len(names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+        return run
+
+    rows, out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), None
+    for index in blocks_of(benchmark, least, block_words):
+        found = rows.mapInArrow(tiler(index), "doc_id long, item_id long, n_tiles long, longest_tile long, covered_words long, item_words long, coverage double")
         out = found if out is None else out.unionByName(found)
-    return out.where(F.col("coverage") >= coverage)
+    return out
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame, least: int = 5, coverage: float = 0.5, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no benchmark item (``contamination`` says what holding is).
+
+    Each row is judged where it stands, by its own text, and goes through one block of the benchmark after the other:
+    nothing is joined or shuffled and ``docs`` is read once, so rows that share an id are judged apart, repeated rows
+    stay as often as they come, and no column name can clash. Rows with a null id are judged alike; null, empty and
+    wordless texts stay. An empty benchmark drops nothing; an empty table stays empty."""
+
+    def cleaner(index):
+        def run(batches):
+            for batch in batches:
+                data, starts, ends = utf8(batch.column("text"))
+                yield batch.filter(pa.array([not overlaps(index.value, data[s:e].tobytes(), least, coverage) for s, e in zip(starts, ends, strict=True)], pa.bool_()))
 
+        return run
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs``, all columns, without the documents that hold a benchmark item; rows are judged by id and text, so rows that share an id are judged apart."""
-    key = F.xxhash64(F.col("doc_id").cast("long"), "text")
-    found = contamination(docs.select(key.alias("doc_id"), "text"), benchmark, **options)
-    bad = found.select(F.col("doc_id").alias("bad")).distinct()
-    return docs.join(bad, key == F.col("bad"), "left_anti")
+    for index in blocks_of(benchmark, least, block_words):
+        docs = docs.mapInArrow(cleaner(index), docs.schema)
+    return docs

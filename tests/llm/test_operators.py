@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from skyledger.llm import ctw, flac, langid, license, mixing, placement, quality, queries, repair, simhash, tiling
+from skyledger.llm import ctw, flac, langid, license, mixing, nearcopies, placement, quality, queries, repair, simhash, tiling
 
 FOLDER = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, slot string, size string, key string, fp string"
@@ -141,7 +141,7 @@ def test_ctw_is_a_distribution():
 
 
 def test_mix_meets_targets_and_reruns_agree(docs):
-    one, two = (sorted(map(tuple, mixing.mix(d).select("doc_id", "size", "target", "taken", "source").collect())) for d in (docs, docs.repartition(7)))
+    one, two = (sorted(map(tuple, mixing.mix(d).select("doc_id", "size", "target", "taken", "key").collect())) for d in (docs, docs.repartition(7)))
     assert one == two
     by = {}
     for _, size, target, taken, source in one:
@@ -151,12 +151,20 @@ def test_mix_meets_targets_and_reruns_agree(docs):
 
 
 def test_mix_with_preferences_is_unequal(docs):
-    liked = docs.withColumn("liked", F.when(F.col("doc_id") % 2 == 0, 3.0).otherwise(1.0))
-    found = mixing.mix(liked, preference="liked")
+    found = mixing.mix(docs, preference=F.when(F.col("doc_id") % 2 == 0, 3.0).otherwise(1.0))
     share = {r["odd"]: r["x"] for r in found.groupBy((F.col("doc_id") % 2).alias("odd")).agg((F.sum("taken") / F.sum("size")).alias("x")).collect()}
     assert share[0] > share[1]
-    for r in found.groupBy("source").agg(F.first("target").alias("t"), F.sum("taken").alias("n")).collect():
-        assert abs(r["t"] - r["n"]) <= 0.02 * r["t"] + 2
+    for r in found.groupBy("key").agg(F.first("target").alias("t"), F.sum("taken").alias("n"), F.sum(F.col("copies") * F.col("size")).alias("c")).collect():
+        assert math.floor(r["t"]) == r["n"] and r["c"] == pytest.approx(r["n"], rel=1e-9, abs=1e-6)
+
+
+def test_mix_of_repeated_ids_gives_equal_parts(spark):
+    rows = [(1, "a b c d e", "x")] * 40 + [(2, None, "x"), (3, "", None), (4, "w " * 30, "y"), (None, "q r s", "z")]
+    found = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len(found) == 44 and len({r["taken"] for r in found if r["doc_id"] == 1}) == 1
+    assert all(r["taken"] <= 3 * r["size"] for r in found)
+    mine = [r for r in found if r["key"] == "ax"]
+    assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 41
 
 
 def test_targets_stop_at_the_cap(spark):
@@ -331,13 +339,6 @@ def test_links_find_every_near_pair(spark, crowd):
     assert all(root.get(p, p) == find(p) for (p,) in signed)
 
 
-def test_keep_one_keeps_one_of_each_group(odd, docs):
-    kept = simhash.keep_one(odd).collect()
-    assert len([r for r in kept if r["doc_id"] in (7, 8)]) == 1 and len([r for r in kept if r["doc_id"] == 4]) == 1
-    groups = simhash.near_duplicates(docs).select("component_id").distinct().count()
-    assert simhash.keep_one(docs).count() == groups
-
-
 # 10: tiling
 
 
@@ -404,7 +405,7 @@ def test_empty_tables(spark, empty):
     for name, found in runs(spark, empty).items():
         assert found.collect() == [], name
     bench = spark.createDataFrame([], "item_id long, text string")
-    assert tiling.contamination(empty, bench).count() == 0 and mixing.mixed_documents(empty).count() == 0 and simhash.keep_one(empty).count() == 0 and langid.known_language(empty).count() == 0
+    assert tiling.contamination(empty, bench).count() == 0 and mixing.mixed_documents(empty).count() == 0 and nearcopies.one_of_near_copies(empty).count() == 0 and langid.known_language(empty).count() == 0
 
 
 def test_query_columns(spark):
