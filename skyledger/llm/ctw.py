@@ -5,7 +5,7 @@ Every byte is coded as eight binary decisions. A decision's context is the bits
 is half its own estimate and half the product of its children's, at every depth. The trained weights
 ``P_kt / (2 P_w)`` then mix the estimates of all depths on the path of each coded bit.
 
-The model is never broadcast or collected. Texts are scored in buckets (one per file split): a bucket's distinct
+The model is never broadcast or collected. Texts are scored in buckets (neighbouring rows of a file): a bucket's distinct
 words and byte n-grams, a small part of its text, are counted and dealt out by cell (the two nearest context bytes of
 an n-gram, the leading bits of a word's hash), packed so that a row holds a cell's keys. Cells are summed over buckets
 in a tree of bounded fan-in, looked up in, and the answers go back to their buckets. Only the two upper levels of the
@@ -19,6 +19,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +29,8 @@ END = 0xFF  # no UTF-8 text holds this byte: it stands before and after every te
 WORDS, GRAMS = 0, 1
 END_WORD = np.uint64(xxhash.xxh3_64_intdigest(b"\n")).astype(np.int64)
 HALF = math.log(0.5)
-FAN_IN = 64  # buckets whose cells meet in one group
+FAN_IN = 64  # parts of a cell that meet in one sum
+PART_BYTES = 64 << 20  # of a cell's sheets that meet in one group
 WORD_CELLS = 10  # leading bits of a word's hash
 
 
@@ -125,7 +127,7 @@ class Lookup:
         place = place[left]
         while len(left):
             if (self.keys[place] == -1).any():
-                raise ValueError("the input's splits changed between two reads: a bucket asks for a key that it did not announce")
+                raise ValueError("the input changed between two reads: a bucket asks for a key that it did not announce")
             place = (place + 1) & (1 << self.bits) - 1
             hit = self.keys[place] == wanted[left]
             out[left[hit]] = self.values[place[hit]]
@@ -352,7 +354,23 @@ def scorer(depth: int, tokens: int, distinct: int):
     return score
 
 
-def ctw_scores(docs: DataFrame, depth: int = 5, held_out_fold: int = 1, folds: int = 5, bucket_bytes: int = 32 << 20) -> DataFrame:
+def bucketed(docs: DataFrame, bucket_bytes: int) -> DataFrame:
+    """(doc_id, text, bucket): a bucket is a run of rows of one Parquet file, by their places in it, of about
+    ``bucket_bytes`` of text at the average size of a row.
+
+    Places do not hang on how a scan is split, so a later read with other settings or fewer cores gives the same
+    buckets. Rows that do not come straight from Parquet files are written first."""
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException:
+        docs = written(docs.select("doc_id", "text"), "ctw-docs")
+    size = docs.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    rows = max(1, size["n"] * bucket_bytes // max(size["bytes"], 1))
+    place = F.floor(F.col("_metadata.row_index") / rows)
+    return docs.select("doc_id", "text", F.xxhash64(F.col("_metadata.file_path"), place).alias("bucket"))
+
+
+def ctw_scores(docs: DataFrame, depth: int = 5, held_out_fold: int = 1, folds: int = 5, bucket_bytes: int = 16 << 20, part_bytes: int = PART_BYTES) -> DataFrame:
     """Log10 probability and code length per byte of every text of ``docs`` (doc_id, text).
 
     Learns from texts whose ``crc32(doc_id) mod folds`` is not ``held_out_fold``. The coded sequence is the text's
@@ -360,27 +378,22 @@ def ctw_scores(docs: DataFrame, depth: int = 5, held_out_fold: int = 1, folds: i
     and learned once each; a null doc_id falls into the fold of the empty string. Other columns are ignored. With no
     training text every bit costs one bit. An empty table gives an empty result.
 
-    Buckets are the file splits of the scan, cut further by doc_id where a split is over ``bucket_bytes``; both passes
-    over ``docs`` must see the same splits, and the second raises if they do not. Where rows do not come straight from
-    files (after a shuffle, or made in memory) they are written first, so that buckets stay bounded.
+    A cell whose sheets exceed ``part_bytes`` is summed in parts and then in a tree of bounded fan-in. What buckets ask
+    of it is answered in parts of ``part_bytes``, or of its model's size if that is more: so all copies of models
+    together weigh no more than what is asked, whatever the input. A cell's model is one binary value of less than 2 GB.
     """
     if not 2 <= depth <= 6:
         raise ValueError("depth must lie between 2 and 6")
-    spark = docs.sparkSession
-    shared_folder(spark)
-    if not docs.where(F.input_file_name() == "").isEmpty():  # reads no column of a file
-        docs = written(docs.select("doc_id", "text"), "ctw-docs")
-    split = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    cut = F.pmod(F.xxhash64("doc_id"), F.lit(max(1, -(-int(split) // bucket_bytes))))
-    docs = docs.select("doc_id", "text", (fold(F.col("doc_id"), folds) != held_out_fold).alias("train"), F.xxhash64(F.input_file_name(), F.input_file_block_start(), cut).alias("bucket"))
+    shared_folder(docs.sparkSession)
+    docs = bucketed(docs, bucket_bytes).withColumn("train", fold(F.col("doc_id"), folds) != held_out_fold)
     asked = written(docs.select("bucket", "train", "text").mapInArrow(counter(depth), "kind tinyint, cell int, bucket long, sheet binary"), "ctw-counts")
-    buckets = asked.select("bucket").distinct().count()
-    groups = max(1, -(-buckets // FAN_IN))
-    asked = asked.withColumn("part", F.pmod(F.xxhash64("bucket"), F.lit(groups)).cast("int"))
+    volume = asked.groupBy("kind", "cell").agg(F.sum(F.length("sheet")).alias("bytes"))  # 2**16 + 2**10 cells at most
+    ways = F.greatest(F.lit(1), F.ceil(F.col("bytes") / part_bytes)).cast("int")
+    dealt = asked.join(F.broadcast(volume.select("kind", "cell", ways.alias("ways"))), ["kind", "cell"])
 
     shape = "kind tinyint, cell int, part int, sheet binary, tokens double, distinct long"
-    total = asked.groupBy("kind", "cell", "part").applyInArrow(summed, shape)
-    parts = groups
+    total = dealt.withColumn("part", F.pmod(F.xxhash64("bucket"), "ways").cast("int")).groupBy("kind", "cell", "part").applyInArrow(summed, shape)
+    parts = volume.agg(F.coalesce(F.max(ways), F.lit(1))).first()[0]
     while parts > 1:
         parts = -(-parts // FAN_IN)
         total = total.withColumn("part", (F.col("part") / FAN_IN).cast("int")).groupBy("kind", "cell", "part").applyInArrow(summed, shape)
@@ -391,7 +404,11 @@ def ctw_scores(docs: DataFrame, depth: int = 5, held_out_fold: int = 1, folds: i
     tops = model.select("cell", "top").groupBy(F.shiftright("cell", 8)).applyInArrow(above, "first int, top binary").collect()  # 256 rows at most
 
     told = model.select("kind", "cell", "model").unionByName(words.select("kind", "cell", F.col("sheet").alias("model")))
-    told = told.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    held = volume.join(told.select("kind", "cell", F.length("model").alias("held")), ["kind", "cell"], "left")
+    each = F.greatest(F.lit(part_bytes), F.coalesce("held", F.lit(0)))
+    copies = F.broadcast(written(held.select("kind", "cell", F.greatest(F.lit(1), F.ceil(F.col("bytes") / each)).cast("int").alias("ways")), "ctw-ways"))
+    told = told.join(copies, ["kind", "cell"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("ways") - 1))).drop("ways")
+    asked = asked.join(copies, ["kind", "cell"]).withColumn("part", F.pmod(F.xxhash64("bucket"), "ways").cast("int")).drop("ways")
     values = asked.groupBy("kind", "cell", "part").cogroup(told.groupBy("kind", "cell", "part")).applyInArrow(looker(depth, upper_levels(tops)), "bucket long, kind tinyint, sheet binary")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long, bits_per_byte double"
     return docs.groupBy("bucket").cogroup(values.groupBy("bucket")).applyInArrow(scorer(depth, learned["tokens"], learned["distinct"]), schema)

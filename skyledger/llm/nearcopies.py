@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.operators.graph import connected_components
@@ -15,7 +15,7 @@ from .simhash import links as near_prints
 
 BANDS, ROWS = 24, 4  # a pair of similarity s shares a band with a chance of 1 - (1 - s^4)^24: all but 3.2e-6 at 0.8
 CROWD = 12  # members of a band up to which all pairs of it are proposed at once
-HUBS = 32  # members of a larger band that meet all others in the first round; four times as many in each further one
+HUBS = 256  # members of a group of a crowded band that meet all others of it in the first round; sixteen times as many in each further one
 
 
 def shingles(text: bytes, size: int) -> list[bytes]:
@@ -46,11 +46,12 @@ def signatures(texts: list[bytes], size: int, seed: int) -> tuple[np.ndarray, ..
     bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
     votes = np.add.reduceat(bits, at, axis=0, dtype=np.int32)
     prints[full] = np.packbits(2 * votes > n[full, None], axis=1).view(">u8").ravel()
-    turn = np.random.default_rng(seed).integers(0, 1 << 64, (2, BANDS * ROWS), np.uint64)
+    turn = np.random.default_rng(seed).integers(0, 1 << 32, (2, BANDS * ROWS), np.uint32)
+    half = (hashes >> np.uint64(32)).astype(np.uint32)
     for band in range(BANDS):
         key = np.full(len(full), band + 1, np.uint64)
         for k in range(band * ROWS, band * ROWS + ROWS):
-            least = np.minimum.reduceat((hashes ^ turn[0, k]) * (turn[1, k] | np.uint64(1)), at)
+            least = np.minimum.reduceat((half ^ turn[0, k]) * (turn[1, k] | np.uint32(1)), at)
             key = (key ^ least) * np.uint64(0x9E3779B97F4A7C15)
             key ^= key >> np.uint64(29)
         keys[full, band] = key
@@ -105,31 +106,28 @@ def proposals(met: DataFrame, least: float, crowd: int) -> DataFrame:
     return pairs.unionByName(central).where(sizes_allow("x", "y", least)).groupBy("src", "dst").agg(F.max("hub").alias("hub"), F.count("*").alias("shared"))
 
 
-def alike(pairs: DataFrame, texts: DataFrame, least: float, size: int) -> DataFrame:
-    """Those (src, dst) of which the sets of shingles have a Jaccard similarity of ``least`` or more."""
+def shingle_sets(texts: DataFrame, size: int, seed: int) -> DataFrame:
+    """(node, set): the distinct 64-bit hashes of each text's shingles."""
 
     def run(batches):
-        held = {}
+        digest = xxhash.xxh64_intdigest
+        for batch in batches:
+            data, starts, ends = utf8(batch.column("text"))
+            for i, j in chunks(starts, ends):
+                found = [np.array(list({digest(x, seed) for x in shingles(data[s:e].tobytes(), size)}), np.uint64).view(np.int64) for s, e in zip(starts[i:j], ends[i:j], strict=True)]
+                offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
+                sets = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
+                yield pa.RecordBatch.from_arrays([batch.column("node").slice(i, j - i), sets], names=["node", "set"])
 
-        def shingle_set(text) -> set[bytes]:
-            text = text.as_py() or ""
-            if text not in held:
-                if len(held) > 1:
-                    held.pop(next(iter(held)))
-                held[text] = set(shingles(text.encode(), size))
-            return held[text]
+    return texts.mapInArrow(run, "node long, set array<long>")
 
-        for batch in batches:
-            keep = []
-            for a, b in zip(batch.column("a"), batch.column("b"), strict=True):
-                x, y = shingle_set(b), shingle_set(a)
-                both = len(x & y)
-                keep.append(both > 0 and both >= least * (len(x) + len(y) - both) - 1e-9)
-            yield batch.select(["src", "dst"]).filter(pa.array(keep, pa.bool_()))
 
-    first = texts.select(F.col("node").alias("src"), F.col("text").alias("a"))
-    second = texts.select(F.col("node").alias("dst"), F.col("text").alias("b"))
-    return pairs.select("src", "dst").join(first, "src").join(second, "dst").select("src", "dst", "a", "b").mapInArrow(run, "src long, dst long")
+def alike(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Those (src, dst) of which the sets of shingles have a Jaccard similarity of ``least`` or more."""
+    first = sets.select(F.col("node").alias("src"), F.col("set").alias("a"))
+    second = sets.select(F.col("node").alias("dst"), F.col("set").alias("b"))
+    met = pairs.select("src", "dst").join(first, "src").join(second, "dst").withColumn("both", F.size(F.array_intersect("a", "b")))
+    return met.where((F.col("both") > 0) & (F.col("both") >= least * (F.size("a") + F.size("b") - F.col("both")) - 1e-9)).select("src", "dst")
 
 
 def with_roots(df: DataFrame, found: DataFrame, node: str, name: str) -> DataFrame:
@@ -138,29 +136,58 @@ def with_roots(df: DataFrame, found: DataFrame, node: str, name: str) -> DataFra
     return df.join(held, F.col(node) == F.col("node_"), "left").withColumn(name, F.coalesce("component_", node)).drop("node_", "component_")
 
 
-def crowded_links(large: DataFrame, links: DataFrame, found: DataFrame, texts: DataFrame, least: float, size: int) -> DataFrame:
-    """Components once all pairs of the bands ``large`` (key, node, n) that could still join two of them are compared.
+def undone(groups: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows of groups (key, node and more) with root and m, whose ``m`` members still stand in more than one component."""
+    state = written(with_roots(groups, found, "node", "root"), "crowded")
+    open_keys = state.groupBy("key").agg(F.count("*").alias("m"), F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("key", "m")
+    return state.join(open_keys, "key")
+
+
+def rare_groups(nodes: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """(key, node, n, place, first): groups by a shingle among the rarest of each node, such that no pair of ``least`` or more is lost.
+
+    Two sets so similar share one of the first n - ceil(least * n) + 1 shingles of each, whatever the order of all
+    shingles is. Ordered by how many of the nodes hold them, passages that many texts have in common come last. ``first``
+    are those of a node that others hold too, in order, and ``place`` is that of the key among all ``n``."""
+    held = sets.join(nodes, "node").select("node", F.size("set").alias("n"), F.explode("set").alias("key"))
+    counts = held.groupBy("key").agg(F.count("*").alias("df"))
+    placed = held.join(counts, "key").withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy("df", "key")))
+    rare = placed.where((F.col("place") <= F.col("n") - F.ceil(least * F.col("n") - 1e-9) + 1) & (F.col("df") > 1))
+    first = rare.groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("place", "key"))).alias("all"))
+    return first.select("node", "n", F.transform("all", lambda x: x["key"]).alias("first"), F.explode("all").alias("x")).select("x.key", "node", "n", "x.place", "first")
+
+
+def may_share_enough(least: float) -> Column:
+    """Whether key is the first shingle that node and hub share, and what can follow it suffices: so each pair meets once."""
+    before = lambda c: F.slice(c, 1, F.array_position(c, F.col("key")).cast("int") - 1)
+    most = 1 + F.least(F.col("n") - F.col("place"), F.col("hub_n") - F.col("hub_place"))
+    enough = most >= least / (1 + least) * (F.col("n") + F.col("hub_n")) - 1e-9
+    return enough & ~F.arrays_overlap(before("first"), before("hub_first"))
+
+
+def crowded_links(large: DataFrame, links: DataFrame, found: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Components once every pair of the crowded bands ``large`` (key, node, n) that may be similar is linked or compared.
 
-    In each round some members of a band, drawn by hash, meet all others of it that stand in other components, and
-    leave the band; a band whose members are all in one component is done. The draws grow fourfold a round, so a band
-    is done after a number of rounds that grows with the logarithm of its size, and no pair is left out: two members
-    were compared, or stood in one component already."""
-    rounds = 0
+    Bands whose members stand in one component by now are done. The members of the others meet by their rarest shingles
+    instead, which texts that merely share a passage do not have in common. In each round some members of a group, drawn
+    by hash, meet all others of it that stand in other components, and leave the group. The draws grow sixteenfold a
+    round, so a group is done after a number of rounds that grows with the logarithm of its size, and no pair is left
+    out: two members were compared, stood in one component already, or hold too many shingles that the other does not."""
+    left = undone(large, found).select("node").distinct()
+    groups, rounds = rare_groups(left, sets, least), 0
     while True:
-        state = written(with_roots(large, found, "node", "root"), "crowded")
-        undone = state.groupBy("key").agg(F.count("*").alias("m"), F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("key", "m")
         draw = F.pmod(F.xxhash64("key", "node", F.lit(rounds)), F.lit(1 << 20)) / float(1 << 20)
-        state = written(state.join(undone, "key").withColumn("drawn", draw * F.col("m") < HUBS * 4**rounds), "crowded")
+        state = written(undone(groups, found).withColumn("drawn", draw * F.col("m") < HUBS * 16**rounds), "crowded")
         if state.isEmpty():
             return found
-        hubs = state.where("drawn").select("key", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("root").alias("hub_root"))
-        met = state.join(hubs, "key").where((F.col("root") != F.col("hub_root")) & sizes_allow("n", "hub_n", least))
+        hubs = state.where("drawn").select("key", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("place").alias("hub_place"), F.col("first").alias("hub_first"), F.col("root").alias("hub_root"))
+        met = state.join(hubs, "key").where((F.col("root") != F.col("hub_root")) & may_share_enough(least))
         pairs = written(met.select(F.least("node", "hub").alias("src"), F.greatest("node", "hub").alias("dst")).distinct(), "candidates")
-        more = written(alike(pairs, texts, least, size), "links")
+        more = written(alike(pairs, sets, least), "links")
         if not more.isEmpty():
             links = links.unionByName(more)
             found = written(connected_components(links), "components")
-        large, rounds = state.where("not drawn").select("key", "node", "n"), rounds + 1
+        groups, rounds = state.where("not drawn").select("key", "node", "n", "place", "first"), rounds + 1
 
 
 def near_copies(docs: DataFrame, least: float = 0.8, size: int = 5, seed: int = 42, crowd: int = CROWD) -> DataFrame:
@@ -168,7 +195,7 @@ def near_copies(docs: DataFrame, least: float = 0.8, size: int = 5, seed: int =
     of ``size``-word shingles have a Jaccard similarity of ``least`` or more.
 
     Pairs come from the balls around SimHashes and, as these reach few pairs at 0.8, from MinHash bands; none is linked
-    without its texts being compared, and none that shares a band is left out. Each text is first compared with its
+    without the 64-bit hashes of its texts' shingles being compared, and none that shares a band is left out. Each text is first compared with its
     likeliest partner; of the others only pairs that this leaves apart are compared, so a large group costs about one
     comparison a member."""
     rows = written(signed(docs, size, seed), "signed")
@@ -180,20 +207,21 @@ def near_copies(docs: DataFrame, least: float = 0.8, size: int = 5, seed: int =
     ends = met.select("node").unionByName(pairs.select(F.col("src").alias("node"))).unionByName(pairs.select(F.col("dst").alias("node"))).distinct()
     wanted = nodes.join(ends, "node", "left_semi").select("node", F.coalesce("doc_id", F.lit(0)).alias("id_"), F.col("none").alias("none_"), F.col("text_hash").alias("hash_"))
     named = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id_"), F.col("doc_id").cast("long").isNull().alias("none_"), F.xxhash64("text").alias("hash_"), "text")
-    texts = written(named.join(wanted, ["id_", "none_", "hash_"]).select("node", "text").dropDuplicates(["node"]), "texts")
+    texts = named.join(wanted, ["id_", "none_", "hash_"]).select("node", "text").dropDuplicates(["node"])
+    sets = written(shingle_sets(texts, size, seed), "sets")
     ways = pairs.select(F.col("src").alias("u"), F.col("dst").alias("v"), "hub", "shared").unionByName(pairs.select(F.col("dst").alias("u"), F.col("src").alias("v"), "hub", "shared"))
     best = ways.groupBy("u").agg(F.max(F.struct("hub", "shared", "v")).alias("best")).select(F.least("u", "best.v").alias("src"), F.greatest("u", "best.v").alias("dst")).distinct()
     best = written(best, "best")
-    links = written(alike(best, texts, least, size), "links")
+    links = written(alike(best, sets, least), "links")
     found = written(connected_components(links), "components")
     apart = with_roots(with_roots(pairs.select("src", "dst").join(best, ["src", "dst"], "left_anti"), found, "src", "a"), found, "dst", "b")
-    more = written(alike(apart.where("a != b"), texts, least, size), "links")
+    more = written(alike(apart.where("a != b"), sets, least), "links")
     if not more.isEmpty():
         links = links.unionByName(more)
         found = written(connected_components(links), "components")
-    found = crowded_links(met.where(f"m > {crowd}").select("key", "node", "n"), links, found, texts, least, size)
+    found = crowded_links(met.where(f"m > {crowd}").select("key", "node", "n"), links, found, sets, least)
     out = written(with_roots(rows.select("doc_id", "text_hash", "node"), found, "node", "component").select("doc_id", "text_hash", "component"), "copies")
-    forget(rows, nodes, met, pairs, texts, best)
+    forget(rows, nodes, met, pairs, sets, best)
     return out
 
 

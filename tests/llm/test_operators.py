@@ -114,6 +114,19 @@ def test_ctw_scores_do_not_depend_on_where_rows_come_from(spark, docs):
     assert scanned == shuffled and scanned
 
 
+def test_ctw_in_many_buckets_and_parts_after_settings_change(spark, docs):
+    """Small buckets and parts of cells agree with large ones, also where the scan is split otherwise by the time it runs."""
+    few = docs.where("doc_id < 60").select("doc_id", "text")
+    want = sorted((r["doc_id"], round(r["score"], 6)) for r in ctw.ctw_scores(few).collect())
+    split = ctw.ctw_scores(few, bucket_bytes=1 << 12, part_bytes=1 << 8)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        assert sorted((r["doc_id"], round(r["score"], 6)) for r in split.collect()) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_ctw_is_a_distribution():
     keys = np.frombuffer(os.urandom(400), np.uint8) % 4 + 97
     data = keys.astype(np.uint8)
