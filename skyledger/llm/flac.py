@@ -6,6 +6,7 @@ checksums) cost a few vector operations a step whatever the number of documents.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import struct
 import zlib
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, utf8
+from .common import chunks, utf8, written
 
 BLOCK, RATE, ORDER, SHIFT, PRECISION = 1024, 8000, 4, 10, 12
 PAD = 64
@@ -176,6 +177,8 @@ def encode(payloads: list[bytes]) -> list[bytes]:
         s, z = start[at : at + m], size[at : at + m]
         info = struct.pack(">HH", BLOCK, BLOCK) + int(z.min()).to_bytes(3, "big") + int(z.max()).to_bytes(3, "big")
         info += (RATE << 44 | 0 << 41 | 7 << 36 | len(payload)).to_bytes(8, "big") + hashlib.md5(payload.translate(FLIP)).digest()
+        if m * 18 >= 1 << 24:
+            raise ValueError("more samples than a seek table with a point for each frame can hold (about 954 MB)")
         points = b"".join(struct.pack(">QQH", i * BLOCK, p, c) for i, (p, c) in enumerate(zip((s - s[0]).tolist(), n[at : at + m].tolist(), strict=True)))
         out.append(b"fLaC" + b"\x00" + len(info).to_bytes(3, "big") + info + b"\x83" + len(points).to_bytes(3, "big") + points + data[s[0] : s[-1] + z[-1]].tobytes())
         at += m
@@ -206,21 +209,39 @@ class Layout:
             at += 4 + size
         self.first = at
 
+    def index_of(self, sample: int) -> int:
+        """Which seek point is the last at or before ``sample``."""
+        return bisect.bisect_right(self.seek, sample, key=lambda p: p[0]) - 1
+
     def frame_of(self, sample: int) -> tuple[int, int]:
         """First sample and byte offset of the frame that holds ``sample``."""
-        found = max(p for p in self.seek if p[0] <= sample)
+        found = self.seek[self.index_of(sample)]
         return found[0], self.first + found[1]
 
 
 def decode(streams: list[bytes]) -> list[bytes]:
     """The payload of each stream. Header and frame checksums and the MD5 of the samples must hold."""
     layouts = [Layout(s) for s in streams]
+    payloads = [b"".join(blocks) for blocks in decode_frames(streams, layouts, [(0, len(x.seek)) for x in layouts])]
+    for layout, payload in zip(layouts, payloads, strict=True):
+        checked(layout, payload)
+    return payloads
+
+
+def checked(layout: Layout, payload: bytes) -> None:
+    if len(payload) != layout.samples or hashlib.md5(payload.translate(FLIP)).digest() != layout.md5:
+        raise ValueError("MD5 of the samples")
+
+
+def decode_frames(streams: list[bytes], layouts: list[Layout], spans: list[tuple[int, int]]) -> list[list[bytes]]:
+    """PCM of the frames from one seek point up to another (not included) of each stream; other frames are not looked at.
+    Header and frame checksums must hold."""
     data = np.frombuffer(b"".join(streams) + bytes(16), np.uint8)
     base = np.cumsum([0, *map(len, streams)])
     start, size, body, n = [], [], [], []
-    for i, (stream, layout) in enumerate(zip(streams, layouts, strict=True)):
+    for i, (stream, layout, span) in enumerate(zip(streams, layouts, spans, strict=True)):
         offsets = [layout.first + p[1] for p in layout.seek]
-        for a, b, point in zip(offsets, [*offsets[1:], len(stream)], layout.seek, strict=True):
+        for a, b, point in list(zip(offsets, [*offsets[1:], len(stream)], layout.seek, strict=True))[span[0] : span[1]]:
             code = stream[a + 2] >> 4
             lead = stream[a + 4]
             extra = 0 if lead < 0x80 else 8 - (~lead & 0xFF).bit_length()
@@ -232,7 +253,7 @@ def decode(streams: list[bytes]) -> list[bytes]:
             body.append(int(base[i]) + end + 1)
             n.append(point[2])
     if not start:
-        return [b"" for _ in streams]
+        return [[] for _ in streams]
     start, size, body, n = map(np.array, (start, size, body, n))
     if (crc16(data, start, size) != 0).any():  # the checksum of a frame with its own checksum is 0
         raise ValueError("frame checksum")
@@ -300,13 +321,9 @@ def decode(streams: list[bytes]) -> list[bytes]:
     back = np.empty((frames, most), np.uint8)
     back[order] = (x + 128).astype(np.uint8).T
     out, at = [], 0
-    for layout in layouts:
-        m = len(layout.seek)
-        payload = b"".join(back[at + i, : n[at + i]].tobytes() for i in range(m))
-        if len(payload) != layout.samples or hashlib.md5(payload.translate(FLIP)).digest() != layout.md5:
-            raise ValueError("MD5 of the samples")
-        out.append(payload)
-        at += m
+    for first, last in spans:
+        out.append([back[at + i, : n[at + i]].tobytes() for i in range(last - first)])
+        at += last - first
     return out
 
 
@@ -372,6 +389,54 @@ def flac_table(docs: DataFrame, unit: int = PAD) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
+def pcm_blocks(media: DataFrame) -> DataFrame:
+    """(doc_id, first_sample, n_samples, pcm): one row for each frame of each stored stream, 8-bit samples, with the place
+    of its first sample in the document. Checksums and the MD5 of all samples must hold. Null media give no rows."""
+
+    def run(batches):
+        for batch in batches:
+            column = batch.column("media")
+            _, starts, ends = utf8(column)
+            for i, j in chunks(starts, ends, 3_000_000):
+                kept = [(d, m) for d, m in zip(batch.column("doc_id").slice(i, j - i).to_pylist(), column.slice(i, j - i).to_pylist(), strict=True) if m is not None]
+                layouts, rows = [Layout(m) for _, m in kept], []
+                for (doc, _), layout, blocks in zip(kept, layouts, decode_frames([m for _, m in kept], layouts, [(0, len(x.seek)) for x in layouts]), strict=True):
+                    checked(layout, b"".join(blocks))
+                    rows += [(doc, point[0], len(block), block) for point, block in zip(layout.seek, blocks, strict=True)]
+                yield block_batch(rows)
+
+    return media.select(F.col("doc_id").cast("long").alias("doc_id"), "media").mapInArrow(run, BLOCK_SCHEMA)
+
+
+BLOCK_SCHEMA = "doc_id long, first_sample long, n_samples long, pcm binary"
+
+
+def block_batch(rows: list[tuple]) -> pa.RecordBatch:
+    doc, first, n, pcm = zip(*rows, strict=True) if rows else ((),) * 4
+    return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(first, pa.int64()), pa.array(n, pa.int64()), pa.array(pcm, pa.binary())], names=["doc_id", "first_sample", "n_samples", "pcm"])
+
+
+def pcm_range(media: DataFrame, first_sample: int, n_samples: int) -> DataFrame:
+    """The samples ``first_sample`` up to ``first_sample + n_samples`` of each stored stream, as one row like those of
+    ``pcm_blocks``. The seek table leads to the frames that hold them; no other frame is decoded. What lies beyond the
+    end is left out, so a shorter stream gives fewer samples or none; null media give no rows."""
+
+    def run(batches):
+        for batch in batches:
+            kept = [(d, m) for d, m in zip(batch.column("doc_id").to_pylist(), batch.column("media").to_pylist(), strict=True) if m is not None]
+            layouts = [Layout(m) for _, m in kept]
+            stops = [min(first_sample + n_samples, x.samples) for x in layouts]
+            spans = [(x.index_of(first_sample), x.index_of(stop - 1) + 1) if stop > first_sample else (0, 0) for x, stop in zip(layouts, stops, strict=True)]
+            rows = []
+            for (doc, _), layout, span, stop, blocks in zip(kept, layouts, spans, stops, decode_frames([m for _, m in kept], layouts, spans), strict=True):
+                skip = first_sample - layout.seek[span[0]][0] if blocks else 0
+                pcm = b"".join(blocks)[skip : skip + max(0, stop - first_sample)]
+                rows.append((doc, first_sample, len(pcm), pcm))
+            yield block_batch(rows)
+
+    return media.select(F.col("doc_id").cast("long").alias("doc_id"), "media").mapInArrow(run, BLOCK_SCHEMA)
+
+
 def feature_of(payload: bytes, media: bytes) -> str:
     """Level, sign changes and frames of the decoded samples."""
     x = np.frombuffer(payload, np.uint8).astype(np.int64) - 128
@@ -405,7 +470,6 @@ def flac_features(media: DataFrame, unit: int = PAD) -> DataFrame:
 
 
 def media_round_trip(docs: DataFrame) -> DataFrame:
-    """Stores every whole text as FLAC in a media column, reads the stored streams back and returns what they hold.
-
-    The column goes from one operator to the next without a table between them; ``flac_table(docs).write`` keeps it."""
-    return flac_features(flac_table(docs))
+    """Stores every whole text as FLAC in a media column of a table in the shared folder, reads the stored streams back
+    and returns what they hold. Rows pass one by one, so null ids, repeated rows and empty tables need no rule."""
+    return flac_features(written(flac_table(docs), "flac"))

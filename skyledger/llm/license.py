@@ -26,8 +26,16 @@ TEMPLATES = (
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "with or without fee"),
     ("mpl-2", "subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
     ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "this permission notice shall be included"),
+    ("mit", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement", "without warranty of any kind"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", "must retain the above copyright notice"),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution", "must reproduce the above copyright notice"),
+    ("apache-2", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied", "required by applicable law or agreed to in writing"),
+    ("isc", "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness", "the author disclaims all warranties"),
+    ("zlib", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software", "must be plainly marked as such"),
+    ("gpl", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", "gnu general public license as published"),
 )
-RARE, COVER = 3, 0.6
+RARE, AGREE, COVER = 5, 2, 0.6
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -54,14 +62,15 @@ def word_idf(words: DataFrame, templates=TEMPLATES) -> dict[str, float]:
     return {w: math.log((n + 1) / (count.get(w, 0) + 0.5)) for w in vocabulary}
 
 
-def license_scan(docs: DataFrame, templates=TEMPLATES, base=BASE, rare: int = RARE, cover: float = COVER) -> DataFrame:
+def license_scan(docs: DataFrame, templates=TEMPLATES, base=BASE, rare: int = RARE, agree: int = AGREE, cover: float = COVER) -> DataFrame:
     """Licence labels of every whole text.
 
     Words are the runs of digits, lower-cased letters and non-ASCII characters. ``base`` phrases are found at every
     place where their words stand consecutively. For notices that were reworded or cut, each template's ``rare``
-    highest-IDF words form a positional index: a file's occurrences of such words are looked up, each posting gives the
-    place where the template would start, and words that agree on it are weighed by IDF. A place counts if they reach
-    ``cover`` of the template's weight and its mandatory phrase stands there word for word.
+    highest-IDF words form a positional index: a file's occurrences of such words are looked up, and each posting gives
+    the place where the template would start. Postings are intersected: only starts on which ``agree`` words or more
+    agree are looked at further. There all words of the template that stand in their places are weighed by IDF; the
+    place counts if they reach ``cover`` of the template's weight and its mandatory phrase stands there word for word.
 
     All work is inside the row, so nothing is shuffled but the document frequencies; it is linear in the occurrences of
     rare words. Null, empty and wordless texts give no words, null first_word and last_word, empty labels and score 0.
@@ -93,13 +102,14 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, base=BASE, rare: int = RA
         test = " and ".join(f"get(w, i + {k}) <=> {quoted(x)}" for k, x in enumerate(need))
         marks.append(f"if(array_contains(w, {quoted(need[0])}), transform(filter(sequence(0, size(w) - 1), i -> {test}), i -> struct({quoted(label)} as label, i as i)), cast(array() as array<struct<label:string,i:int>>))")
     none = "cast(array() as array<struct<t:int,start:int,cover:double>>)"
-    found = f"""if(not arrays_overlap(w, {keys}), {none}, filter(transform(array_distinct(flatten(transform(
+    proposed = f"""if(not arrays_overlap(w, {keys}), cast(array() as array<struct<t:int,start:int>>), array_sort(flatten(transform(
         filter(transform(w, (x, i) -> struct(array_position({keys}, x) as p, i as i)), h -> h.p > 0),
-        h -> transform(element_at({places}, cast(h.p as int)), q -> struct(q.t as t, h.i - q.k as start))))),
+        h -> transform(element_at({places}, cast(h.p as int)), q -> struct(q.t as t, h.i - q.k as start))))))"""
+    found = f"""if(size(proposed) = 0, {none}, filter(transform(filter(proposed, (c, i) -> c <=> get(proposed, i + {agree - 1}) and not c <=> get(proposed, i - 1)),
         c -> struct(c.t as t, c.start as start, aggregate(zip_with(get({texts}, c.t), get({weights}, c.t), (x, y) -> struct(x, y)), struct(0 as k, 0D as s),
             (a, v) -> struct(a.k + 1 as k, a.s + if(c.start + a.k >= 0 and get(w, c.start + a.k) <=> v.x, v.y, 0D) as s), a -> a.s / get({sums}, c.t)) as cover)),
         c -> c.cover >= {cover}D and c.start + get({limits}, c.t).a >= 0 and forall(sequence(get({limits}, c.t).a, get({limits}, c.t).b), o -> get(w, c.start + o) <=> get(get({texts}, c.t), o))))"""
-    rows = words.withColumns({"places": F.expr(f"concat({', '.join(marks)})"), "found": F.expr(found)})
+    rows = words.withColumns({"places": F.expr(f"concat({', '.join(marks)})"), "proposed": F.expr(proposed)}).withColumn("found", F.expr(found))
     labels = F.array_distinct(F.transform("places", lambda p: p["label"]))
     starts = F.transform("places", lambda p: p["i"])
     own = F.expr(f"transform(found, c -> get({names}, c.t))")
@@ -113,5 +123,3 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, base=BASE, rare: int = RA
         F.array_join(F.array_sort(F.array_union(labels, own)), ",").alias("labels"),
         F.when(F.size("places") > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max(F.transform("found", lambda c: c["cover"])), F.lit(0.0))).alias("score"),
     )
-
-

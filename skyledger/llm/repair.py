@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import importlib
+import json
 import string
 import struct
 import zlib
@@ -38,6 +39,7 @@ class WordCache(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.cores: dict[str, bytes] = {}
         self.size = self.tokenizer.get_vocab_size()
+        check_words_stand_alone(json.loads(self.tokenizer.to_str()))
         self.last = np.zeros(self.size, bool)
         self.last[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
         if self.size > SYMBOLS:
@@ -85,6 +87,17 @@ class WordCache(dict):
             self.cores.update((w, np.array(x.ids, "<u2").tobytes()) for w, x in zip(part, encoded, strict=True))
 
 
+def check_words_stand_alone(tokenizer: dict) -> None:
+    """Raises unless a text's ids are its words' ids and marks part as ``bare`` says: composing and lower-casing before,
+    pieces of letters, of one digit and of marks, and ``</w>`` at the end of each piece."""
+    before = [n.get("type") for n in (tokenizer.get("normalizer") or {}).get("normalizers", [])]
+    parts = (tokenizer.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    split = parts[0].get("pattern", {}).get("Regex", "") if parts else ""
+    model = tokenizer.get("model") or {}
+    if before != ["NFC", "Replace", "Lowercase"] or [p.get("type") for p in parts] != ["Split", "ByteLevel"] or not split.endswith(r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+") or model.get("end_of_word_suffix") != "</w>" or model.get("dropout"):
+        raise ValueError("this tokenizer does not encode words one by one; only lower-casing ones that part words, digits and marks are supported")
+
+
 def bare(word: str) -> str:
     """A word without the ASCII marks it ends in. They are a piece of their own where a letter or digit stands before
     them that neither composing nor lowering turns into a letter and a mark, as for all before U+0130."""
@@ -102,17 +115,18 @@ def cache_of(path: str) -> WordCache:
     return _held[path]
 
 
-def grammar(ids: np.ndarray, ends: np.ndarray, first_rule: int, rounds: int = 6, at_once: int = 2600, least: int = 8) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def grammar(ids: np.ndarray, ends: np.ndarray, first_rule: int, at_once: int = 3300, least: int = 2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rules (pairs of symbols), the sequence left, and where each document ends in it.
 
-    In each round the most frequent adjacent pairs become rules, and where two of them overlap the more frequent one
-    is replaced, the other waiting for the next round. Pairs never span documents, so each can be read on its own."""
+    In each round the ``at_once`` most frequent adjacent pairs become rules, and where two of them overlap the more
+    frequent one is replaced, the other waiting for the next round. Rounds go on until no pair is found ``least`` times
+    or all symbols are used. Pairs never span documents, so each can be read on its own."""
     seq = ids.astype(np.uint32)
     last = np.zeros(len(seq), bool)
     last[ends[ends > 0] - 1] = True
     rules: list[np.ndarray] = []
     n_rules = 0
-    for _ in range(rounds):
+    while True:
         room = min(at_once, SYMBOLS - first_rule - n_rules)
         if len(seq) < 2 or room <= 0:
             break

@@ -218,6 +218,22 @@ def test_flac_query_digests(docs, odd):
         assert found == sorted(want)
 
 
+def test_pcm_blocks_and_seeking(docs, odd):
+    for df in (docs.where("length(text) > 2000").limit(20), odd):
+        media = flac.flac_table(df).cache()
+        want = sorted((r["doc_id"] is not None, r["doc_id"] or 0, flac.padded((r["text"] or "").encode())) for r in df.select("doc_id", "text").collect())
+        blocks = {}
+        for r in flac.pcm_blocks(media).collect():
+            assert r["n_samples"] == len(r["pcm"]) <= flac.BLOCK and r["first_sample"] % flac.BLOCK == 0
+            blocks.setdefault((r["doc_id"], r["first_sample"]), set()).add(bytes(r["pcm"]))
+        for known, doc, payload in want:
+            for i in range(0, len(payload), flac.BLOCK):
+                assert payload[i : i + flac.BLOCK] in blocks[(doc if known else None, i)]
+        for first, n in ((0, 10), (1000, 1500), (1023, 2), (5000, 1)):
+            got = sorted((r["doc_id"] is not None, r["doc_id"] or 0, bytes(r["pcm"])) for r in flac.pcm_range(media, first, n).collect())
+            assert got == sorted((k, d, x[first : first + n]) for k, d, x in want)
+
+
 # 4: Re-Pair
 
 
@@ -247,6 +263,25 @@ def test_repair_special_strings_and_random_access():
     assert shard.doc_ids == [1, None, 3, 4] and n == shard.counts.sum() and len(shard.seq) < n / 4
 
 
+def test_repair_goes_on_until_no_pair_repeats():
+    rng = np.random.default_rng(2)
+    ids = rng.choice(np.arange(60, dtype="<u2"), 4000, p=rng.dirichlet(np.ones(60)))
+    ends = np.array([900, 900, 2500, 4000])
+    rules, seq, left = repair.grammar(ids, ends, 100)
+    expand = lambda x: [x] if x < 100 else [y for z in rules[x - 100].tolist() for y in expand(z)]
+    assert [y for x in seq.tolist() for y in expand(x)] == ids.tolist()
+    pairs = {}
+    for a, b in zip([0, *left[:-1]], left, strict=True):
+        for i in range(a, b - 1):
+            pairs.setdefault((int(seq[i]), int(seq[i + 1])), []).append(i)
+    assert all(len(p) == 1 or (len(p) == 2 and p[1] == p[0] + 1) for p in pairs.values())
+
+
+def test_other_tokenizers_are_refused():
+    with pytest.raises(ValueError):
+        repair.check_words_stand_alone({"normalizer": None, "pre_tokenizer": {"type": "ByteLevel"}, "model": {"type": "BPE"}})
+
+
 # 5: placement
 
 
@@ -288,6 +323,41 @@ def test_license_base_phrases_match_brute_force(docs, spark):
     assert found[9004]["labels"] == "gpl-3" and found[9005]["labels"] == ""
 
 
+def slow_labels(text, idf):
+    """Templates that stand at some start by definition, every start of every template tried."""
+    w, out, best = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text)), set(), 0.0
+    for label, body, phrase in license.TEMPLATES:
+        parts, need = body.split(), phrase.split()
+        first = next(i for i in range(len(parts)) if parts[i : i + len(need)] == need)
+        rare = set(sorted(set(parts), key=lambda x: (-idf[x], x))[: license.RARE])
+        for start in range(-len(parts), len(w)):
+            here = [k for k, x in enumerate(parts) if 0 <= start + k < len(w) and w[start + k] == x]
+            share = sum(idf[parts[k]] for k in here) / sum(idf[x] for x in parts)
+            if sum(parts[k] in rare for k in here) >= license.AGREE and share >= license.COVER and all(k in here for k in range(first, first + len(need))):
+                out.add(label)
+                best = max(best, share)
+    return out, best
+
+
+def test_license_labels_match_brute_force(docs, spark):
+    rng, rows = random.Random(6), []
+    for i, (_, body, _) in enumerate(license.TEMPLATES):
+        for j in range(3):
+            w = body.split()
+            for _ in range(j * 2):
+                w[rng.randrange(len(w))] = rng.choice(["other", "the", "license"])
+            rows.append((10_000 + 10 * i + j, "so it is, " + " ".join(w[: len(w) - j]) + " and more"))
+    df = docs.select("doc_id", "text").limit(40).unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    idf = license.word_idf(license.with_words(df))
+    found = {r["doc_id"]: r for r in license.license_scan(df).collect()}
+    for r in df.collect():
+        labels, best = slow_labels(r["text"], idf)
+        got = found[r["doc_id"]]
+        base = set(got["base_labels"].split(",")) - {""}
+        assert set(got["labels"].split(",")) - {""} == labels | base
+        assert got["score"] == pytest.approx(1.0 if base else best, abs=1e-6)
+
+
 # 7 and 8: classifiers
 
 
