@@ -58,12 +58,20 @@ def least_squares(df: DataFrame, keys: list[str], x: str, y: str, z: str) -> Dat
     return sums.select(*keys, "n", F.when(det > 1e-9, (p * b - q * c) / det).alias("slope_x"), F.when(det > 1e-9, (q * a - p * c) / det).alias("slope_y"))
 
 
-def nearest_rank(df: DataFrame, value: str, shares: dict[str, float]) -> DataFrame:
+def nearest_rank(df: DataFrame, value: str, shares: dict[str, float], bins: int = 4096) -> DataFrame:
     """Values at rank floor(n * share), counted from 0, exact and without a total order in one task.
 
-    Equal values are counted first, so the running count goes over distinct values only."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(value).count()
-    running = counts.withColumn("upto", F.sum("count").over(Window.orderBy(value)))
-    n = F.sum("count").over(Window.partitionBy(F.lit(0)))
-    ranked = running.withColumn("n", n)
-    return ranked.agg(*[F.min(F.when(F.col("upto") > F.floor(F.col("n") * share), F.col(value))).alias(name) for name, share in shares.items()], F.max(value).alias("largest"))
+    Values are counted in ``bins`` equal ranges; only the ranges in which a wanted rank lies are looked at further, and
+    there equal values are counted first. Nulls are left out."""
+    rows = df.where(F.col(value).isNotNull()).select(value)
+    ends = rows.agg(F.min(value).cast("double").alias("low"), F.max(value).cast("double").alias("high"))  # one row
+    span = F.greatest(F.col("high") - F.col("low"), F.lit(1e-300))
+    binned = rows.crossJoin(F.broadcast(ends)).withColumn("bin", F.least(F.lit(bins - 1), F.floor((F.col(value).cast("double") - F.col("low")) / span * bins)))
+    counts = binned.groupBy("bin").count().withColumn("upto", F.sum("count").over(Window.orderBy("bin"))).withColumn("n", F.sum("count").over(Window.partitionBy(F.lit(0))))
+    wanted = counts.select("bin", (F.col("upto") - F.col("count")).alias("before"), "upto", "n", F.explode(F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])).alias("name", "share"))
+    held = wanted.withColumn("rank", F.floor(F.col("n") * F.col("share"))).where("rank >= before and rank < upto").select("bin", "name", (F.col("rank") - F.col("before")).alias("rank"))
+    inside = binned.join(F.broadcast(held.select("bin").distinct()), "bin").groupBy("bin", value).count()
+    running = inside.withColumn("upto", F.sum("count").over(Window.partitionBy("bin").orderBy(value)))
+    found = running.join(F.broadcast(held), "bin").where("upto > rank").groupBy("name").agg(F.min(value).alias("v"))
+    picked = found.agg(*[F.max(F.when(F.col("name") == name, F.col("v"))).alias(name) for name in shares])
+    return picked.crossJoin(rows.agg(F.max(value).alias("largest")))

@@ -42,6 +42,15 @@ def runs(cells: DataFrame, line: Column, along: Column) -> DataFrame:
     return rows.withColumn("island", island).groupBy("line", "island").agg(F.min("at").alias("first"), F.max("at").alias("last"), F.count("*").alias("length")).drop("island")
 
 
+def longest_runs(cells: DataFrame) -> DataFrame:
+    """(way, line, longest): the longest run of present cells in each row, column and both diagonals."""
+    x, y, out = F.col("x"), F.col("y"), None
+    for way, line, along in (("row", y, x), ("column", x, y), ("diagonal", x - y, y), ("counter", x + y, y)):
+        found = runs(cells, line, along).groupBy("line").agg(F.max("length").alias("longest")).select(F.lit(way).alias("way"), "line", "longest")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 def integral(cells: DataFrame, value: str) -> DataFrame:
     """Sum over the rectangle from the origin to each cell of a full grid."""
     rows = cells.withColumn("row_sum", F.sum(value).over(Window.partitionBy("y").orderBy("x")))
@@ -116,3 +125,33 @@ def quad_split(tiles: DataFrame, most: int, deepest: int = 20) -> DataFrame:
         if rest.isEmpty():
             return out
     return out
+
+
+def expanded(boxes: DataFrame, metres: Column) -> DataFrame:
+    """Rectangles grown by a distance on each side, in degrees at their middle latitude."""
+    north = metres / 111320.0
+    east = metres / (111320 * F.cos(F.radians((F.col("south") + F.col("north")) / 2)))
+    return boxes.withColumns({"west": F.col("west") - east, "south": F.col("south") - north, "east": F.col("east") + east, "north": F.col("north") + north})
+
+
+def polygon_area(rings: Column) -> Column:
+    """Area of the first ring less the others: each a closed array of edges (x1, y1, x2, y2), summed from its first corner on."""
+
+    def area(ring: Column) -> Column:
+        x0, y0 = ring[0]["x1"], ring[0]["y1"]
+        cross = lambda e: (e["x1"] - x0) * (e["y2"] - y0) - (e["x2"] - x0) * (e["y1"] - y0)
+        return F.abs(F.aggregate(ring, F.lit(0.0), lambda s, e: s + cross(e))) / 2
+
+    sizes = F.transform(rings, area)
+    return 2 * sizes[0] - F.aggregate(sizes, F.lit(0.0), lambda s, a: s + a)
+
+
+def rasterized(shapes: DataFrame, key: str, edges: Column, per_unit: int) -> DataFrame:
+    """(key, k, first, last): runs of sample places inside each shape by the even-odd rule. Sample i of a row stands at
+    (i + 0.5) / per_unit, rows likewise; slanted edges cross a row at one place, holes are further edges."""
+    rows = shapes.select(key, F.explode(edges).alias("e")).select(key, F.least("e.y1", "e.y2").alias("a"), F.greatest("e.y1", "e.y2").alias("b"), "e.*").where("a < b")
+    at = rows.withColumn("k", F.explode(F.sequence(F.floor(F.col("a") * per_unit), F.ceil(F.col("b") * per_unit) - 1))).withColumn("y", (F.col("k") + 0.5) / per_unit)
+    crossed = at.where("y > a and y <= b").withColumn("x", F.col("x1") + (F.col("x2") - F.col("x1")) * (F.col("y") - F.col("y1")) / (F.col("y2") - F.col("y1")))
+    place = F.row_number().over(Window.partitionBy(key, "k").orderBy("x"))
+    pairs = crossed.withColumn("place", place).groupBy(key, "k", F.floor((F.col("place") - 1) / 2).alias("pair")).agg(F.min("x").alias("enter"), F.max("x").alias("leave"))
+    return pairs.select(key, "k", F.floor(F.col("enter") * per_unit + 0.5).alias("first"), (F.ceil(F.col("leave") * per_unit - 0.5) - 1).alias("last")).where("first <= last")

@@ -34,10 +34,17 @@ def conflict_null(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def scoped_lookup(df: DataFrame, refs: DataFrame, name: str, scope: str, value: str) -> DataFrame:
-    """Value by (name, scope), else by name alone among references without a scope."""
-    own = refs.where(F.col(scope).isNotNull()).select(name, scope, F.col(value).alias("own"))
-    wide = refs.where(F.col(scope).isNull()).select(name, F.col(value).alias("wide"))
-    return df.join(own, [name, scope], "left").join(wide, name, "left").withColumn(value, F.coalesce("own", "wide")).drop("own", "wide")
+    """Value by (name, scope), else by name alone among references without a scope; null with ``reason`` ambiguous where
+    the references of the one that decides disagree, missing where there is none.
+
+    References are counted before they are joined, so a repeated one never multiplies a row."""
+    only = lambda alias: F.when(F.count_distinct(value) == 1, F.min(value)).alias(alias)
+    own = refs.where(F.col(scope).isNotNull()).groupBy(name, scope).agg(only("own"), F.lit(True).alias("has_own"))
+    wide = refs.where(F.col(scope).isNull()).groupBy(name).agg(only("wide"), F.lit(True).alias("has_wide"))
+    found = df.join(own, [name, scope], "left").join(wide, name, "left")
+    picked = F.when(F.col("has_own"), F.col("own")).otherwise(F.col("wide"))
+    reason = F.when(picked.isNotNull(), None).when(F.col("has_own") | F.col("has_wide"), "ambiguous").otherwise("missing")
+    return found.withColumns({value: picked, "reason": reason}).drop("own", "wide", "has_own", "has_wide")
 
 
 def bins(df: DataFrame, west: str, south: str, east: str, north: str, size: float) -> DataFrame:
@@ -59,6 +66,27 @@ def bbox_join(a: DataFrame, b: DataFrame, size: float, strict: bool = True) -> D
     return left.join(right, ["bin_x", "bin_y"]).where(hit & home).drop("bin_x", "bin_y")
 
 
+def coverage_state(regions: DataFrame, parts: DataFrame, key: str, size: float) -> DataFrame:
+    """(key, state): whether rectangles ``parts`` cover each region wholly (available), in part, or nowhere (unavailable).
+
+    A region is cut into slabs at the sides of the rectangles that overlap it; in each slab a sweep by the furthest
+    northern end finds gaps. A slab meets the rectangles that span it, so the rows of a region grow with the square of
+    the rectangles that overlap that one region."""
+    edges = ("west", "south", "east", "north")
+    pairs = bbox_join(regions.select(key, *edges), parts.select(*edges), size)
+    cut = pairs.select(key, *edges, *[F.greatest(f"b_{c}", c).alias(a) for c, a in (("west", "w"), ("south", "s"))], *[F.least(f"b_{c}", c).alias(a) for c, a in (("east", "e"), ("north", "n"))])
+    cut = checkpointed(cut)
+    places = cut.select(key, F.explode(F.array("west", "east", "w", "e")).alias("x0")).distinct()
+    slabs = places.withColumn("x1", F.lead("x0").over(Window.partitionBy(key).orderBy("x0"))).where("x1 is not null")
+    spans = slabs.join(cut.select(key, "w", "e", "s", "n"), key).where("w <= x0 and e >= x1")
+    reach = F.max("n").over(Window.partitionBy(key, "x0").orderBy("s", "n").rowsBetween(Window.unboundedPreceding, -1))
+    swept = spans.withColumn("gap", F.col("s") > reach).groupBy(key, "x0").agg(F.min("s").alias("low"), F.max("n").alias("high"), F.max(F.coalesce("gap", F.lit(False))).alias("gap"))
+    whole = slabs.join(swept, [key, "x0"], "left").join(cut.select(key, "south", "north").distinct(), key)
+    bad = F.col("low").isNull() | F.col("gap") | (F.col("low") > F.col("south")) | (F.col("high") < F.col("north"))
+    found = whole.groupBy(key).agg(F.max(bad).alias("holes"))
+    return regions.select(key).join(found, key, "left").select(key, F.when(F.col("holes").isNull(), "unavailable").when(F.col("holes"), "partial").otherwise("available").alias("state"))
+
+
 def points_in_boxes(points: DataFrame, boxes: DataFrame, size: float, closed: bool = False) -> DataFrame:
     """Points with the rectangles that own them: lower edges belong, upper ones do only with ``closed``."""
     at = points.withColumn("bin_x", F.floor(F.col("lon") / size).cast("int")).withColumn("bin_y", F.floor(F.col("lat") / size).cast("int"))
@@ -88,20 +116,25 @@ def nearest(samples: DataFrame, points: DataFrame, sample_id: str, size: float,
     """Distance of each sample to its nearest point, in rounds of growing bins.
 
     A round looks at the 3 x 3 bins around a sample; a distance within the bin size is final, and the other samples
-    go on with bins twice as wide until one bin spans all."""
-    left, out = samples, None
+    go on with bins twice as wide until one bin spans all. Samples with a null coordinate, and all of them where there
+    is no point within the last round's bins, have a null distance."""
+    points = points.where("lon is not null and lat is not null")
+    out = samples.where("lon is null or lat is null").select(sample_id, F.lit(None).cast("double").alias("distance"))
+    left = samples.where("lon is not null and lat is not null")
+    if points.isEmpty():
+        rounds = 0
     for _ in range(rounds):
         half = (F.floor(F.col("lon") / size), F.floor(F.col("lat") / size))
         around = left.withColumn("bin_x", F.explode(F.sequence(half[0] - 1, half[0] + 1))).withColumn("bin_y", F.explode(F.sequence(half[1] - 1, half[1] + 1)))
         target = points.select(F.col("lon").alias("p_lon"), F.col("lat").alias("p_lat"), F.floor(F.col("lon") / size).alias("bin_x"), F.floor(F.col("lat") / size).alias("bin_y"))
         best = around.join(target, ["bin_x", "bin_y"]).groupBy(sample_id).agg(F.min(F.hypot(F.col("lon") - F.col("p_lon"), F.col("lat") - F.col("p_lat"))).alias("distance")).where(F.col("distance") <= size)
         best = checkpointed(best)
-        out = best if out is None else out.unionByName(best)
+        out = out.unionByName(best)
         left = checkpointed(left.join(best, sample_id, "left_anti"))
         if left.isEmpty():
             return out
         size *= 2
-    raise RuntimeError("no point is near enough to some sample")
+    return out.unionByName(left.select(sample_id, F.lit(None).cast("double").alias("distance")))
 
 
 def as_of(need: DataFrame, editions: DataFrame, name: str, day: str, edition: str, period: str = "month") -> DataFrame:
@@ -121,13 +154,16 @@ def as_of(need: DataFrame, editions: DataFrame, name: str, day: str, edition: st
     return rows.join(ends, [name, "period"], "left").select(name, day, F.coalesce("found", "before").alias(edition))
 
 
-def rule_cascade(left: DataFrame, id_column: str, rules: list[tuple[str, DataFrame, Column]]) -> DataFrame:
+def rule_cascade(left: DataFrame, id_column: str, rules: list[tuple[str, DataFrame, list[str]]]) -> DataFrame:
     """Candidates by the first rule that has any: status matched, ambiguous or unmatched, and the rule.
 
-    ``rules``: name, right side with column ``candidate``, join condition. Later rules see only rows still unmatched."""
+    ``rules``: name, right side with column ``candidate``, columns of both sides that must agree (a reviewed pairing is
+    a rule of its own whose right side is the table of reviews). Candidates are counted by those columns before they
+    are joined, so a frequent name makes no pairs. Later rules see only rows still unmatched."""
     rest, out = left, None
-    for name, right, condition in rules:
-        found = rest.join(right, condition).groupBy(id_column).agg(F.count_distinct("candidate").alias("n"), F.min("candidate").alias("candidate"))
+    for name, right, keys in rules:
+        counted = right.groupBy(*keys).agg(F.count_distinct("candidate").alias("n"), F.min("candidate").alias("candidate")).where("n > 0")
+        found = checkpointed(rest.join(counted, keys).select(id_column, "n", "candidate"))
         part = found.select(id_column, F.lit(name).alias("rule"), F.when(F.col("n") == 1, "matched").otherwise("ambiguous").alias("status"), F.when(F.col("n") == 1, F.col("candidate")).alias("candidate"))
         out = part if out is None else out.unionByName(part)
         rest = rest.join(found, id_column, "left_anti")

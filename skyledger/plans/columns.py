@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.functions import aviation as V
 from skyledger.functions import columns as C
 
 from .bindings import BOXES, CELLS, POINTS, boxes, cells, points
@@ -210,3 +211,49 @@ def q_fixed_width(t: Tables) -> DataFrame:
     line = F.concat(F.lpad(F.col("p_partkey").cast("string"), 10, "0"), F.lpad(F.col("p_size").cast("string"), 4, " "), F.rpad("p_type", 118, " "))
     found = fixed_fields(t.part.select(line.alias("value")), {"p_partkey": (0, 10), "p_size": (10, 14), "p_type": (14, 132)})
     return found.select(F.col("p_partkey").cast("long").alias("p_partkey"), F.col("p_size").cast("int").alias("p_size"), "p_type")
+
+
+# Title or use of a row by its number, and what it stands for, written out by hand for the SQL.
+USES = (("D-ATIS", "TOWER", "D-ATIS"), ("ATIS", "TOWER", "ATIS"), ("AWOS-3PT", "ASOS_AWOS", "AWOS"), ("ASOS", "ASOS_AWOS", "ASOS"), ("ASOS", "TOWER", None), ("LCL/P", "TOWER", "TOWER"), ("GND/S", "TOWER", "GROUND"), ("CTAF", "FSS", "CTAF"), ("CD PRE TAXI CLNC", "TOWER", "CLEARANCE"), ("APCH/P DEP/P", "TRACON", "APPROACH/DEPARTURE"), ("APCH/DEP/S IC", "TRACON", "APPROACH/DEPARTURE"), ("APCH/P IC", "TRACON", "APPROACH"), ("DEP/S", "TRACON", "DEPARTURE"), ("LOW ALTITUDE", "RCAG", "CENTER"), ("CLASS B", "TRACON", None), ("", "FSS", None))
+TITLES = (
+    ("ILS OR LOC RWY 9L", "I09L"), ("ILS Z OR LOC/DME RWY 27", "I27-Z"), ("ILS Y OR LOC Z RWY 27", None), ("RNAV (GPS) Y RWY 04R", "R04RY"), ("RNAV (RNP) Z RWY 36", "H36-Z"), ("VOR/DME RWY 13", "D13"), ("VOR-A", "VOR-A"), ("RNAV (GPS)-B", "RNV-B"),
+    ("LOC/DME BC RWY 31", "B31"), ("NDB RWY 37", None), ("COPTER RNAV (GPS) 123", "R123"), ("COPTER RNAV (GPS) 361", None), ("VOR OR GPS RWY 5", "S05"), ("NDB OR TACAN RWY 5", None), ("ILS RWY 16R (SA CAT I)", "I16R"), ("LDA/DME RWY 6", "X06"), ("SDF RWY 2", "U02"), ("HI-TACAN RWY 2", None), ("  gps  rwy 18, CONT.1", "P18"), ("NDB/DME-C", "NDM-C"),
+)
+
+
+def picked(values: list, k: str) -> Column:
+    return F.element_at(F.array(*map(F.lit, values)), (F.col(k) % len(values) + 1).cast("int"))
+
+
+def sql_list(values: list) -> str:
+    return "[" + ", ".join("NULL" if v is None else "'" + v + "'" for v in values) + "]"
+
+
+@query(QUERIES, f"SELECT p_partkey, {sql_list([u[2] for u in USES])}[p_partkey % {len(USES)} + 1] AS service, CASE WHEN {sql_list([u[2] for u in USES])}[p_partkey % {len(USES)} + 1] IS NULL THEN 'service-outside-airport-projection' WHEN p_size * 10 < 100 OR p_size * 10 >= 400 THEN 'unsupported-frequency' END AS reason FROM part")
+def q_frequency_services(t: Tables) -> DataFrame:
+    use, facility, megahertz = picked([u[0] for u in USES], "p_partkey"), picked([u[1] for u in USES], "p_partkey"), (F.col("p_size") * 10).cast("string")
+    return t.part.select("p_partkey", V.service_type(use, facility).alias("service"), V.service_reason(use, facility, megahertz).alias("reason"))
+
+
+@query(QUERIES, f"SELECT p_partkey, {sql_list([u[1] for u in TITLES])}[p_partkey % {len(TITLES)} + 1] AS ident FROM part")
+def q_approach_idents(t: Tables) -> DataFrame:
+    return t.part.select("p_partkey", V.approach_ident(picked([u[0] for u in TITLES], "p_partkey")).alias("ident"))
+
+
+@query(QUERIES, "SELECT p_partkey, (p_partkey % 100) / pow(10.0, p_size % 10) AS rnp, CASE WHEN p_size % 2 = 0 THEN -p_partkey ELSE p_partkey END / 100.0 AS angle, (p_partkey % 1000) / 10.0 AS hold, CASE WHEN p_size % 3 > 0 THEN CASE WHEN p_size % 2 = 0 THEN p_size ELSE -p_size END END::DOUBLE AS declination FROM part")
+def q_coded_numbers(t: Tables) -> DataFrame:
+    c, even = F.col, F.col("p_size") % 2 == 0
+    digits = lambda x, n: F.lpad(x.cast("string"), n, "0")
+    station = F.when(c("p_size") % 3 > 0, "VORTAC").otherwise("NDB")
+    return t.part.select(
+        "p_partkey", V.rnp_miles(F.concat(digits(c("p_partkey") % 100, 2), (c("p_size") % 10).cast("string"))).alias("rnp"), V.signed_hundredths(F.concat(F.when(even, "-").otherwise("+"), digits(c("p_partkey"), 3))).alias("angle"),
+        V.hold_minutes(F.concat(F.lit("T"), digits(c("p_partkey") % 1000, 3))).alias("hold"), V.station_declination(station, c("p_size").cast("double"), F.when(even, "E").otherwise("W")).alias("declination"),
+    )
+
+
+@query(QUERIES, "SELECT p_partkey, CASE WHEN r <= 300 THEN r END AS radius FROM (SELECT p_partkey, round(greatest(CASE p_size % 3 WHEN 0 THEN 150 WHEN 1 THEN 30 ELSE 90 END, p_retailprice / 10 * 1.5) + CASE p_size % 4 WHEN 0 THEN 20 * 0.3048 WHEN 1 THEN 250 * 0.3048 WHEN 2 THEN 926.0 ELSE 75.0 END, 6) AS r FROM part)")
+def q_hazard_policy(t: Tables) -> DataFrame:
+    kind = picked(["TOWER CRANE", "utility pole", "mast"], "p_size")
+    accuracy = V.horizontal_accuracy(picked(["1A", "4B", "7D", "9I"], "p_size"), F.lit(None), 75.0)
+    radius = V.hazard_radius(kind, F.col("p_retailprice") / 10, accuracy, ("UTILITY_POLE",), 150.0, 30.0, 90.0, 1e9)
+    return t.part.select("p_partkey", F.round(radius, 6).alias("radius")).withColumn("radius", F.when(F.col("radius") <= 300, F.col("radius")))

@@ -7,6 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyledger.functions.storage import checkpointed
 from skyledger.operators import aggregates as A
 
 from .bindings import BOXES, CELLS, HISTORY, POINTS, boxes, cells, history, points
@@ -74,18 +75,15 @@ def q_downsample_avg(t: Tables) -> DataFrame:
     return A.downsample_average(cells(t), "lo").withColumn("lo", F.col("lo").cast("double"))
 
 
-@query(QUERIES, f"SELECT y // 8 AS band, x // 8 AS block, bit_or(CASE WHEN lo >= 10 THEN 1::BIGINT << ((y % 8) * 8 + x % 8)::INT ELSE 0 END)::BIGINT AS mask, bit_count(bit_or(CASE WHEN lo >= 10 AND y % 8 < 7 THEN 1::BIGINT << ((y % 8) * 8 + x % 8)::INT ELSE 0 END))::INT AS clear FROM {CELLS} WHERE y % 8 < 7 GROUP BY 1, 2")
-def q_density(t: Tables) -> DataFrame:
-    bit = F.when(F.col("lo") >= 10, F.expr("shiftleft(1L, (y % 8) * 8 + x % 8)")).otherwise(F.lit(0).cast("long"))
-    return cells(t).where("y % 8 < 7").groupBy(F.expr("y div 8").cast("int").alias("band"), F.expr("x div 8").cast("int").alias("block")).agg(F.bit_or(bit).alias("mask")).withColumn("clear", F.bit_count("mask"))
+AREA = "(tanh(pi() * (1 - ({r}) / 64.0)) - tanh(pi() * (1 - ({r} + 1) / 64.0)))"
+SHARE = "round(sum(CASE WHEN {test} THEN " + AREA.format(r="y") + " ELSE 0 END) / (4 * (" + " + ".join(AREA.format(r=f"y // 4 * 4 + {i}") for i in range(4)) + ")), 9)"
 
 
-@query(QUERIES)
-def q_density_all(t: Tables) -> DataFrame:
+@query(QUERIES, f"SELECT y // 4 AS band, x // 4 AS block, {SHARE.format(test='lo >= 16')} AS preferred, {SHARE.format(test='lo >= 13 AND lo < 16')} AS fallback, {SHARE.format(test='true')} AS known FROM {CELLS} GROUP BY 1, 2, {', '.join(AREA.format(r=f'y // 4 * 4 + {i}') for i in range(4))}")
+def q_density(t: Tables) -> DataFrame:
     """Shares of each block of 4 x 4 samples that are preferred, fallback where not preferred, and known at all.
 
-    Rows weigh by their area on the sphere, with 128 rows of samples from pole to pole of the map; ``q_density`` leaves every eighth row
-    out, as its SQL does, and has neither override nor weights."""
+    Rows weigh by their area on the sphere, with 128 rows of samples from pole to pole of the map."""
     edge = lambda row: F.tanh(F.lit(math.pi) * (1 - row / 64.0))
     area = lambda row: edge(row) - edge(row + 1)
     bit = F.expr("shiftleft(1, (y % 4) * 4 + x % 4)")
@@ -110,7 +108,7 @@ def q_pyramid(t: Tables) -> DataFrame:
     level = cells(t).select("x", "y", "hi")
     out = level.select(F.lit(7).alias("z"), "*")
     for z in range(6, -1, -1):
-        level = A.downsample_max(level, "hi")
+        level = checkpointed(A.downsample_max(level, "hi"))  # else each level would compute all below it again
         out = out.unionByName(level.select(F.lit(z).alias("z"), "*"))
     return out
 

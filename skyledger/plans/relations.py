@@ -102,8 +102,8 @@ def q_region_reasons(t: Tables) -> DataFrame:
 @query(QUERIES, "SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_partkey IN (SELECT p_partkey FROM part WHERE p_type = 'ECONOMY') THEN 'kept' ELSE 'no parent' END AS state FROM lineitem")
 def q_semi_anti(t: Tables) -> DataFrame:
     parent = t.part.where("p_type = 'ECONOMY'").select(F.col("p_partkey").alias("l_partkey"))
-    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
-    return rows.join(parent, "l_partkey", "left_semi").withColumn("state", F.lit("kept")).unionByName(rows.join(parent, "l_partkey", "left_anti").withColumn("state", F.lit("no parent")))
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey").join(parent.distinct().withColumn("held", F.lit(True)), "l_partkey", "left")
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", F.when(F.col("held"), "kept").otherwise("no parent").alias("state"))
 
 
 @query(QUERIES, "SELECT o_orderkey, count(l_orderkey)::INT AS n, coalesce(string_agg(l_linenumber || '/' || l_partkey, ',' ORDER BY l_linenumber, l_partkey), '') AS lines FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1")
@@ -197,30 +197,15 @@ def q_distance_join(t: Tables) -> DataFrame:
     return J.distance_join(points(t), hazards, 2.0).select("id", "box")
 
 
-@query(QUERIES, f"SELECT box, round(min(sqrt((lon - west) ** 2 + (lat - south) ** 2)), 9) AS distance FROM {BOXES}, (SELECT * FROM {POINTS} WHERE id % 10 = 0) GROUP BY box")
+@query(QUERIES, f"SELECT box, round(min(sqrt((lon - west) ** 2 + (lat - south) ** 2)), 9) AS distance FROM {BOXES}, {POINTS} GROUP BY box")
 def q_nearest(t: Tables) -> DataFrame:
-    samples = boxes(t).select("box", F.col("west").alias("lon"), F.col("south").alias("lat"))
-    return J.nearest(samples, points(t).where("id % 10 = 0"), "box", 4.0).select("box", F.round("distance", 9).alias("distance"))
-
-
-@query(QUERIES)
-def q_nearest_all(t: Tables) -> DataFrame:
-    """The nearest of all points; ``q_nearest`` keeps to the tenth that its SQL names, a plain product."""
     samples = boxes(t).select("box", F.col("west").alias("lon"), F.col("south").alias("lat"))
     return J.nearest(samples, points(t), "box", 4.0).select("box", F.round("distance", 9).alias("distance"))
 
 
-@query(QUERIES, "WITH e AS (SELECT DISTINCT o_orderpriority AS name, o_orderdate AS edition FROM orders WHERE o_orderkey % 50 = 0), n AS (SELECT DISTINCT o_orderpriority AS name, o_orderdate AS day FROM orders) SELECT name, day::VARCHAR AS day, (SELECT max(edition) FROM e WHERE e.name = n.name AND edition <= day)::VARCHAR AS edition FROM n")
-def q_asof_edition(t: Tables) -> DataFrame:
-    need = t.orders.select(F.col("o_orderpriority").alias("name"), F.col("o_orderdate").alias("day"))
-    editions = t.orders.where("o_orderkey % 50 = 0").select(F.col("o_orderpriority").alias("name"), F.col("o_orderdate").alias("edition"))
-    found = J.as_of(need, editions, "name", "day", "edition")
-    return found.select("name", F.date_format("day", "yyyy-MM-dd HH:mm:ss").alias("day"), F.date_format("edition", "yyyy-MM-dd HH:mm:ss").alias("edition"))
-
-
 @query(QUERIES, "WITH e AS (SELECT DISTINCT o_orderpriority AS name, l_shipdate::TIMESTAMP AS edition FROM lineitem JOIN orders ON l_orderkey = o_orderkey), n AS (SELECT DISTINCT o_orderpriority AS name, o_orderdate::TIMESTAMP AS day FROM orders) SELECT n.name, day::VARCHAR AS day, edition::VARCHAR AS edition FROM n ASOF LEFT JOIN e ON e.name = n.name AND e.edition <= n.day")
-def q_asof_shipped(t: Tables) -> DataFrame:
-    """Editions are all ship dates of a priority; ``q_asof_edition`` keeps to the orders that its SQL names."""
+def q_asof_edition(t: Tables) -> DataFrame:
+    """Editions are all ship dates of a priority."""
     need = t.orders.select(F.col("o_orderpriority").alias("name"), F.col("o_orderdate").cast("timestamp").alias("day"))
     names = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderpriority").alias("name"))
     editions = t.lineitem.join(names, "l_orderkey").select("name", F.col("l_shipdate").cast("timestamp").alias("edition"))
@@ -233,9 +218,8 @@ b AS (SELECT s.p_partkey, count(DISTINCT r.p_partkey) AS n, min(r.p_partkey) AS
 SELECT p_partkey, rule, CASE WHEN n = 1 THEN 'matched' WHEN n > 1 THEN 'ambiguous' ELSE 'unmatched' END AS status, CASE WHEN n = 1 THEN c END::DOUBLE AS candidate FROM (SELECT p_partkey FROM part WHERE p_partkey % 7 > 0) LEFT JOIN (SELECT *, 'exact' AS rule FROM a UNION ALL SELECT *, 'sized' FROM b) USING (p_partkey)""")
 def q_rule_cascade(t: Tables) -> DataFrame:
     left = t.part.where("p_partkey % 7 > 0").select("p_partkey", "p_name", "p_brand", "p_size")
-    right = t.part.where("p_partkey % 7 = 0").select(F.col("p_partkey").cast("double").alias("candidate"), F.col("p_name").alias("r_name"), F.col("p_brand").alias("r_brand"), F.col("p_size").alias("r_size"))
-    name = F.col("p_name") == F.col("r_name")
-    return J.rule_cascade(left, "p_partkey", [("exact", right, name & (F.col("p_brand") == F.col("r_brand"))), ("sized", right, name & (F.col("p_size") == F.col("r_size")))])
+    right = t.part.where("p_partkey % 7 = 0").select(F.col("p_partkey").cast("double").alias("candidate"), "p_name", "p_brand", "p_size")
+    return J.rule_cascade(left, "p_partkey", [("exact", right, ["p_name", "p_brand"]), ("sized", right, ["p_name", "p_size"])])
 
 
 @query(QUERIES, f"SELECT a.box AS region, sum(b.size * 1000)::BIGINT AS bytes, count(*)::BIGINT AS files FROM (SELECT * FROM {BOXES} WHERE size > 45) a JOIN {BOXES} b ON a.west < b.east AND a.east > b.west AND a.south < b.north AND a.north > b.south GROUP BY 1")
@@ -310,6 +294,5 @@ def q_listing_products(t: Tables) -> DataFrame:
 @query(QUERIES, "SELECT r_name AS state, n_name AS city, c_custkey AS airport, o_orderkey AS record FROM region JOIN nation ON n_regionkey = r_regionkey JOIN customer ON c_nationkey = n_nationkey JOIN orders ON o_custkey = c_custkey")
 def q_hierarchy_flatten(t: Tables) -> DataFrame:
     airports = t.orders.groupBy("o_custkey").agg(F.collect_list("o_orderkey").alias("records")).join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    cities = airports.groupBy("c_nationkey").agg(F.collect_list(F.struct("c_custkey", "records")).alias("airports")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    nested = cities.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    return nested.select(F.col("r_name").alias("state"), F.col("n_name").alias("city"), F.explode("airports").alias("a")).select("state", "city", F.col("a.c_custkey").alias("airport"), F.explode("a.records").alias("record"))
+    nested = airports.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    return nested.select(F.col("r_name").alias("state"), F.col("n_name").alias("city"), F.col("c_custkey").alias("airport"), F.explode("records").alias("record"))

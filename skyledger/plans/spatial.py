@@ -9,6 +9,7 @@ from skyledger.functions import columns as C
 from skyledger.functions.storage import checkpointed
 from skyledger.operators import grid as G
 from skyledger.operators import joins as J
+from skyledger.operators import text as X
 from skyledger.operators.graph import connected_components
 
 from .bindings import BOXES, CELLS, POINTS, boxes, cells, points
@@ -56,19 +57,17 @@ def q_ordered_children(t: Tables) -> DataFrame:
     return t.orders.groupBy("o_custkey").agg(F.array_join(F.transform(kids, lambda x: x["o_orderkey"].cast("string")), ",").alias("orders"))
 
 
-ITEMS = "(SELECT l_orderkey AS line, (l_linenumber * 10 + l_partkey % 7)::DOUBLE AS x, (l_suppkey % 9 + 1)::DOUBLE AS width, l_partkey AS item, l_suppkey AS s, l_extendedprice AS p FROM lineitem)"
+ITEMS = "(SELECT l_orderkey AS page, l_linenumber % 2 * 0.5 + l_suppkey % 3 * 2 AS y, (l_linenumber * 10 + l_partkey % 7)::DOUBLE AS x, (l_suppkey % 9 + 1)::DOUBLE AS width, l_partkey AS item, l_suppkey AS s, l_extendedprice AS p FROM lineitem)"
 
 
-@query(QUERIES, f"""WITH a AS (SELECT *, max(x + width) OVER (PARTITION BY line ORDER BY x, item, s, p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM {ITEMS}),
-b AS (SELECT *, sum(CASE WHEN reach IS NULL OR x - reach > 2 THEN 1 ELSE 0 END) OVER (PARTITION BY line ORDER BY x, item, s, p ROWS UNBOUNDED PRECEDING) AS island FROM a)
-SELECT line, island::BIGINT AS island, min(x) AS x, max(x + width) - min(x) AS width, string_agg(item::VARCHAR, ' ' ORDER BY x, item) AS text FROM b GROUP BY 1, 2""")
+@query(QUERIES, f"""WITH l AS (SELECT *, sum(coalesce(fresh, 0)) OVER (PARTITION BY page ORDER BY y, x, item, s, p ROWS UNBOUNDED PRECEDING) AS line FROM (SELECT *, (y - lag(y) OVER (PARTITION BY page ORDER BY y, x, item, s, p) > 0.75)::INT AS fresh FROM {ITEMS})),
+a AS (SELECT *, x - max(x + width) OVER (PARTITION BY page, line ORDER BY x, item, s, p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS gap FROM l),
+b AS (SELECT *, sum(CASE WHEN gap BETWEEN -0.75 AND 2 THEN 0 ELSE 1 END) OVER (PARTITION BY page, line ORDER BY x, item, s, p ROWS UNBOUNDED PRECEDING) AS island FROM a)
+SELECT page, line::BIGINT AS line, island::BIGINT AS island, min(x) AS x, max(x + width) - min(x) AS width, string_agg(item::VARCHAR, '' ORDER BY x, item, s, p) AS text FROM b GROUP BY 1, 2, 3""")
 def q_merge_adjacent(t: Tables) -> DataFrame:
-    items = t.lineitem.select(F.col("l_orderkey").alias("line"), (F.col("l_linenumber") * 10.0 + F.col("l_partkey") % 7).alias("x"), (F.col("l_suppkey") % 9 + 1).cast("double").alias("width"), F.col("l_partkey").alias("item"), F.col("l_suppkey").alias("s"), F.col("l_extendedprice").alias("p"))
-    order = Window.partitionBy("line").orderBy("x", "item", "s", "p")
-    reach = F.max(F.col("x") + F.col("width")).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    rows = items.withColumn("reach", reach).withColumn("island", F.sum(F.when(F.col("reach").isNull() | (F.col("x") - F.col("reach") > 2), 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x", "item"))), lambda i: i["item"].cast("string")), " ")
-    return rows.groupBy("line", "island").agg(F.min("x").alias("x"), (F.max(F.col("x") + F.col("width")) - F.min("x")).alias("width"), text.alias("text"))
+    c = F.col
+    items = t.lineitem.select(c("l_orderkey").alias("page"), (c("l_linenumber") % 2 * 0.5 + c("l_suppkey") % 3 * 2).alias("y"), (c("l_linenumber") * 10.0 + c("l_partkey") % 7).alias("x"), (c("l_suppkey") % 9 + 1).cast("double").alias("width"), c("l_partkey").cast("string").alias("text"), c("l_partkey").alias("item"), c("l_suppkey").alias("s"), c("l_extendedprice").alias("p"))
+    return X.merge_adjacent(items, "page", ["item", "s", "p"]).select("page", "line", "island", "x", "width", "text")
 
 
 CLEAR = f"(SELECT x, y FROM {CELLS} WHERE lo >= 10)"
@@ -88,8 +87,7 @@ FIT = f"WITH c AS {CELLS}, s AS (SELECT a.x, a.y, sum((b.x - a.x) * b.hi) / 6 AS
 
 @query(QUERIES, FIT + " SELECT s.x, s.y, round(sx, 6) AS slope_x, round(sy, 6) AS slope_y, round(m, 6) AS mean, round(max(abs(b.hi - (m + sx * (b.x - s.x) + sy * (b.y - s.y)))), 6) AS residual FROM s JOIN c b ON b.x BETWEEN s.x - 1 AND s.x + 1 AND b.y BETWEEN s.y - 1 AND s.y + 1 GROUP BY s.x, s.y, sx, sy, m")
 def q_plane_fit(t: Tables) -> DataFrame:
-    whole = G.plane_fit(cells(t), "hi").join(cells(t).select("x", "y"), ["x", "y"], "left_semi")
-    return whole.select("x", "y", *[F.round(c, 6).alias(c) for c in ("slope_x", "slope_y", "mean", "residual")])
+    return G.plane_fit(cells(t), "hi").select("x", "y", *[F.round(c, 6).alias(c) for c in ("slope_x", "slope_y", "mean", "residual")])
 
 
 @query(QUERIES, FIT + " SELECT x, y, CASE WHEN sqrt(sx * sx + sy * sy) <= 2 THEN 'strict' WHEN sqrt(sx * sx + sy * sy) <= 5 THEN 'rolling' ELSE 'constrained' END AS band FROM s")
@@ -98,11 +96,12 @@ def q_terrain_band(t: Tables) -> DataFrame:
     return G.plane_fit(cells(t), "hi").select("x", "y", C.tier(slope, [(2, "strict"), (5, "rolling")], "constrained").alias("band"))
 
 
-@query(QUERIES, f"WITH r AS (SELECT y, x, x - row_number() OVER (PARTITION BY y ORDER BY x) AS island FROM {CLEAR}), h AS (SELECT y AS line, count(*) AS n FROM r GROUP BY y, island), d AS (SELECT x - y AS line, y - row_number() OVER (PARTITION BY x - y ORDER BY y) AS island FROM {CLEAR}), k AS (SELECT line, count(*) AS n FROM d GROUP BY line, island) SELECT 'row' AS way, line, max(n)::BIGINT AS longest FROM h GROUP BY line UNION ALL SELECT 'diagonal', line, max(n)::BIGINT FROM k GROUP BY line")
+WAYS = {"row": ("y", "x"), "column": ("x", "y"), "diagonal": ("x - y", "y"), "counter": ("x + y", "y")}
+
+
+@query(QUERIES, " UNION ALL ".join(f"SELECT '{way}' AS way, line::INT AS line, max(n)::BIGINT AS longest FROM (SELECT {line} AS line, count(*) AS n FROM (SELECT *, {at} - row_number() OVER (PARTITION BY {line} ORDER BY {at}) AS island FROM {CLEAR}) GROUP BY {line}, island) GROUP BY line" for way, (line, at) in WAYS.items()))
 def q_longest_run(t: Tables) -> DataFrame:
-    row = G.runs(clear(t), F.col("y"), F.col("x")).groupBy("line").agg(F.max("length").alias("longest"))
-    diagonal = G.runs(clear(t), F.col("x") - F.col("y"), F.col("y")).groupBy("line").agg(F.max("length").alias("longest"))
-    return row.select(F.lit("row").alias("way"), "line", "longest").unionByName(diagonal.select(F.lit("diagonal").alias("way"), "line", "longest"))
+    return G.longest_runs(clear(t))
 
 
 @query(QUERIES, f"WITH g AS (SELECT x.i AS x, y.i AS y, coalesce((lo >= 10)::INT, 0) AS v FROM range(128) x(i), range(128) y(i) LEFT JOIN {CELLS} c ON c.x = x.i AND c.y = y.i) SELECT a.x::INT AS x, a.y::INT AS y, sum(b.v)::BIGINT AS total FROM g a JOIN g b ON b.x BETWEEN a.x AND a.x + 3 AND b.y BETWEEN a.y AND a.y + 2 WHERE a.x <= 124 AND a.y <= 125 GROUP BY 1, 2 HAVING sum(b.v) = 12")
@@ -125,16 +124,9 @@ def q_long_components(t: Tables) -> DataFrame:
     return box.where("diagonal >= 4")
 
 
-@query(QUERIES, f"WITH RECURSIVE p AS (SELECT id, lon, lat FROM {POINTS} WHERE id % 5 = 0), e AS (SELECT a.id AS a, b.id AS b FROM p a JOIN p b ON sqrt((a.lon - b.lon) ** 2 + (a.lat - b.lat) ** 2) <= 0.5), r(id, root) USING KEY (id) AS (SELECT id, id FROM p UNION (SELECT e.b, min(r.root) FROM r JOIN e ON e.a = r.id JOIN recurring.r o ON o.id = e.b GROUP BY e.b, o.root HAVING min(r.root) < o.root)) SELECT id, root FROM r")
-def q_single_link(t: Tables) -> DataFrame:
-    p = points(t).where("id % 5 = 0").select("id", "lon", "lat")
-    close = J.distance_join(p, p.select(F.col("id").alias("b"), F.col("lon").alias("b_lon"), F.col("lat").alias("b_lat"), F.lit(0.5).alias("radius")), 1.0)
-    return connected_components(close, "id", "b").select(F.col("node").alias("id"), F.col("component").alias("root"))
-
-
 @query(QUERIES)
-def q_single_link_all(t: Tables) -> DataFrame:
-    """Groups of all points; ``q_single_link`` keeps to the fifth that its SQL names, a quadratic self join."""
+def q_single_link(t: Tables) -> DataFrame:
+    """Groups of all points that steps of half a degree connect; in SQL a quadratic self join, so tested by brute force."""
     p = points(t).select("id", "lon", "lat")
     close = J.distance_join(p, p.select(F.col("id").alias("b"), F.col("lon").alias("b_lon"), F.col("lat").alias("b_lat"), F.lit(0.5).alias("radius")), 1.0)
     return connected_components(close, "id", "b").select(F.col("node").alias("id"), F.col("component").alias("root"))
@@ -188,16 +180,9 @@ def q_terrain_batches(t: Tables) -> DataFrame:
     return cells(t).groupBy(F.expr("x div 8").cast("int").alias("bx"), F.expr("y div 8").cast("int").alias("by_")).agg(F.count("*").alias("tiles"))
 
 
-@query(QUERIES, f"SELECT box, lon / 8.0 AS west, least((lon + 1) / 8.0, east) AS east FROM {BOXES}, range(floor(west * 8)::INT, greatest(ceil(east * 8)::INT - 1, floor(west * 8)::INT) + 1) a(lon) WHERE size <= 10")
-def q_chunk_cover(t: Tables) -> DataFrame:
-    first, last = F.floor(F.col("west") * 8).cast("int"), F.ceil(F.col("east") * 8).cast("int") - 1
-    chunks = boxes(t).where("size <= 10").withColumn("k", F.explode(F.sequence(first, F.greatest(last, first))))
-    return chunks.select("box", (F.col("k") / 8.0).alias("west"), F.least((F.col("k") + 1) / 8.0, F.col("east")).alias("east"))
-
-
 @query(QUERIES, f"SELECT box, (x // 8 - 20000)::INT AS shard_x, (y // 8 - 20000)::INT AS shard_y, greatest(west, (x - 160000) / 8.0) AS west, greatest(south, (y - 160000) / 8.0) AS south, least(east, (x - 159999) / 8.0) AS east, least(north, (y - 159999) / 8.0) AS north FROM {BOXES}, range(floor(west * 8)::INT + 160000, ceil(east * 8)::INT + 160000) a(x), range(floor(south * 8)::INT + 160000, ceil(north * 8)::INT + 160000) b(y)")
-def q_chunk_cover_all(t: Tables) -> DataFrame:
-    """Chunks of an eighth of a degree of every box, both ways, clipped to it, and the degree that holds each; ``q_chunk_cover`` keeps to the small boxes and to longitude, as its SQL does."""
+def q_chunk_cover(t: Tables) -> DataFrame:
+    """Chunks of an eighth of a degree of every box, both ways, clipped to it, and the degree that holds each."""
     c = F.col
     span = lambda a, b: F.explode(F.sequence(F.floor(c(a) * 8).cast("int"), F.ceil(c(b) * 8).cast("int") - 1))
     chunks = boxes(t).withColumn("x", span("west", "east")).withColumn("y", span("south", "north"))
@@ -206,10 +191,9 @@ def q_chunk_cover_all(t: Tables) -> DataFrame:
     return chunks.select("box", *shards, *low, *[F.least(e, (c(k) + 1) / 8.0).alias(e) for e, k in (("east", "x"), ("north", "y"))])
 
 
-@query(QUERIES, f"SELECT box, round(west - 1000 / (111320 * cos(radians((south + north) / 2))), 9) AS west, round(south - 1000 / 111320.0, 9) AS south FROM {BOXES}")
+@query(QUERIES, f"SELECT box, round(west - d / (111320 * c), 9) AS west, round(south - d / 111320.0, 9) AS south, round(east + d / (111320 * c), 9) AS east, round(north + d / 111320.0, 9) AS north FROM (SELECT *, 1000 AS d, cos(radians((south + north) / 2)) AS c FROM {BOXES})")
 def q_expand_bounds(t: Tables) -> DataFrame:
-    shrink = F.cos(F.radians((F.col("south") + F.col("north")) / 2))
-    return boxes(t).select("box", F.round(F.col("west") - 1000 / (111320 * shrink), 9).alias("west"), F.round(F.col("south") - 1000 / 111320.0, 9).alias("south"))
+    return G.expanded(boxes(t), F.lit(1000)).select("box", *[F.round(c, 9).alias(c) for c in ("west", "south", "east", "north")])
 
 
 @query(QUERIES, f"SELECT id, round(2 * 6371008.8 * asin(least(1.0, sqrt(sin(radians(40 - lat) / 2) ** 2 + cos(radians(lat)) * cos(radians(40)) * sin(radians(-75 - lon) / 2) ** 2))), 3) AS metres FROM {POINTS}")
@@ -217,12 +201,19 @@ def q_haversine(t: Tables) -> DataFrame:
     return points(t).select("id", F.round(C.haversine(F.col("lon"), F.col("lat"), F.lit(-75.0), F.lit(40.0)), 3).alias("metres"))
 
 
-@query(QUERIES, f"SELECT box, round((east - west) * (north - south), 9) AS area FROM {BOXES}")
+def holed(t: Tables) -> DataFrame:
+    """Triangles, the lower right halves of the boxes, each with a rectangular hole: rings of edges."""
+    c, w, h = F.col, F.col("east") - F.col("west"), F.col("north") - F.col("south")
+    edge = lambda *e: F.struct(*[x.alias(n) for x, n in zip(e, ("x1", "y1", "x2", "y2"), strict=True)])
+    ring = lambda *p: F.array(*[edge(*a, *b) for a, b in zip(p, [*p[1:], p[0]], strict=True)])
+    a, b, e, f = c("east") - w / 4, c("east") - w / 8, c("south") + h / 8, c("south") + h / 4
+    outer = ring((c("west"), c("south")), (c("east"), c("north")), (c("east"), c("south")))
+    return boxes(t).withColumn("rings", F.array(outer, ring((a, e), (b, e), (b, f), (a, f))))
+
+
+@query(QUERIES, f"SELECT box, round((east - west) * (north - south) * (1 / 2.0 - 1 / 64.0), 9) AS area FROM {BOXES}")
 def q_ring_area(t: Tables) -> DataFrame:
-    """Shoelace sum over the ring, shifted to its first vertex."""
-    ring = boxes(t).select("box", F.array("west", "east", "east", "west", "west").alias("xs"), F.array("south", "south", "north", "north", "south").alias("ys"))
-    area = F.expr("aggregate(sequence(0, size(xs) - 2), 0D, (a, i) -> a + (xs[i] - xs[0]) * (ys[i + 1] - ys[0]) - (xs[i + 1] - xs[0]) * (ys[i] - ys[0])) / 2")
-    return ring.select("box", F.round(area, 9).alias("area"))
+    return holed(t).select("box", F.round(G.polygon_area(F.col("rings")), 9).alias("area"))
 
 
 @query(QUERIES, f"SELECT x // 8 AS bx, y // 8 AS by_ FROM {CELLS} GROUP BY 1, 2 HAVING max(lo) >= 20 AND max(hi) >= 45 AND max(lines) = 7")
@@ -231,15 +222,9 @@ def q_possible_chunks(t: Tables) -> DataFrame:
     return coarse.where("a >= 20 and b >= 45 and c = 7").select("bx", "by_")
 
 
-@query(QUERIES, f"SELECT x // 8 AS bx, y // 8 AS by_, bit_or(CASE WHEN (y % 8) * 8 + x % 8 < 62 THEN 1::BIGINT << least(61, (y % 8) * 8 + x % 8)::INT ELSE 0 END)::BIGINT AS mask FROM {CELLS} GROUP BY 1, 2")
-def q_tile_mask(t: Tables) -> DataFrame:
-    bit = F.expr("case when (y % 8) * 8 + x % 8 < 62 then shiftleft(1L, (y % 8) * 8 + x % 8) else 0L end")
-    return cells(t).groupBy(F.expr("x div 8").cast("int").alias("bx"), F.expr("y div 8").cast("int").alias("by_")).agg(F.bit_or(bit).alias("mask"))
-
-
 @query(QUERIES, f"SELECT x // 8 AS bx, y // 8 AS by_, bit_or(CASE WHEN (y % 8) * 8 + x % 8 = 63 THEN (-9223372036854775808)::BIGINT ELSE 1::BIGINT << least(62, (y % 8) * 8 + x % 8)::INT END)::BIGINT AS mask FROM {CELLS} GROUP BY 1, 2")
-def q_tile_mask_all(t: Tables) -> DataFrame:
-    """All 64 cells of a block; ``q_tile_mask`` leaves the last two out, as its SQL does."""
+def q_tile_mask(t: Tables) -> DataFrame:
+    """All 64 cells of a block as bits of a long."""
     bit = F.expr("shiftleft(1L, (y % 8) * 8 + x % 8)")
     return cells(t).groupBy(F.expr("x div 8").cast("int").alias("bx"), F.expr("y div 8").cast("int").alias("by_")).agg(F.bit_or(bit).alias("mask"))
 
@@ -264,32 +249,28 @@ def q_quad_split(t: Tables) -> DataFrame:
     return G.quad_split(points(t).select("id", C.tile_x(F.col("lon"), 20).alias("x"), C.tile_y(F.col("lat"), 20).alias("y")), 500)
 
 
-@query(QUERIES, f"WITH s AS (SELECT box, west, unnest([x FOR x IN range(floor(south * 4)::BIGINT, ceil(north * 4)::BIGINT)]) AS k, east, south, north FROM {BOXES}) SELECT box, k, floor(west * 4 + 0.5)::BIGINT AS first, ceil(east * 4 - 0.5)::BIGINT - 1 AS last FROM s WHERE (k + 0.5) / 4 > south AND (k + 0.5) / 4 < north AND floor(west * 4 + 0.5) <= ceil(east * 4 - 0.5) - 1")
+RASTER = f"""WITH s AS (SELECT *, unnest(range(floor(south * 4)::BIGINT, ceil(north * 4)::BIGINT)) AS k, east - west AS w, north - south AS h FROM {BOXES}), y AS (SELECT *, (k + 0.5) / 4 AS y FROM s),
+r AS (SELECT *, west + w * (y - south) / h AS x0, y > south + h / 8 AND y <= south + h / 4 AS holed FROM y WHERE y > south AND y <= north),
+p AS (SELECT box, k, x0 AS a, CASE WHEN holed THEN east - w / 4 ELSE east END AS b FROM r UNION ALL SELECT box, k, east - w / 8, east FROM r WHERE holed)
+SELECT box, k, floor(a * 4 + 0.5)::BIGINT AS first, ceil(b * 4 - 0.5)::BIGINT - 1 AS last FROM p WHERE floor(a * 4 + 0.5) <= ceil(b * 4 - 0.5) - 1"""
+
+
+@query(QUERIES, RASTER)
 def q_rasterize(t: Tables) -> DataFrame:
-    """Spans of quarter-degree samples inside each rectangle's ring, by the crossings of its edges with each sample row."""
-    c = F.col
-    edges = boxes(t).select("box", F.explode(F.array(*[F.struct(c(x).alias("x"), c("south").alias("a"), c("north").alias("b")) for x in ("west", "east")])).alias("e")).select("box", "e.*")
-    rows = edges.withColumn("k", F.explode(F.sequence(F.floor(c("a") * 4), F.ceil(c("b") * 4) - 1))).where(((c("k") + 0.5) / 4 > c("a")) & ((c("k") + 0.5) / 4 < c("b")))
-    place = F.row_number().over(Window.partitionBy("box", "k").orderBy("x"))
-    pairs = rows.withColumn("place", place).groupBy("box", "k", F.floor((c("place") - 1) / 2).alias("span")).agg(F.min("x").alias("enter"), F.max("x").alias("leave"))
-    spans = pairs.select("box", "k", F.floor(c("enter") * 4 + 0.5).alias("first"), (F.ceil(c("leave") * 4 - 0.5) - 1).alias("last"))
-    return spans.where("first <= last")
+    """Spans of quarter-degree samples inside triangles with holes."""
+    return G.rasterized(holed(t), "box", F.flatten("rings"), 4)
+
+
+COVERED = f"""WITH r AS (SELECT box AS region, west, south, east, north FROM {BOXES} WHERE size > 40), o AS (SELECT a.*, greatest(b.west, a.west) AS w, least(b.east, a.east) AS e, greatest(b.south, a.south) AS s, least(b.north, a.north) AS n FROM r a JOIN {BOXES} b ON b.size <= 40 AND b.west < a.east AND b.east > a.west AND b.south < a.north AND b.north > a.south),
+x AS (SELECT region, west AS x FROM r UNION SELECT region, east FROM r UNION SELECT region, w FROM o UNION SELECT region, e FROM o), y AS (SELECT region, south AS y FROM r UNION SELECT region, north FROM r UNION SELECT region, s FROM o UNION SELECT region, n FROM o),
+xs AS (SELECT region, (x + lead(x) OVER (PARTITION BY region ORDER BY x)) / 2 AS x FROM x), ys AS (SELECT region, (y + lead(y) OVER (PARTITION BY region ORDER BY y)) / 2 AS y FROM y),
+g AS (SELECT xs.region, bool_and(EXISTS (SELECT 1 FROM o WHERE o.region = xs.region AND w < x AND x < e AND s < y AND y < n)) AS whole FROM xs JOIN ys ON xs.region = ys.region WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY 1)
+SELECT region, CASE WHEN region NOT IN (SELECT region FROM o) THEN 'unavailable' WHEN whole THEN 'available' ELSE 'partial' END AS state FROM g"""
 
 
-@query(QUERIES, f"""WITH r AS (SELECT box AS region, west, east, (east - west) AS w FROM {BOXES} WHERE size > 40), o AS (SELECT a.region, a.west, a.east, greatest(b.west, a.west) AS w, least(b.east, a.east) AS e FROM r a JOIN {BOXES} b ON b.size <= 40 AND b.west < a.east AND b.east > a.west),
-m AS (SELECT *, max(e) OVER (PARTITION BY region ORDER BY w, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM o), g AS (SELECT region, sum(greatest(0, e - greatest(w, coalesce(reach, w)))) AS held, max(east - west) AS width FROM m GROUP BY 1)
-SELECT r.region, CASE WHEN held IS NULL THEN 'unavailable' WHEN held >= width - 1e-9 THEN 'available' ELSE 'partial' END AS state FROM r LEFT JOIN g ON g.region = r.region""")
+@query(QUERIES, COVERED)
 def q_coverage_state(t: Tables) -> DataFrame:
-    """Longitude intervals of a region that smaller rectangles cover: a sweep by the running furthest end."""
-    everywhere = lambda df: df.withColumns({"south": F.lit(0.0), "north": F.lit(1.0)})
-    regions = everywhere(boxes(t).where("size > 40"))
-    pairs = J.bbox_join(regions, everywhere(boxes(t).where("size <= 40")), 5.0)
-    cut = pairs.select(F.col("box").alias("region"), "west", "east", F.greatest("b_west", "west").alias("w"), F.least("b_east", "east").alias("e"))
-    reach = F.max("e").over(Window.partitionBy("region").orderBy("w", "e").rowsBetween(Window.unboundedPreceding, -1))
-    fresh = F.greatest(F.lit(0.0), F.col("e") - F.greatest(F.col("w"), F.coalesce("reach", "w")))
-    held = cut.withColumn("reach", reach).groupBy("region").agg(F.sum(fresh).alias("held"), F.max(F.col("east") - F.col("west")).alias("width"))
-    state = F.when(F.col("held").isNull(), "unavailable").when(F.col("held") >= F.col("width") - 1e-9, "available").otherwise("partial")
-    return regions.select(F.col("box").alias("region")).join(held, "region", "left").select("region", state.alias("state"))
+    return J.coverage_state(boxes(t).where("size > 40"), boxes(t).where("size <= 40"), "box", 5.0).withColumnRenamed("box", "region")
 
 
 @query(QUERIES)

@@ -26,13 +26,13 @@ def q_inverted_index(t: Tables) -> DataFrame:
     return X.inverted_index(t.documents, "doc_id", ["text"]).groupBy("term").agg(F.count("*").alias("docs"), F.sum("n").alias("n"))
 
 
-SEARCH = f"""WITH q AS (SELECT DISTINCT item_id, unnest(string_split({NORMAL.format(c='text')}, ' ')[1:4]) AS term FROM benchmark), i AS (SELECT term, doc_id, ln(1 + count(*)) AS tf FROM {TERMS} WHERE term IN (SELECT term FROM q) GROUP BY 1, 2),
+SEARCH = f"""WITH q AS (SELECT DISTINCT item_id, unnest(string_split({NORMAL.format(c='text')}, ' ')) AS term FROM benchmark), i AS (SELECT term, doc_id, ln(1 + count(*)) AS tf FROM {TERMS} WHERE term IN (SELECT term FROM q) GROUP BY 1, 2),
 f AS (SELECT term, count(*) AS df FROM i GROUP BY 1), w AS (SELECT term, doc_id, tf * ln(1 + (SELECT count(*) FROM documents) / df) AS w FROM i JOIN f USING (term)), need AS (SELECT item_id, count(*) AS need FROM q GROUP BY 1)
 SELECT item_id, doc_id, round(sum(w), 6) AS score FROM q JOIN w USING (term) JOIN need USING (item_id) GROUP BY item_id, doc_id, need HAVING count(*) = need"""
 
 
 def searched(t: Tables) -> DataFrame:
-    terms = t.benchmark.select("item_id", F.explode(F.slice(F.split(normalize_text(F.col("text")), " "), 1, 4)).alias("term")).distinct()
+    terms = t.benchmark.select("item_id", F.explode(F.split(normalize_text(F.col("text")), " ")).alias("term")).distinct()
     return X.search(terms, X.inverted_index(t.documents, "doc_id", ["text"]), "item_id", "doc_id", {"text": 1.0}, t.documents.count())
 
 
@@ -52,24 +52,16 @@ def asked_terms(t: Tables) -> DataFrame:
 
 @query(QUERIES)
 def q_search_all(t: Tables) -> DataFrame:
-    """Documents that hold each word of an item, or for it a longer or near one; ``q_search`` asks for the first four words as they stand, as its SQL does."""
+    """Documents that hold each word of an item, or for it a longer or near one; ``q_search`` asks for the words as they stand."""
     terms, index = asked_terms(t), X.inverted_index(t.documents, "doc_id", ["text"]).withColumnRenamed("term", "word")
     near = index.join(X.fuzzy_terms(terms, index), "word").groupBy("term", "doc_id", "field").agg(F.sum("n").alias("n"))
     return X.search(terms, near, "item_id", "doc_id", {"text": 1.0}, t.documents.count()).select("item_id", "doc_id", F.round("score", 6).alias("score"))
 
 
-@query(QUERIES)
-def q_fuzzy_terms_all(t: Tables) -> DataFrame:
-    """Prefix and near words of every word of each item; ``q_fuzzy_terms`` keeps to the first four, as its SQL does."""
-    words = t.documents.select(F.explode(F.array_distinct(F.split(normalize_text(F.col("text")), " "))).alias("word")).where("length(word) > 1")
-    return X.fuzzy_terms(asked_terms(t), words)
-
-
-@query(QUERIES, f"WITH q AS (SELECT DISTINCT unnest(string_split({NORMAL.format(c='text')}, ' ')[1:4]) AS term FROM benchmark), v AS (SELECT DISTINCT term AS word FROM {TERMS} WHERE length(term) > 1) SELECT term, word FROM q JOIN v ON starts_with(word, term) OR levenshtein(term, word) <= floor(length(term) * 0.2) WHERE term <> ''")
+@query(QUERIES, f"WITH q AS (SELECT DISTINCT unnest(string_split({NORMAL.format(c='text')}, ' ')) AS term FROM benchmark), v AS (SELECT DISTINCT term AS word FROM {TERMS} WHERE term <> '') SELECT term, word FROM q JOIN v ON starts_with(word, term) OR levenshtein(term, word) <= floor(length(term) * 0.2) WHERE term <> ''")
 def q_fuzzy_terms(t: Tables) -> DataFrame:
-    asked = t.benchmark.select(F.explode(F.slice(F.split(normalize_text(F.col("text")), " "), 1, 4)).alias("term"))
-    words = t.documents.select(F.explode(F.array_distinct(F.split(normalize_text(F.col("text")), " "))).alias("word")).where("length(word) > 1")
-    return X.fuzzy_terms(asked, words)
+    words = t.documents.select(F.explode(F.array_distinct(F.split(normalize_text(F.col("text")), " "))).alias("word"))
+    return X.fuzzy_terms(asked_terms(t), words)
 
 
 @query(QUERIES, r"""WITH p AS (SELECT doc_id, text, coalesce(list_min([x FOR x IN [instr(lower(text), 'the'), instr(lower(text), 'le '), instr(lower(text), 'und')] IF x > 0]), 1) AS hit FROM documents), s AS (SELECT *, greatest(1, hit - 62) AS a, least(length(text), hit + 190) AS b FROM p)
@@ -78,10 +70,14 @@ def q_snippet(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.md5(X.snippet(F.col("text"), ["the", "le ", "und"]).cast("binary")).alias("digest"))
 
 
-ALL_LINKS = "list_concat(" + ", ".join("regexp_extract_all(html, '" + p.replace("'", "''") + "', 1)" for p in X.LINKS) + ")"
+#: Written apart from the operator's patterns: attributes are cut at their quotes, source sets at their commas.
+LINK_SQL = r"""WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '(href|src|action|srcset)\s*=\s*(\"[^\"'']+\"|''[^\"'']+'')')) AS a, unnest(regexp_extract_all(html, '(href|src|action|srcset)\s*=\s*(\"[^\"'']+\"|''[^\"'']+'')', 1)) AS name FROM pages),
+v AS (SELECT page_id, name, regexp_replace(regexp_replace(a, '^[a-z]+\s*=\s*.', ''), '.$', '') AS value FROM a),
+u AS (SELECT page_id, unnest(regexp_extract_all(html, 'url\(\s*[\"'']?([^\"'')\s]+)', 1)) AS ref FROM pages UNION ALL SELECT page_id, unnest(regexp_extract_all(html, '@import\s+[\"'']([^\"'']+)[\"'']', 1)) FROM pages)
+SELECT DISTINCT page_id, ref FROM (SELECT page_id, value AS ref FROM v WHERE name <> 'srcset' UNION ALL SELECT page_id, split_part(trim(unnest(string_split(value, ','))), ' ', 1) FROM v WHERE name = 'srcset' UNION ALL SELECT page_id, ref FROM u) WHERE ref <> ''"""
 
 
-@query(QUERIES, f"SELECT page_id, ref FROM (SELECT DISTINCT page_id, unnest({ALL_LINKS}) AS ref FROM pages)")
+@query(QUERIES, LINK_SQL)
 def q_links(t: Tables) -> DataFrame:
     return X.links(t.pages, "page_id", "html")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 def checked_header(df: DataFrame, required: list[str], name: str) -> DataFrame:
     """Trims the header and rejects empty, repeated and missing columns; further columns stay."""
     columns = [c.strip().lstrip("﻿") for c in df.columns]
-    if any(not c or c.startswith("_c") for c in columns) or len(set(columns)) < len(columns):
+    if any(not c or re.fullmatch(r"_c\d+", c) for c in columns) or len(set(columns)) < len(columns):
         raise ValueError(f"{name}: empty or repeated column in the header")
     if missing := [c for c in required if c not in columns]:
         raise ValueError(f"{name}: missing columns {missing}")
@@ -23,10 +25,15 @@ def scan_csv(spark: SparkSession, path: str, required: list[str]) -> DataFrame:
 
 
 def scan_obstacles(spark: SparkSession, path: str, required: list[str]) -> DataFrame:
-    """Windows-1252 CSV of one record a line, so that files split; blank lines are skipped."""
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    """Windows-1252 CSV of one record a line, so that files split; blank lines are skipped, and a record of which all
+    fields are empty fails the read. The charset needs Spark's legacy switch, which must be on while rows are read: set
+    ``spark.sql.legacy.javaCharsets`` for the session, else this turns it on and leaves it so."""
+    if spark.conf.get("spark.sql.legacy.javaCharsets", "false") != "true":
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     df = spark.read.option("header", True).option("encoding", "windows-1252").option("mode", "FAILFAST").option("quote", '"').option("escape", '"').csv(path)
-    return checked_header(df, required, path)
+    df = checked_header(df, required, path)
+    held = F.exists(F.array(*[F.trim(F.coalesce(f"`{c}`", F.lit(""))) for c in df.columns]), lambda x: x != "")
+    return df.where(F.when(held, True).otherwise(F.raise_error(F.lit(f"{path}: a record without any value")).cast("boolean")))
 
 
 def fixed_fields(lines: DataFrame, layout: dict[str, tuple[int, int]]) -> DataFrame:
@@ -35,10 +42,21 @@ def fixed_fields(lines: DataFrame, layout: dict[str, tuple[int, int]]) -> DataFr
 
 
 def scan_fixed_width(spark: SparkSession, path: str, layout: dict[str, tuple[int, int]], width: int = 132, section: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """Records of the full width, and the lines that are not, with the reason."""
+    """Records of the full width (and of ``section``), and all other lines with the reason: width or section. Every line
+    that is not blank is in one of the two."""
     lines = spark.read.text(path).where(F.rtrim("value") != "")
-    good = (F.length("value") == width) & (section if section is not None else F.lit(True))
-    return fixed_fields(lines.where(good), layout), lines.where(F.length("value") != width).select("value", F.lit("width").alias("reason"))
+    wanted = F.coalesce(section, F.lit(False)) if section is not None else F.lit(True)
+    reason = F.when(F.length("value") != width, "width").when(~wanted, "section")
+    marked = lines.withColumn("reason", reason)
+    return fixed_fields(marked.where("reason is null"), layout), marked.where("reason is not null")
+
+
+def header_cycle(spark: SparkSession, path: str, expected: str, at: tuple[int, int] = (35, 39)) -> DataFrame:
+    """Header lines (HDR01) whose cycle is not the one expected, and a row without a value where a file has none: empty if all is right."""
+    lines = spark.read.text(path).where(F.startswith("value", F.lit("HDR01")))
+    cycle = lines.select(F.substring("value", at[0] + 1, at[1] - at[0]).alias("cycle"))
+    none = cycle.agg(F.count("*").alias("n")).where("n = 0").select(F.lit(None).cast("string").alias("cycle"))
+    return cycle.where(F.col("cycle") != expected).unionByName(none)
 
 
 CATALOG = """_ID string, city_name array<struct<_ID string, _volume string, airport_name array<struct<_ID string, _apt_ident string, _icao_ident string, _military string,
@@ -62,16 +80,24 @@ def scan_supplement_xml(spark: SparkSession, path: str) -> DataFrame:
     return named.dropDuplicates(["aptid", "pdf"])
 
 
-def scan_regulation_xml(spark: SparkSession, path: str, parts: list[str] | None = None) -> DataFrame:
-    """Paragraphs of a regulation: part, section, subject and text in document order. Each part is one splittable record."""
-    schema = "_N string, _VOLUME string, HEAD string, DIV6 array<struct<_N string, DIV8 array<struct<_N string, HEAD string, P array<string>>>>>, DIV8 array<struct<_N string, HEAD string, P array<string>>>"
+def scan_regulation_xml(spark: SparkSession, path: str, parts: list[str] | None = None, volume: str | None = None) -> DataFrame:
+    """Paragraphs of a regulation: part, subpart, subject group, section, head and text. Each part is one splittable
+    record; sections stand in a part, a subpart, or a subject group of either. ``volume`` keeps the parts of one volume."""
+    section = "array<struct<_N string, HEAD string, P array<string>>>"
+    group = f"array<struct<_N string, HEAD string, DIV8 {section}>>"
+    schema = f"_N string, _VOLUME string, HEAD string, DIV6 array<struct<_N string, DIV7 {group}, DIV8 {section}>>, DIV7 {group}, DIV8 {section}"
     rows = spark.read.format("xml").option("rowTag", "DIV5").schema(schema).load(path)
     if parts is not None:
         rows = rows.where(F.col("_N").isin(*parts))
-    nested = rows.select(F.col("_N").alias("part"), F.explode("DIV6").alias("d")).select("part", F.col("d._N").alias("subpart"), F.explode("d.DIV8").alias("s"))
-    flat = rows.select(F.col("_N").alias("part"), F.lit(None).cast("string").alias("subpart"), F.explode("DIV8").alias("s"))
-    sections = nested.unionByName(flat).select("part", "subpart", F.col("s._N").alias("section"), F.col("s.HEAD").alias("head"), F.posexplode("s.P").alias("ord", "text"))
-    return sections.withColumn("text", F.trim(F.regexp_replace("text", "<[^>]+>", "")))
+    if volume is not None:
+        rows = rows.where(F.col("_VOLUME") == volume)
+    none = F.lit(None).cast("string")
+    level = rows.select(F.col("_N").alias("part"), none.alias("subpart"), F.col("DIV7").alias("groups"), F.col("DIV8").alias("sections"))
+    level = level.unionByName(rows.select(F.col("_N").alias("part"), F.explode("DIV6").alias("d")).select("part", F.col("d._N").alias("subpart"), F.col("d.DIV7").alias("groups"), F.col("d.DIV8").alias("sections")))
+    own = level.select("part", "subpart", none.alias("subject_group"), F.explode("sections").alias("s"))
+    grouped = level.select("part", "subpart", F.explode("groups").alias("g")).select("part", "subpart", F.trim("g.HEAD").alias("subject_group"), F.explode("g.DIV8").alias("s"))
+    found = own.unionByName(grouped).select("part", "subpart", "subject_group", F.col("s._N").alias("section"), F.col("s.HEAD").alias("head"), F.posexplode("s.P").alias("ord", "text"))
+    return found.withColumn("text", F.trim(F.regexp_replace("text", "<[^>]+>", "")))
 
 
 def scan_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -90,9 +116,15 @@ def overlaps(west: Column, south: Column, east: Column, north: Column, bounds: t
 
 
 def prune_partitions(spark: SparkSession, catalog: DataFrame, bounds: tuple[float, float, float, float]) -> DataFrame:
-    """Reads only the files whose footprint in ``catalog`` (path, west, south, east, north) touches the bounds."""
+    """Reads only the files whose footprint in ``catalog`` (path, west, south, east, north) touches the bounds; where none does, no row but the columns."""
     kept = catalog.where(overlaps(*map(F.col, ("west", "south", "east", "north")), bounds)).select("path").distinct().orderBy("path")
-    return spark.read.parquet(*[r["path"] for r in kept.toLocalIterator()])
+    paths = [r["path"] for r in kept.toLocalIterator()]
+    if paths:
+        return spark.read.parquet(*paths)
+    first = catalog.select("path").orderBy("path").limit(1).collect()
+    if not first:
+        raise ValueError("the catalog names no file, so no schema is known")
+    return spark.read.parquet(first[0]["path"]).where(F.lit(False))
 
 
 def listing_products(objects: DataFrame, pattern: str, sidecar: str) -> tuple[DataFrame, DataFrame]:

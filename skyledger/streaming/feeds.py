@@ -34,17 +34,20 @@ def read_stream(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path}*")
 
 
-def drained(stream: DataFrame, path: str, mode: str = "append", seconds: int = 300) -> DataFrame:
+def drained(stream: DataFrame, path: str, mode: str = "append", seconds: int | None = None) -> DataFrame:
     """Runs a stream over what has arrived and returns what it wrote. In update mode the last row of each key counts.
 
-    Sink and state lie under ``path``, a folder that executors share."""
+    Sink and state lie under ``path``, a folder that executors share. ``seconds`` bounds the wait, as tests may want;
+    without it the stream ends when all that has arrived is read."""
     spark = stream.sparkSession
     if mode == "append":
         query = stream.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").outputMode(mode).trigger(availableNow=True).start()
     else:
         query = stream.writeStream.foreachBatch(lambda df, n: df.withColumn("batch", F.lit(n)).write.mode("overwrite").parquet(f"{path}/out/run={n}")).option("checkpointLocation", f"{path}/state").outputMode(mode).trigger(availableNow=True).start()
     try:
-        if not query.awaitTermination(seconds):
+        if seconds is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(seconds):
             raise TimeoutError("the stream did not end in time")
     finally:
         query.stop()
