@@ -116,11 +116,12 @@ def q_components(t: Tables) -> DataFrame:
     return G.label_components(cells(t).where("lo >= 16").select("x", "y"), 128).select("x", "y", "label")
 
 
-@query(QUERIES)
+@query(QUERIES, f"""WITH RECURSIVE c AS (SELECT x, y FROM {CELLS} WHERE lo >= 16), r(x, y, label) USING KEY (x, y) AS (SELECT x, y, y * 128 + x FROM c UNION (SELECT c.x, c.y, min(r.label) FROM r JOIN c ON abs(r.x - c.x) <= 1 AND c.y BETWEEN r.y - 1 AND r.y + 1 JOIN recurring.r o ON o.x = c.x AND o.y = c.y GROUP BY c.x, c.y, o.label HAVING min(r.label) < o.label))
+SELECT label::BIGINT AS label, count(*)::BIGINT AS cells, sqrt((max(x) - min(x) + 1) ** 2 + (max(y) - min(y) + 1) ** 2) AS diagonal FROM r GROUP BY 1 HAVING sqrt((max(x) - min(x) + 1) ** 2 + (max(y) - min(y) + 1) ** 2) >= 4""")
 def q_long_components(t: Tables) -> DataFrame:
     """Components with corner contact whose bounding box has a diagonal of 4 cells or more."""
     found = G.label_components(cells(t).where("lo >= 16").select("x", "y"), 128, diagonal=True)
-    box = found.groupBy("label").agg(F.count("*").alias("cells"), F.hypot(F.max("x") - F.min("x") + 1, F.max("y") - F.min("y") + 1).alias("diagonal"))
+    box = found.groupBy("label").agg(F.count("*").alias("cells"), F.sqrt(F.pow(F.max("x") - F.min("x") + 1, F.lit(2)) + F.pow(F.max("y") - F.min("y") + 1, F.lit(2))).alias("diagonal"))
     return box.where("diagonal >= 4")
 
 
@@ -244,7 +245,11 @@ def q_median_split(t: Tables) -> DataFrame:
     return G.median_split(rows, "id", 500).groupBy("part").agg(F.count("*").alias("n"), F.min("x").alias("west"), F.max("x").alias("east"))
 
 
-@query(QUERIES)
+T20 = [t.replace("* 64", "* 1048576").replace("least(63", "least(1048575") for t in (TX, TY)]
+
+
+@query(QUERIES, f"""WITH p AS (SELECT {T20[0].format(c="lon")} AS x, {T20[1].format(c="lat")} AS y FROM {POINTS}), c AS (SELECT z::INT AS z, x >> (20 - z)::INT AS x, y >> (20 - z)::INT AS y, count(*)::BIGINT AS n FROM p, range(21) r(z) GROUP BY 1, 2, 3)
+SELECT c.z, c.x, c.y, c.n AS rows FROM c LEFT JOIN c u ON u.z = c.z - 1 AND u.x = c.x >> 1 AND u.y = c.y >> 1 WHERE (c.n <= 500 OR c.z = 20) AND (c.z = 0 OR u.n > 500)""")
 def q_quad_split(t: Tables) -> DataFrame:
     return G.quad_split(points(t).select("id", C.tile_x(F.col("lon"), 20).alias("x"), C.tile_y(F.col("lat"), 20).alias("y")), 500)
 
