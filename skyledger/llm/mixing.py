@@ -47,7 +47,7 @@ def with_sources(docs: DataFrame, sources: DataFrame) -> DataFrame:
 def measured(docs: DataFrame, preference: Column | None, seed: str, row: Column | None = None) -> DataFrame:
     """(doc_id, key, size, class, digits) of each row, and ``row`` if given. ``preference`` is an expression over ``docs``
     and the column ``size`` of its words; it counts in eighths, from 0 to ``CLASSES - 1`` of them. Null counts as 0."""
-    sized = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), source_key(F.col("source")).alias("key"), n_words(F.col("text")).alias("size"))
+    sized = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), source_key(F.col("source")).alias("key"), F.explode(F.array(n_words(F.col("text")))).alias("size"))  # explode: else each use of size would count the words anew
     eighths = F.lit(8) if preference is None else F.least(F.lit(CLASSES - 1), F.greatest(F.lit(0), F.round(8 * F.coalesce(preference.cast("double"), F.lit(0.0)))))
     opened = sized if preference is None else sized.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in ("row", "id", "key", "size")], "row", "id", "key", "size")
     digits = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(F.col("id").cast("string"), F.lit(""))).cast("binary")), 1, 13), 16, 10).cast("long")
