@@ -29,12 +29,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` written once as a Parquet table in the shared folder and read back: cuts the lineage and survives lost executors.
 
-    The table stays until ``forget`` is called with what this returns, or ``forget_all`` for the session's folder."""
+    ``options`` go to the writer. The table stays until ``forget`` is called with what this returns, or ``forget_all`` for the session's folder."""
     path = f"{shared_folder(df.sparkSession)}/tables-{df.sparkSession.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back.written_path = path
     return back
