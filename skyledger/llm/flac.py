@@ -472,4 +472,4 @@ def flac_features(media: DataFrame, unit: int = PAD) -> DataFrame:
 def media_round_trip(docs: DataFrame) -> DataFrame:
     """Stores every whole text as FLAC in a media column of a table in the shared folder, reads the stored streams back
     and returns what they hold. Rows pass one by one, so null ids, repeated rows and empty tables need no rule."""
-    return flac_features(written(flac_table(docs), "flac"))
+    return flac_features(written(flac_table(docs), "flac", compression="zstd"))
