@@ -370,7 +370,7 @@ def bucketed(docs: DataFrame, bucket_bytes: int) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64(F.col("_metadata.file_path"), place).alias("bucket"))
 
 
-def ctw_scores(docs: DataFrame, depth: int = 5, held_out_fold: int = 1, folds: int = 5, bucket_bytes: int = 16 << 20, part_bytes: int = PART_BYTES) -> DataFrame:
+def ctw_scores(docs: DataFrame, depth: int = 5, held_out_fold: int = 1, folds: int = 5, bucket_bytes: int = 28 << 20, part_bytes: int = PART_BYTES) -> DataFrame:
     """Log10 probability and code length per byte of every text of ``docs`` (doc_id, text).
 
     Learns from texts whose ``crc32(doc_id) mod folds`` is not ``held_out_fold``. The coded sequence is the text's
