@@ -95,18 +95,26 @@ def degree_tiles(boxes: DataFrame, step: float = 1.0) -> DataFrame:
 
 
 def median_split(rows: DataFrame, key: str, most: int, rounds: int = 40) -> DataFrame:
-    """Adds ``part``: groups over ``most`` rows are halved along the wider axis, ties by key, until none is above."""
+    """Adds ``part``: groups over ``most`` rows are halved along the wider axis, ties by key, until none is above.
+
+    Rows are put in order by range, over many tasks whatever a group holds; a row's place is its place in its slice and
+    the rows of its group in the slices before."""
     out, rest = None, rows.withColumn("part", F.lit("r"))
     for _ in range(rounds):
         size = rest.groupBy("part").agg(F.count("*").alias("n"), (F.max("x") - F.min("x") >= F.max("y") - F.min("y")).alias("wide"))
         joined = rest.join(size, "part")
         done = joined.where(F.col("n") <= most).select(*rest.columns)
         out = done if out is None else out.unionByName(done)
-        over = joined.where(F.col("n") > most)
-        place = F.row_number().over(Window.partitionBy("part").orderBy(F.when(F.col("wide"), F.col("x")).otherwise(F.col("y")), key))
-        rest = checkpointed(over.withColumn("part", F.concat("part", F.when(place <= F.floor(F.col("n") / 2), "0").otherwise("1"))).select(*rest.columns))
-        if rest.isEmpty():
+        over = joined.where(F.col("n") > most).withColumn("along", F.when(F.col("wide"), F.col("x")).otherwise(F.col("y")))
+        sliced = checkpointed(over.repartitionByRange("part", "along", key).withColumn("slice", F.spark_partition_id()))
+        if sliced.isEmpty():
             return out
+        before = F.sum("count").over(Window.partitionBy("part").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1))
+        slices = sliced.groupBy("part", "slice").count().select("part", "slice", F.coalesce(before, F.lit(0)).alias("before"))
+        inside = F.row_number().over(Window.partitionBy("part", "slice").orderBy("along", key))
+        placed = sliced.withColumn("inside", inside).join(slices, ["part", "slice"])
+        half = F.when(F.col("before") + F.col("inside") <= F.floor(F.col("n") / 2), "0").otherwise("1")
+        rest = checkpointed(placed.withColumn("part", F.concat("part", half)).select(*rest.columns))
     raise RuntimeError("groups did not get below the limit")
 
 
