@@ -54,8 +54,14 @@ def test_median_split_halves_by_the_wider_axis(spark):
         half = len(members) // 2
         return split(part + "1", ordered[half:], split(part + "0", ordered[:half], out))
 
-    found = G.median_split(spark.createDataFrame(rows, "id int, x double, y double"), "id", 30).collect()
-    assert {r["id"]: r["part"] for r in found} == split("r", rows, {})
+    table, setting = spark.createDataFrame(rows, "id int, x double, y double"), "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    try:
+        for together in ("true", "false"):  # slices of a group in one task, and in several
+            spark.conf.set(setting, together)
+            assert {r["id"]: r["part"] for r in G.median_split(table, "id", 30).collect()} == split("r", rows, {})
+    finally:
+        spark.conf.set(setting, before)
 
 
 def test_qualified_components_by_flood_fill(spark):
