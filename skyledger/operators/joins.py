@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.functions.storage import checkpointed
+from skyledger.functions.storage import checkpointed, forget, written
 
 
 def nest_children(parent: DataFrame, child: DataFrame, key: str, order: list[str], fields: list[str], name: str) -> DataFrame:
@@ -112,29 +112,62 @@ def distance_join(a: DataFrame, b: DataFrame, size: float) -> DataFrame:
     return near.where(F.hypot(F.col("lon") - F.col("b_lon"), F.col("lat") - F.col("b_lat")) <= F.col("radius")).drop("bin_x", "bin_y")
 
 
-def nearest(samples: DataFrame, points: DataFrame, sample_id: str, size: float, rounds: int = 24) -> DataFrame:
-    """Distance of each sample to its nearest point, in rounds of growing bins.
-
-    A round looks at the 3 x 3 bins around a sample; a distance within the bin size is final, and the other samples
-    go on with bins twice as wide until one bin spans all. Samples with a null coordinate, and all of them where there
-    is no point within the last round's bins, have a null distance."""
-    points = points.where("lon is not null and lat is not null")
-    out = samples.where("lon is null or lat is null").select(sample_id, F.lit(None).cast("double").alias("distance"))
-    left = samples.where("lon is not null and lat is not null")
+def closest_boxes(held: DataFrame, boxes: DataFrame, sample_id: str) -> DataFrame:
+    """Of the bins a sample holds, those that have points (``boxes``: bin_x, bin_y, w, s, e, n) and may have its nearest one."""
+    c = F.col
+    met = held.join(boxes, ["bin_x", "bin_y"])
+    low = F.hypot(F.greatest(c("w") - c("lon"), c("lon") - c("e"), F.lit(0.0)), F.greatest(c("s") - c("lat"), c("lat") - c("n"), F.lit(0.0)))
+    high = F.hypot(F.greatest(F.abs(c("lon") - c("w")), F.abs(c("lon") - c("e"))), F.greatest(F.abs(c("lat") - c("s")), F.abs(c("lat") - c("n"))))
+    bound = F.min("high").over(Window.partitionBy(sample_id))
+    ranked = met.withColumns({"low": low, "high": high}).withColumn("bound", bound)
+    return ranked.where(c("low") <= c("bound") * (1 + 1e-12)).select(sample_id, "lon", "lat", "bin_x", "bin_y")
+
+
+def nearest_by_descent(samples: DataFrame, at: DataFrame, sample_id: str) -> DataFrame:
+    """(sample_id, distance) to the nearest of the points ``at`` (p_lon, p_lat, bin_x, bin_y), however far it is.
+
+    Bins are summed into bins twice as wide, each with the rectangle of its points, until four hold all. Samples go down
+    through these tables: at each level a bin gives way to its four parts, and those that lie farther off than another
+    one's farthest corner are dropped. Only the last bins that remain meet points."""
+    edges = [F.min("w").alias("w"), F.min("s").alias("s"), F.max("e").alias("e"), F.max("n").alias("n")]
+    boxes = at.select("bin_x", "bin_y", F.col("p_lon").alias("w"), F.col("p_lat").alias("s"), F.col("p_lon").alias("e"), F.col("p_lat").alias("n"))
+    levels = [written(boxes.groupBy("bin_x", "bin_y").agg(*edges), "boxes")]
+    furthest = levels[0].agg(F.max(F.greatest("bin_x", "bin_y", -F.col("bin_x") - 1, -F.col("bin_y") - 1))).first()[0]
+    for _ in range(furthest.bit_length()):
+        wider = levels[-1].groupBy(F.shiftright("bin_x", 1).alias("bin_x"), F.shiftright("bin_y", 1).alias("bin_y"))
+        levels.append(written(wider.agg(*edges), "boxes"))
+    ends = F.explode(F.array(F.lit(-1).cast("long"), F.lit(0).cast("long")))
+    held = samples.select(sample_id, "lon", "lat").withColumn("bin_x", ends).withColumn("bin_y", ends)
+    held = written(closest_boxes(held, levels[-1], sample_id), "held")
+    for level in reversed(levels[:-1]):
+        parts = held
+        for c in ("bin_x", "bin_y"):
+            parts = parts.withColumn(c, F.explode(F.array(F.col(c) * 2, F.col(c) * 2 + 1)))
+        before, held = held, written(closest_boxes(parts, level, sample_id), "held")
+        forget(before)
+    forget(*levels)
+    met = held.join(at, ["bin_x", "bin_y"])
+    return met.groupBy(sample_id).agg(F.min(F.hypot(F.col("lon") - F.col("p_lon"), F.col("lat") - F.col("p_lat"))).alias("distance"))
+
+
+def nearest(samples: DataFrame, points: DataFrame, sample_id: str, size: float) -> DataFrame:
+    """Distance of each sample to its nearest point; ``sample_id`` is unique.
+
+    A sample first looks at the 3 x 3 bins around it, where a distance within the bin size is final. The others, however
+    many, go down through ever finer bins. Samples with a null or NaN coordinate, and all of them where there is no point,
+    have a null distance; such points are left out."""
+    placed = F.col("lon").isNotNull() & F.col("lat").isNotNull() & ~F.isnan("lon") & ~F.isnan("lat")
+    points, none = points.where(placed), F.lit(None).cast("double").alias("distance")
     if points.isEmpty():
-        rounds = 0
-    for _ in range(rounds):
-        half = (F.floor(F.col("lon") / size), F.floor(F.col("lat") / size))
-        around = left.withColumn("bin_x", F.explode(F.sequence(half[0] - 1, half[0] + 1))).withColumn("bin_y", F.explode(F.sequence(half[1] - 1, half[1] + 1)))
-        target = points.select(F.col("lon").alias("p_lon"), F.col("lat").alias("p_lat"), F.floor(F.col("lon") / size).alias("bin_x"), F.floor(F.col("lat") / size).alias("bin_y"))
-        best = around.join(target, ["bin_x", "bin_y"]).groupBy(sample_id).agg(F.min(F.hypot(F.col("lon") - F.col("p_lon"), F.col("lat") - F.col("p_lat"))).alias("distance")).where(F.col("distance") <= size)
-        best = checkpointed(best)
-        out = out.unionByName(best)
-        left = checkpointed(left.join(best, sample_id, "left_anti"))
-        if left.isEmpty():
-            return out
-        size *= 2
-    return out.unionByName(left.select(sample_id, F.lit(None).cast("double").alias("distance")))
+        return samples.select(sample_id, none)
+    out, known = samples.where(~placed).select(sample_id, none), samples.where(placed).select(sample_id, "lon", "lat")
+    bin_x, bin_y = F.floor(F.col("lon") / size), F.floor(F.col("lat") / size)
+    at = points.select(F.col("lon").alias("p_lon"), F.col("lat").alias("p_lat"), bin_x.alias("bin_x"), bin_y.alias("bin_y"))
+    around = known.withColumn("bin_x", F.explode(F.sequence(bin_x - 1, bin_x + 1))).withColumn("bin_y", F.explode(F.sequence(bin_y - 1, bin_y + 1)))
+    distance = F.hypot(F.col("lon") - F.col("p_lon"), F.col("lat") - F.col("p_lat"))
+    near = checkpointed(around.join(at, ["bin_x", "bin_y"]).groupBy(sample_id).agg(F.min(distance).alias("distance")).where(F.col("distance") <= size))
+    far, out = checkpointed(known.join(near, sample_id, "left_anti")), out.unionByName(near)
+    return out if far.isEmpty() else out.unionByName(nearest_by_descent(far, at, sample_id))
 
 
 def as_of(need: DataFrame, editions: DataFrame, name: str, day: str, edition: str, period: str = "month") -> DataFrame:

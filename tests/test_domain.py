@@ -1,6 +1,7 @@
 """Domain rules, readers and operators on small tables written here."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -36,6 +37,17 @@ def test_nearest_without_points_or_coordinates(spark):
     assert {r["id"]: r["distance"] for r in J.nearest(samples, one, "id", 1.0).collect()} == {1: 5.0, 2: None}
 
 
+def test_nearest_descends_to_far_clusters(spark):
+    """All samples are far from the points, which stand in two tight groups and alone, on both sides of zero."""
+    draw = random.Random(7)
+    points = [(x + draw.random(), y + draw.random()) for x, y in [(60.0, 40.0), (-75.0, -20.0)] for _ in range(150)] + [(90.0, -80.0), (-0.5, 70.0)] * 2
+    samples = [(i, draw.uniform(-170, 170), draw.uniform(-85, 85)) for i in range(200)] + [(900, float("nan"), 0.0)]
+    at = spark.createDataFrame([*points, (float("nan"), 1.0)], "lon double, lat double")
+    found = {r["id"]: r["distance"] for r in J.nearest(spark.createDataFrame(samples, "id int, lon double, lat double"), at, "id", 0.25).collect()}
+    assert found.pop(900) is None
+    assert found == {i: pytest.approx(min(math.hypot(x - a, y - b) for a, b in points)) for i, x, y in samples[:-1]}
+
+
 def test_coverage_is_two_dimensional(spark):
     names = "box int, west double, south double, east double, north double"
     regions = spark.createDataFrame([(1, 0.0, 0.0, 4.0, 4.0), (2, 10.0, 0.0, 14.0, 4.0), (3, 20.0, 0.0, 24.0, 4.0)], names)
