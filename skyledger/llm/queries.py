@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .ctw import ctw_scores
+from .exchange import exact_duplicates
 from .flac import media_round_trip
 from .langid import identify
 from .license import license_scan
@@ -15,6 +16,7 @@ from .quality import quality_scores
 from .repair import encoded
 from .simhash import near_duplicates
 from .tiling import contamination
+from .whitening import whiten
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
 
@@ -59,8 +61,16 @@ def op10_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_exchange(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_ctw, op2_pareto_mix, op3_flac, op4_repair, op5_placement, op6_license, op7_langid, op8_rules, op9_simhash, op10_tiling)}
+    return {f.__name__: f for f in (op1_ctw, op2_pareto_mix, op3_flac, op4_repair, op5_placement, op6_license, op7_langid, op8_rules, op9_simhash, op10_tiling, op12_exchange, op13_whitening)}
 
 
 MIX_SQL = r"""
@@ -84,6 +94,12 @@ SELECT doc_id, size, source_size, target, (whole * size + CASE WHEN rank IS NULL
 """
 
 
+EXACT_SQL = """
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     slots = ", ".join(map(str, lookup_table(SHARDS)))
     place_sql = f"""
@@ -91,4 +107,4 @@ WITH t AS (SELECT [{slots}] AS shard_of),
 d AS (SELECT doc_id, (('0x' || substr(md5(coalesce(doc_id::VARCHAR, text, '')), 1, 15))::BIGINT % {SLOTS})::INT AS slot FROM documents)
 SELECT doc_id, slot, 'shard-' || lpad(shard_of[slot + 1]::VARCHAR, 3, '0') AS shard FROM d, t
 """
-    return {"op2_pareto_mix": MIX_SQL, "op5_placement": place_sql}
+    return {"op2_pareto_mix": MIX_SQL, "op5_placement": place_sql, "op12_exchange": EXACT_SQL}
