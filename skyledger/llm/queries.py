@@ -16,6 +16,7 @@ from .quality import quality_scores
 from .repair import encoded
 from .simhash import near_duplicates
 from .tiling import contamination
+from .trie import conversation_trie
 from .whitening import whiten
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -61,6 +62,10 @@ def op10_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_exchange(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -70,7 +75,7 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_ctw, op2_pareto_mix, op3_flac, op4_repair, op5_placement, op6_license, op7_langid, op8_rules, op9_simhash, op10_tiling, op12_exchange, op13_whitening)}
+    return {f.__name__: f for f in (op1_ctw, op2_pareto_mix, op3_flac, op4_repair, op5_placement, op6_license, op7_langid, op8_rules, op9_simhash, op10_tiling, op11_trie, op12_exchange, op13_whitening)}
 
 
 MIX_SQL = r"""
@@ -94,6 +99,19 @@ SELECT doc_id, size, source_size, target, (whole * size + CASE WHEN rank IS NULL
 """
 
 
+TRIE_SQL = """
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, sha256(len(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest, len(coalesce(text, ''))::BIGINT AS size FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list(digest ORDER BY turn NULLS FIRST, role, digest) AS s, list(size ORDER BY turn NULLS FIRST, role, digest) AS sizes,
+        4294967295 - list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+          lambda crc, c: list_reduce([xor(crc, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))) AS crc FROM t GROUP BY conv_id),
+r AS (SELECT o.conv_id, coalesce(b.s[1:o.crc % 6], []) || o.s[o.crc % 6 + 1:] AS s, coalesce(b.sizes[1:o.crc % 6], []) || o.sizes[o.crc % 6 + 1:] AS sizes FROM o LEFT JOIN o AS b ON b.conv_id = o.conv_id - o.conv_id % 100),
+p AS (SELECT conv_id, d, s[1:d] AS s, coalesce(sizes[d], 0) AS size, d = len(s) AS whole FROM (SELECT *, unnest(range(len(s) + 1)) AS d FROM r)),
+n AS (SELECT s, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(size) AS saved, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (whole), '')) AS ends FROM p GROUP BY s, d),
+c AS (SELECT s[1:d - 1] AS s, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+u AS (SELECT n.s[1:i] AS s, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (c.s IS NULL) AS n_leaves FROM (SELECT *, unnest(range(d + 1)) AS i FROM n) AS n LEFT JOIN c ON c.s = n.s GROUP BY 1)
+SELECT n.conv_id, n.d::BIGINT AS depth, m.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children, u.n_leaves, u.saved_tokens, n.ends AS ends_sha256
+FROM n JOIN u ON u.s = n.s LEFT JOIN c ON c.s = n.s LEFT JOIN n AS m ON n.d > 0 AND m.s = n.s[1:n.d - 1]
+"""
 EXACT_SQL = """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
@@ -107,4 +125,4 @@ WITH t AS (SELECT [{slots}] AS shard_of),
 d AS (SELECT doc_id, (('0x' || substr(md5(coalesce(doc_id::VARCHAR, text, '')), 1, 15))::BIGINT % {SLOTS})::INT AS slot FROM documents)
 SELECT doc_id, slot, 'shard-' || lpad(shard_of[slot + 1]::VARCHAR, 3, '0') AS shard FROM d, t
 """
-    return {"op2_pareto_mix": MIX_SQL, "op5_placement": place_sql, "op12_exchange": EXACT_SQL}
+    return {"op2_pareto_mix": MIX_SQL, "op5_placement": place_sql, "op11_trie": TRIE_SQL, "op12_exchange": EXACT_SQL}

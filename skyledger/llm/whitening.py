@@ -157,7 +157,7 @@ def rounds_of(r: int):
     half = len(ring) // 2
     for _ in range(max(len(ring) - 1, 0)):
         pairs = [(a, b) for a, b in zip(ring[:half], reversed(ring[half:]), strict=True) if a is not None and b is not None]
-        yield np.array([min(x) for x in pairs]), np.array([max(x) for x in pairs])
+        yield np.array([min(x) for x in pairs], int), np.array([max(x) for x in pairs], int)
         ring = [ring[0], ring[-1], *ring[1:-1]]
 
 

@@ -493,5 +493,5 @@ def test_empty_tables(spark, empty):
 
 def test_query_columns(spark):
     made = queries.queries()
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in made) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in made) == list(range(1, 14))
     assert set(queries.oracle_sql()) <= set(made)
