@@ -51,37 +51,47 @@ def looked_up(key: Column, values) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for pair in values for x in pair]), key)
 
 
+# The systems that a title may name after a first one without another identifier of its own.
+COMPANIONS = (("ILS", ("LOC", "LOC/DME", "LOC/NDB")), ("VOR", ("GPS", "TACAN")), ("VOR/DME", ("GPS", "TACAN")), ("NDB", ("GPS",)), ("NDB/DME", ("GPS",)))
+THREE = ("VOR", "TACAN", "GPS")  # fixed values: the one list of three systems, of circling charts alone
+
+
+def chart_title(title: Column) -> Column:
+    """A chart's title in upper case with single blanks, without the number of a continued page."""
+    return F.regexp_replace(F.upper(F.trim(F.regexp_replace(title, r"\s+", " "))), r", CONT\.\d+$", "")
+
+
+def title_parts(title: Column) -> Column:
+    """What a chart's title is made of: copter, the list of systems (name, variant), and its ending: runway number and side, circling letter or course."""
+    text = F.regexp_replace(chart_title(title), r"^(ILS .*) \(SA CAT I\)$", "$1")
+    ending = r"(?:-([A-Z])| (\d{3})| (?:RWY )?(\d{1,2})([LCR]?))$"
+    piece = lambda k: F.nullif(F.regexp_extract(text, ending, k), F.lit(""))
+    copter = F.startswith(text, F.lit("COPTER "))
+    names = F.split(F.regexp_replace(F.regexp_replace(text, ending, ""), "^COPTER ", ""), " OR ")
+    system = lambda s: F.struct(F.regexp_replace(s, " [A-Z]$", "").alias("name"), F.nullif(F.regexp_extract(s, " ([A-Z])$", 1), F.lit("")).alias("variant"))
+    return F.struct(copter.alias("copter"), F.transform(names, system).alias("systems"), piece(1).alias("letter"), piece(2).alias("course"), piece(3).alias("runway"), F.coalesce(piece(4), F.lit("")).alias("side"))
+
+
 def approach_ident(title: Column) -> Column:
-    """Coded identifier of an approach chart's title: family, runway and variant; null where the title is none of the known forms."""
-    part = lambda text, pattern, k: F.nullif(F.regexp_extract(text, pattern, k), F.lit(""))
-    clean = F.regexp_replace(F.regexp_replace(F.upper(F.trim(title)), r"\s+", " "), r", CONT\.\d+$", "")
-    clean = F.when(clean.startswith("ILS "), F.regexp_replace(clean, r" \(SA CAT I\)$", "")).otherwise(clean)
-
-    course = part(clean, r"^COPTER RNAV \(GPS\) (\d{3})$", 1)
-    copter = F.when(course.try_cast("int").between(1, 360), F.concat(F.lit("R"), course))
-
-    either = r"^ILS(?: ([A-Z]))? OR LOC(?:/(?:DME|NDB))?(?: ([A-Z]))? ((?:RWY )?\d{1,2}[LCR]?)$"
-    a, b = part(clean, either, 1), part(clean, either, 2)
-    ils = F.when(~F.coalesce(a != b, F.lit(False)), F.concat_ws(" ", F.lit("ILS"), F.coalesce(a, b), part(clean, either, 3)))
-
-    overlay = r"^(VOR|VOR/DME|NDB|NDB/DME)(?: ([A-Z]))? OR (GPS|TACAN)(?: ([A-Z]))?([ -].+)$"
-    base, c, other, d = (part(clean, overlay, k) for k in range(1, 5))
-    fits = ~F.coalesce(c != d, F.lit(False)) & ~(base.startswith("NDB") & (other == "TACAN"))
-    tail = F.when((other == "TACAN"), F.regexp_replace(part(clean, overlay, 5), r"^ OR GPS-", "-")).otherwise(part(clean, overlay, 5))
-    conventional = F.when(fits, F.concat(F.concat_ws(" ", base, F.coalesce(c, d)), tail))
-    name = F.when(clean.rlike(either), ils).when(clean.rlike(overlay), conventional).otherwise(clean)
-    name = F.regexp_replace(name, r"^VOR OR GPS-", "VOR-")
-
-    circling = r"^(.+)-([A-Z])$"
-    circle = F.concat_ws("-", looked_up(part(name, circling, 1), CIRCLING_FAMILIES), part(name, circling, 2))
-    circle = F.when(looked_up(part(name, circling, 1), CIRCLING_FAMILIES).isNotNull(), circle)
-
-    straight = r"^(\S+(?: \((?:GPS|RNP)\)| BC)?) (?:([A-Z]) )?(?:RWY )?(\d{1,2})([LCR]?)$"
-    family, variant = looked_up(part(name, straight, 1), RUNWAY_FAMILIES), part(name, straight, 2)
-    number, side = part(name, straight, 3), F.regexp_extract(name, straight, 4)
-    dash = F.when(variant.isNull(), "").when(side == "", F.concat(F.lit("-"), variant)).otherwise(variant)
-    runway = F.when(number.try_cast("int").between(1, 36), F.concat(family, F.lpad(number, 2, "0"), side, dash))
-    return F.when(course.isNotNull(), copter).otherwise(F.coalesce(circle, runway))
+    """Coded identifier of an approach chart's title: family, runway and variant; null where the title is none of the known forms.
+
+    A list of systems goes by its first one if the others are known companions of it and all variants named agree."""
+    p = title_parts(title)
+    systems, letter = p["systems"], p["letter"]
+    names, variants = F.transform(systems, lambda s: s["name"]), F.array_distinct(F.filter(F.transform(systems, lambda s: s["variant"]), lambda v: v.isNotNull()))
+    first, variant = names[0], F.get(variants, F.lit(0))
+    known = F.create_map(*[F.lit(x) if isinstance(x, str) else F.array(*map(F.lit, x)) for pair in COMPANIONS for x in pair])
+    pair = F.coalesce(F.array_contains(F.element_at(known, first), F.get(names, F.lit(1))), F.lit(False))
+    three = (names == F.array(*map(F.lit, THREE))) & letter.isNotNull()
+    one_name = (F.size(names) == 1) | ((F.size(names) == 2) & pair) | three
+    usable = one_name & (F.size(variants) <= 1)
+
+    circling = F.when(variant.isNull(), F.concat_ws("-", looked_up(first, CIRCLING_FAMILIES), letter))
+    dash = F.when(variant.isNull(), "").when(p["side"] == "", F.concat(F.lit("-"), variant)).otherwise(variant)
+    runway = F.when(p["runway"].try_cast("int").between(1, 36), F.concat(looked_up(first, RUNWAY_FAMILIES), F.lpad(p["runway"], 2, "0"), p["side"], dash))
+    heading = F.when((names == F.array(F.lit("RNAV (GPS)"))) & variant.isNull() & p["course"].try_cast("int").between(1, 360), F.concat(F.lit("R"), p["course"]))
+    straight = F.when(letter.isNotNull(), F.when(looked_up(first, CIRCLING_FAMILIES).isNotNull(), circling)).otherwise(runway)
+    return F.when(p["copter"], heading).when(usable, straight)
 
 
 def rnp_miles(c: Column) -> Column:

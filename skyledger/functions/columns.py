@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import re
+import sys
+import unicodedata
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -134,7 +139,36 @@ def tile_north(z: Column, y: Column) -> Column:
     return F.degrees(F.atan(F.sinh(F.pi() * (1 - 2 * y / F.pow(F.lit(2.0), z)))))
 
 
+@cache
+def plain_letters() -> tuple[dict[str, str], dict[str, str]]:
+    """Code points whose compatibility decomposition holds ASCII letters or digits: those of one such character and nothing else, and the rest.
+
+    Combining marks from U+0300 to U+036F vanish, all else in a decomposition is a break between words."""
+    single, several = {}, {}
+    for code in range(0x80, sys.maxunicode + 1):
+        if not unicodedata.decomposition(chr(code)):
+            continue
+        plain = re.sub("[^a-z0-9]+", " ", re.sub("[\u0300-\u036f]", "", unicodedata.normalize("NFKD", chr(code))))
+        if plain.strip():
+            (single if len(plain) == 1 else several)[chr(code)] = plain
+    return single, several
+
+
 def normalize_text(c: Column) -> Column:
-    """Lower case, Latin accents stripped, runs of anything but letters a-z and digits to one space."""
-    plain = F.translate(F.lower(c), "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy")
-    return F.trim(F.regexp_replace(plain, "[^a-z0-9]+", " "))
+    """Lower case, letters decomposed and stripped of their accents, runs of anything but letters a-z and digits to one space.
+
+    One ``translate`` does nearly all; only texts that then hold a character that stands for several (ligatures, units,
+    fractions) are gone through a character at a time."""
+    single, several = plain_letters()
+    marks = "".join(map(chr, range(0x300, 0x370)))
+    text = F.translate(F.lower(c), "".join(single) + marks, "".join(single.values()))
+    slow = F.array_join(F.transform(F.split(text, ""), lambda x: F.coalesce(F.element_at(F.create_map(*[F.lit(v) for pair in several.items() for v in pair]), x), x)), "")
+    codes, spans = sorted(map(ord, several)), []
+    for code in codes:
+        if spans and code == spans[-1][1] + 1:
+            spans[-1][1] = code
+        else:
+            spans.append([code, code])
+    held = text.rlike(r"[^\x00-\x7F]") & text.rlike("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in spans) + "]")
+    text = F.when(held, slow).otherwise(text)
+    return F.trim(F.regexp_replace(text, "[^a-z0-9]+", " "))

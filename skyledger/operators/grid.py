@@ -118,23 +118,6 @@ def median_split(rows: DataFrame, key: str, most: int, rounds: int = 40) -> Data
     raise RuntimeError("groups did not get below the limit")
 
 
-def quad_split(tiles: DataFrame, most: int, deepest: int = 20) -> DataFrame:
-    """Blocks of (z, x, y) at the highest level at which their rows stay within ``most``: x and y hold the address at ``deepest``."""
-    out, rest = None, tiles.withColumn("z", F.lit(0))
-    for z in range(deepest + 1):
-        shift = deepest - z
-        at = rest.withColumns({"bx": F.shiftright("x", shift), "by": F.shiftright("y", shift)})
-        n = at.groupBy("bx", "by").agg(F.count("*").alias("n"))
-        joined = at.join(n, ["bx", "by"])
-        fits = (F.col("n") <= most) | F.lit(z == deepest)
-        done = joined.where(fits).groupBy("bx", "by").agg(F.count("*").alias("rows")).select(F.lit(z).alias("z"), F.col("bx").alias("x"), F.col("by").alias("y"), "rows")
-        out = done if out is None else out.unionByName(done)
-        rest = checkpointed(joined.where(~fits).select(*rest.columns))
-        if rest.isEmpty():
-            return out
-    return out
-
-
 def expanded(boxes: DataFrame, metres: Column) -> DataFrame:
     """Rectangles grown by a distance on each side, in degrees at their middle latitude."""
     north = metres / 111320.0

@@ -243,7 +243,7 @@ def q_approach_idents(t: Tables) -> DataFrame:
 @query(QUERIES, "SELECT p_partkey, (p_partkey % 100) / pow(10.0, p_size % 10) AS rnp, CASE WHEN p_size % 2 = 0 THEN -p_partkey ELSE p_partkey END / 100.0 AS angle, (p_partkey % 1000) / 10.0 AS hold, CASE WHEN p_size % 3 > 0 THEN CASE WHEN p_size % 2 = 0 THEN p_size ELSE -p_size END END::DOUBLE AS declination FROM part")
 def q_coded_numbers(t: Tables) -> DataFrame:
     c, even = F.col, F.col("p_size") % 2 == 0
-    digits = lambda x, n: F.lpad(x.cast("string"), n, "0")
+    digits = lambda x, n: F.lpad(x.cast("string"), F.greatest(F.length(x.cast("string")), F.lit(n)), F.lit("0"))
     station = F.when(c("p_size") % 3 > 0, "VORTAC").otherwise("NDB")
     return t.part.select(
         "p_partkey", V.rnp_miles(F.concat(digits(c("p_partkey") % 100, 2), (c("p_size") % 10).cast("string"))).alias("rnp"), V.signed_hundredths(F.concat(F.when(even, "-").otherwise("+"), digits(c("p_partkey"), 3))).alias("angle"),

@@ -9,6 +9,7 @@ from skyledger.functions import columns as C
 from skyledger.functions.storage import checkpointed
 from skyledger.operators import grid as G
 from skyledger.operators import joins as J
+from skyledger.operators.tiles import quad_blocks
 from skyledger.operators import text as X
 from skyledger.operators.graph import connected_components
 
@@ -251,7 +252,7 @@ T20 = [t.replace("* 64", "* 1048576").replace("least(63", "least(1048575") for t
 @query(QUERIES, f"""WITH p AS (SELECT {T20[0].format(c="lon")} AS x, {T20[1].format(c="lat")} AS y FROM {POINTS}), c AS (SELECT z::INT AS z, x >> (20 - z)::INT AS x, y >> (20 - z)::INT AS y, count(*)::BIGINT AS n FROM p, range(21) r(z) GROUP BY 1, 2, 3)
 SELECT c.z, c.x, c.y, c.n AS rows FROM c LEFT JOIN c u ON u.z = c.z - 1 AND u.x = c.x >> 1 AND u.y = c.y >> 1 WHERE (c.n <= 500 OR c.z = 20) AND (c.z = 0 OR u.n > 500)""")
 def q_quad_split(t: Tables) -> DataFrame:
-    return G.quad_split(points(t).select("id", C.tile_x(F.col("lon"), 20).alias("x"), C.tile_y(F.col("lat"), 20).alias("y")), 500)
+    return quad_blocks(points(t).select(C.tile_x(F.col("lon"), 20).alias("x"), C.tile_y(F.col("lat"), 20).alias("y")), 500)
 
 
 RASTER = f"""WITH s AS (SELECT *, unnest(range(floor(south * 4)::BIGINT, ceil(north * 4)::BIGINT)) AS k, east - west AS w, north - south AS h FROM {BOXES}), y AS (SELECT *, (k + 0.5) / 4 AS y FROM s),

@@ -11,7 +11,7 @@ from skyledger.operators import text as X
 from .query import Query, Tables, query
 
 QUERIES: list[Query] = []
-NORMAL = "trim(regexp_replace(translate(lower({c}), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '[^a-z0-9]+', ' ', 'g'))"
+NORMAL = "trim(regexp_replace(strip_accents(lower({c})), '[^a-z0-9]+', ' ', 'g'))"
 TERMS = f"(SELECT doc_id, unnest(string_split({NORMAL.format(c='text')}, ' ')) AS term FROM documents)"
 
 

@@ -41,17 +41,22 @@ def publish(df: DataFrame, root: str, name: str) -> str:
     path, fs = hadoop(spark, f"{root}/{name}/gen={content}")
     if not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}/gen={content}/_SUCCESS")):
         df.write.mode("overwrite").parquet(f"{root}/{name}/gen={content}")
-    draft, place = f"{root}/{name}/.manifest-{content}", f"{root}/{name}/manifest.json"
-    out = fs.create(spark._jvm.org.apache.hadoop.fs.Path(draft), True)
-    out.write(bytearray(json.dumps({"name": name, "generation": content, "rows": mark["n"]}).encode()))
+    text = json.dumps({"name": name, "generation": content, "rows": mark["n"]})
+    move_into_place(spark, text, f"{root}/{name}/.manifest-{content}", f"{root}/{name}/manifest.json")
+    return content
+
+
+def move_into_place(spark: SparkSession, text: str, draft: str, place: str) -> None:
+    """Writes ``text`` to the file ``draft`` and renames it to ``place``, over what is there, in one step."""
+    draft_path, fs = hadoop(spark, draft)
+    out = fs.create(draft_path, True)
+    out.write(bytearray(text.encode()))
     out.close()
-    draft_path, place_path = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (draft, place))
     files = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
     kind = getattr(spark._jvm, "org.apache.hadoop.fs.Options$Rename")
     how = spark.sparkContext._gateway.new_array(kind, 1)
     how[0] = kind.OVERWRITE
-    files.rename(draft_path, place_path, how)
-    return content
+    files.rename(draft_path, hadoop(spark, place)[0], how)
 
 
 def hadoop(spark: SparkSession, path: str):

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.sources.generations import upsert_batch
+
 EDITION = ("28 days", "7 days 9 hours 1 minute")  # 2020-01-02 09:01 UTC lies so far into a 28-day period
 
 
@@ -52,3 +54,17 @@ def drained(stream: DataFrame, path: str, mode: str = "append", seconds: int | N
     finally:
         query.stop()
     return spark.read.parquet(f"{path}/out")
+
+
+def upserting(stream: DataFrame, root: str, name: str, key: list[str], order: list[str], state: str, buckets: int = 64, seconds: int | None = None) -> None:
+    """Brings all that has arrived into the table ``name`` under ``root``, a batch at a time, the newest row of a key counting.
+
+    ``state`` holds the stream's progress; a batch that it hands over twice changes the table once (see ``upsert_batch``)."""
+    query = stream.writeStream.foreachBatch(lambda df, n: upsert_batch(df, n, root, name, key, order, buckets) and None).option("checkpointLocation", state).trigger(availableNow=True).start()
+    try:
+        if seconds is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(seconds):
+            raise TimeoutError("the stream did not end in time")
+    finally:
+        query.stop()
