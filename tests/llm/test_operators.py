@@ -451,8 +451,31 @@ def test_tiles_match_the_definition():
         item = [rng.choice("abc") for _ in range(rng.randint(3, 14))]
         text = [rng.choice("abcd") for _ in range(rng.randint(3, 40))]
         index = tiling.Index([(1, " ".join(item))], 3)
-        seeds = index.matches([w.encode() for w in text]).get(0, [])
-        assert sorted(tiling.tiles(seeds, 3, len(item)) if seeds else []) == slow_tiles(text, item, 3)
+        ids = index.ids_of([w.encode() for w in text])
+        want = slow_tiles(text, item, 3)
+        assert sorted(tiling.tiles(ids, index.tokens[0], 3)) == want
+        assert index.candidates(ids) == ([0] if want else [])
+
+
+def test_tiles_of_long_runs_of_few_words():
+    item, text = np.zeros(100_000, np.int64), np.zeros(100_000, np.int64)
+    assert tiling.tiles(text, item[:70_000], 5) == [(0, 0, 70_000)]
+    text[::777] = -1
+    found = tiling.tiles(text, item, 5)
+    assert sum(t[2] for t in found) == 100_000 - 129 and len(found) == 129
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 2, 3000), rng.integers(0, 2, 3000)
+    found = tiling.tiles(a, b, 5)
+    assert all(np.array_equal(a[p : p + n], b[q : q + n]) for p, q, n in found) and [t[2] for t in found] == sorted((t[2] for t in found), reverse=True)
+    for k in (0, 1):
+        spans = sorted((t[k], t[2]) for t in found)
+        assert all(x + n <= y for (x, n), (y, _) in zip(spans, spans[1:], strict=False))
+
+
+def test_a_text_of_one_word_against_such_an_item(spark):
+    docs = spark.createDataFrame([(1, "spam " * 100_000), (2, "spam " * 40), (3, "ham")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "spam " * 50_000), (8, "ham spam " * 30_000)], "item_id long, text string")
+    assert [(r["doc_id"], r["item_id"], r["covered_words"]) for r in tiling.contamination(docs, bench).collect()] == [(1, 7, 50_000)]
 
 
 def test_contamination_catches_reordered_passages(spark):
