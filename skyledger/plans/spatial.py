@@ -61,14 +61,14 @@ def q_ordered_children(t: Tables) -> DataFrame:
 ITEMS = "(SELECT l_orderkey AS page, l_linenumber % 2 * 0.5 + l_suppkey % 3 * 2 AS y, (l_linenumber * 10 + l_partkey % 7)::DOUBLE AS x, (l_suppkey % 9 + 1)::DOUBLE AS width, l_partkey AS item, l_suppkey AS s, l_extendedprice AS p FROM lineitem)"
 
 
-@query(QUERIES, f"""WITH l AS (SELECT *, sum(coalesce(fresh, 0)) OVER (PARTITION BY page ORDER BY y, x, item, s, p ROWS UNBOUNDED PRECEDING) AS line FROM (SELECT *, (y - lag(y) OVER (PARTITION BY page ORDER BY y, x, item, s, p) > 0.75)::INT AS fresh FROM {ITEMS})),
-a AS (SELECT *, x - max(x + width) OVER (PARTITION BY page, line ORDER BY x, item, s, p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS gap FROM l),
-b AS (SELECT *, sum(CASE WHEN gap BETWEEN -0.75 AND 2 THEN 0 ELSE 1 END) OVER (PARTITION BY page, line ORDER BY x, item, s, p ROWS UNBOUNDED PRECEDING) AS island FROM a)
-SELECT page, line::BIGINT AS line, island::BIGINT AS island, min(x) AS x, max(x + width) - min(x) AS width, string_agg(item::VARCHAR, '' ORDER BY x, item, s, p) AS text FROM b GROUP BY 1, 2, 3""")
+@query(QUERIES, f"""WITH RECURSIVE i AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY y, x, item, s, p) AS k FROM {ITEMS}),
+r AS (SELECT page, k, 0 AS island, y, x, x + width AS reach, item FROM i WHERE k = 1 UNION ALL SELECT page, k, CASE WHEN joined THEN island ELSE island + 1 END, CASE WHEN joined THEN y0 ELSE y END, CASE WHEN joined THEN x0 ELSE x END, CASE WHEN joined THEN greatest(reach, x + width) ELSE x + width END, item
+  FROM (SELECT i.*, r.island, r.y AS y0, r.x AS x0, r.reach, abs(i.y - r.y) <= 0.75 AND i.x - r.reach BETWEEN -0.75 AND 2 AS joined FROM r JOIN i ON i.page = r.page AND i.k = r.k + 1))
+SELECT page, island::INT AS island, min(y)::DOUBLE AS y, min(x) AS x, max(reach) - min(x) AS width, string_agg(item::VARCHAR, '' ORDER BY k) AS text FROM r GROUP BY 1, 2""")
 def q_merge_adjacent(t: Tables) -> DataFrame:
     c = F.col
     items = t.lineitem.select(c("l_orderkey").alias("page"), (c("l_linenumber") % 2 * 0.5 + c("l_suppkey") % 3 * 2).alias("y"), (c("l_linenumber") * 10.0 + c("l_partkey") % 7).alias("x"), (c("l_suppkey") % 9 + 1).cast("double").alias("width"), c("l_partkey").cast("string").alias("text"), c("l_partkey").alias("item"), c("l_suppkey").alias("s"), c("l_extendedprice").alias("p"))
-    return X.merge_adjacent(items, "page", ["item", "s", "p"]).select("page", "line", "island", "x", "width", "text")
+    return X.merge_adjacent(items, "page", ["item", "s", "p"]).select("page", "island", "y", "x", "width", "text")
 
 
 CLEAR = f"(SELECT x, y FROM {CELLS} WHERE lo >= 10)"

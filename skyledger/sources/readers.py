@@ -81,22 +81,34 @@ def scan_supplement_xml(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_regulation_xml(spark: SparkSession, path: str, parts: list[str] | None = None, volume: str | None = None) -> DataFrame:
-    """Paragraphs of a regulation: part, subpart, subject group, section, head and text. Each part is one splittable
-    record; sections stand in a part, a subpart, or a subject group of either. ``volume`` keeps the parts of one volume."""
-    section = "array<struct<_N string, HEAD string, P array<string>>>"
-    group = f"array<struct<_N string, HEAD string, DIV8 {section}>>"
-    schema = f"_N string, _VOLUME string, HEAD string, DIV6 array<struct<_N string, DIV7 {group}, DIV8 {section}>>, DIV7 {group}, DIV8 {section}"
-    rows = spark.read.format("xml").option("rowTag", "DIV5").schema(schema).load(path)
+    """Paragraphs of a regulation: part, subpart, subject group, kind (section or appendix), section, head and text.
+
+    A file is one document with one root and each part in it one splittable record; sections and appendices stand in a part, a subpart, or a subject group of either.
+    ``section`` is the number that the source states, of an appendix its name. A unit without paragraphs keeps one row with
+    a null text, so none is lost. ``subpart_place``, ``group_place``, ``unit_place`` and ``ord`` hold the places within what
+    is around. ``volume`` keeps the parts of one volume."""
+    unit = "array<struct<_N string, HEAD string, P array<string>>>"
+    group = f"array<struct<_N string, HEAD string, DIV8 {unit}, DIV9 {unit}>>"
+    inner = f"DIV7 {group}, DIV8 {unit}, DIV9 {unit}"
+    rows = spark.read.format("xml").option("rowTag", "DIV5").schema(f"_N string, _VOLUME string, HEAD string, DIV6 array<struct<_N string, HEAD string, {inner}>>, {inner}").load(path)
     if parts is not None:
         rows = rows.where(F.col("_N").isin(*parts))
     if volume is not None:
         rows = rows.where(F.col("_VOLUME") == volume)
-    none = F.lit(None).cast("string")
-    level = rows.select(F.col("_N").alias("part"), none.alias("subpart"), F.col("DIV7").alias("groups"), F.col("DIV8").alias("sections"))
-    level = level.unionByName(rows.select(F.col("_N").alias("part"), F.explode("DIV6").alias("d")).select("part", F.col("d._N").alias("subpart"), F.col("d.DIV7").alias("groups"), F.col("d.DIV8").alias("sections")))
-    own = level.select("part", "subpart", none.alias("subject_group"), F.explode("sections").alias("s"))
-    grouped = level.select("part", "subpart", F.explode("groups").alias("g")).select("part", "subpart", F.trim("g.HEAD").alias("subject_group"), F.explode("g.DIV8").alias("s"))
-    found = own.unionByName(grouped).select("part", "subpart", "subject_group", F.col("s._N").alias("section"), F.col("s.HEAD").alias("head"), F.posexplode("s.P").alias("ord", "text"))
+    c, text, number = F.col, F.lit(None).cast("string"), F.lit(None).cast("int")
+    kinds = {"section": "DIV8", "appendix": "DIV9"}
+    top = rows.select(c("_N").alias("part"), text.alias("subpart"), text.alias("subpart_head"), number.alias("subpart_place"), "DIV7", "DIV8", "DIV9")
+    below = rows.select(c("_N").alias("part"), F.posexplode("DIV6").alias("at", "d")).select("part", c("d._N").alias("subpart"), F.trim("d.HEAD").alias("subpart_head"), c("at").alias("subpart_place"), "d.DIV7", "d.DIV8", "d.DIV9")
+    level = top.unionByName(below)
+    held = ["part", "subpart", "subpart_head", "subpart_place"]
+    own = level.select(*held, text.alias("subject_group"), number.alias("group_place"), *kinds.values())
+    grouped = level.select(*held, F.posexplode("DIV7").alias("group_place", "g")).select(*held, F.trim("g.HEAD").alias("subject_group"), "group_place", "g.DIV8", "g.DIV9")
+    both = own.unionByName(grouped)
+    held += ["subject_group", "group_place"]
+    found = None
+    for kind, tag in kinds.items():
+        units = both.select(*held, F.lit(kind).alias("kind"), F.posexplode(tag).alias("unit_place", "s")).select(*held, "kind", "unit_place", c("s._N").alias("section"), c("s.HEAD").alias("head"), F.posexplode_outer("s.P").alias("ord", "text"))
+        found = units if found is None else found.unionByName(units)
     return found.withColumn("text", F.trim(F.regexp_replace("text", "<[^>]+>", "")))
 
 

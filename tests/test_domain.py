@@ -88,9 +88,11 @@ def test_longest_runs_look_four_ways(spark):
 
 
 def test_items_merge_on_one_line_without_blanks(spark):
-    rows = [(1, 10.0, 0.0, 5.0, "RW"), (1, 10.5, 5.2, 3.0, "Y"), (1, 10.0, 11.0, 2.0, "9"), (1, 12.0, 13.0, 2.0, "L"), (1, 10.0, 12.0, 4.0, "x")]
+    rows = [(1, 10.0, 0.0, 5.0, "RW"), (1, 10.0, 5.2, 3.0, "Y"), (1, 10.0, 11.0, 2.0, "9"), (1, 12.0, 13.0, 2.0, "L"), (1, 10.0, 12.0, 4.0, "x")]
     df = spark.createDataFrame(rows, "page int, y double, x double, width double, text string")
     assert sorted(r["text"] for r in X.merge_adjacent(df, "page", ["width"]).collect()) == ["9", "L", "RWY", "x"]
+    apart = spark.createDataFrame([(1, 0.5, 0.0, 9.5, "A"), (1, 0.0, 10.0, 1.0, "B"), (2, 0.0, 0.0, 1.0, "c"), (2, 0.0, 1.0, 5.0, "d"), (2, 0.5, 6.5, 1.0, "e"), (2, 1.0, 7.5, 1.0, "f")], df.schema)
+    assert sorted((r["page"], r["island"], r["text"], r["width"]) for r in X.merge_adjacent(apart, "page", []).collect()) == [(1, 0, "B", 1.0), (1, 1, "A", 9.5), (2, 0, "cde", 7.5), (2, 1, "f", 1.0)]
 
 
 def test_search_bonus_for_phrases_and_citations(spark):
