@@ -42,9 +42,13 @@ def downsample_average(cells: DataFrame, value: str) -> DataFrame:
     return cells.groupBy((F.col("x") / 2).cast("int").alias("x"), (F.col("y") / 2).cast("int").alias("y")).agg(F.when(F.count(value) == 4, half_up(F.sum(value) / 4)).alias(value))
 
 
-def density_rollup(cells: DataFrame, value: str) -> DataFrame:
-    """Mean of four children, a missing one counting 0."""
-    return cells.groupBy((F.col("x") / 2).cast("int").alias("x"), (F.col("y") / 2).cast("int").alias("y")).agg((F.sum(value) / 4).alias(value))
+def density_rollup(cells: DataFrame, value: str, rows: int) -> DataFrame:
+    """Area-weighted mean of each two by two cells (x, y) of a Mercator map of ``rows`` rows; a missing cell counts 0."""
+    edge = lambda y: F.tanh(F.pi() * (1 - 2 * y / rows))
+    area = lambda y: edge(y) - edge(y + 1)
+    parent = [F.floor(F.col(c) / 2).cast("int").alias(c) for c in ("x", "y")]
+    summed = cells.groupBy(*parent).agg(F.sum(F.col(value) * area(F.col("y"))).alias(value))
+    return summed.withColumn(value, F.col(value) / (2 * (area(F.col("y") * 2) + area(F.col("y") * 2 + 1))))
 
 
 def least_squares(df: DataFrame, keys: list[str], x: str, y: str, z: str) -> DataFrame:
@@ -75,3 +79,14 @@ def nearest_rank(df: DataFrame, value: str, shares: dict[str, float], bins: int
     found = running.join(F.broadcast(held), "bin").where("upto > rank").groupBy("name").agg(F.min(value).alias("v"))
     picked = found.agg(*[F.max(F.when(F.col("name") == name, F.col("v"))).alias(name) for name in shares])
     return picked.crossJoin(rows.agg(F.max(value).alias("largest")))
+
+
+def retained(df: DataFrame, product: str, edition: str, most: int, through: str) -> DataFrame:
+    """Rows of each product's newest ``most`` editions up to ``through``; later ones are not yet in force and stay out.
+
+    Editions are counted once each before they are ranked, so a product with many rows is ranked by its editions alone."""
+    from pyspark.sql import Window
+
+    known = df.where(F.col(edition) <= F.lit(through)).select(product, edition).distinct()
+    place = F.row_number().over(Window.partitionBy(product).orderBy(F.desc(edition)))
+    return df.join(known.withColumn("place", place).where(F.col("place") <= most).drop("place"), [product, edition], "left_semi")

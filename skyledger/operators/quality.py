@@ -60,3 +60,28 @@ def main_branch(df: DataFrame, key: str, branch: str, transition: Column) -> Dat
     """Exactly one branch that is not a transition is the main one; otherwise the reason why there is none."""
     mains = df.groupBy(key).agg(F.count_distinct(F.when(~transition, F.col(branch))).alias("mains"), F.min(F.when(~transition, F.col(branch))).alias("only"), F.count_distinct(F.when(transition, F.col(branch))).alias("transitions"))
     return mains.select(key, F.when(F.col("mains") == 1, F.col("only")).alias("main"), "transitions", F.when(F.col("mains") == 0, "missing").when(F.col("mains") > 1, "multiple").alias("reason"))
+
+
+def sequence_faults(df: DataFrame, keys: list[str], sequence: str) -> DataFrame:
+    """(keys, sequence, n, reason): sequence numbers that are missing, not positive, or held by several rows of a key."""
+    n = df.groupBy(*keys, sequence).agg(F.count("*").alias("n"))
+    reason = F.when(F.col(sequence).isNull(), "missing").when(F.col(sequence) <= 0, "not positive").when(F.col("n") > 1, "repeated")
+    return n.withColumn("reason", reason).where("reason is not null")
+
+
+def region_faults(regions: DataFrame, key: str, title: str, bounds: str) -> DataFrame:
+    """(key, reasons) of regions that cannot be used; ``bounds`` is an array of rectangles [west, south, east, north].
+
+    no id, repeated id, no title, no bounds, and of any rectangle: incomplete (four finite numbers are needed), out of
+    range (180 and 90 degrees), disordered (west before east and south before north). A repeated id is one row each time."""
+    c = F.col
+    plain = lambda x: F.trim(F.coalesce(c(x), F.lit(""))) == ""
+    counted = regions.groupBy(key).agg(F.count("*").alias("same")).where("same > 1")
+    rows = regions.join(counted, key, "left")
+    whole = lambda b: F.coalesce((F.size(b) == 4) & ~F.exists(b, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))), F.lit(False))
+    wide = lambda b: (b[0] < -180) | (b[2] > 180) | (b[1] < -90) | (b[3] > 90)
+    rules = {
+        "no id": plain(key), "repeated id": c("same").isNotNull(), "no title": plain(title), "no bounds": F.coalesce(F.size(bounds), F.lit(0)) <= 0,
+        "incomplete": F.exists(bounds, lambda b: ~whole(b)), "out of range": F.exists(bounds, lambda b: whole(b) & wide(b)), "disordered": F.exists(bounds, lambda b: whole(b) & ((b[0] >= b[2]) | (b[1] >= b[3]))),
+    }
+    return rows.select(key, F.array_compact(F.array(*[F.when(F.coalesce(t, F.lit(False)), F.lit(n)) for n, t in rules.items()])).alias("reasons")).where(F.size("reasons") > 0)

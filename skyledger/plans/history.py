@@ -95,11 +95,17 @@ def q_density(t: Tables) -> DataFrame:
     return masks.select("band", "block", *[F.round(share(c), 9).alias(c) for c in ("preferred", "fallback", "known")])
 
 
-@query(QUERIES, f"WITH a AS (SELECT x // 2 AS x, y // 2 AS y, sum(lo) / 4 AS d FROM {CELLS} GROUP BY 1, 2), b AS (SELECT x // 2 AS x, y // 2 AS y, sum(d) / 4 AS d FROM a GROUP BY 1, 2) SELECT x // 2 AS x, y // 2 AS y, round(sum(d) / 4, 6) AS d FROM b GROUP BY 1, 2")
+def rolled_sql(level: int) -> str:
+    rows, source = 128 >> level, f"r{level - 1}" if level else "c"
+    area = lambda y: f"(tanh(pi() * (1 - 2 * ({y}) / {rows}.0)) - tanh(pi() * (1 - 2 * ({y} + 1) / {rows}.0)))"
+    return f"r{level} AS (SELECT x, y, d / (2 * ({area('2 * y')} + {area('2 * y + 1')})) AS d FROM (SELECT x // 2 AS x, y // 2 AS y, sum(d * {area('y')}) AS d FROM {source} GROUP BY 1, 2))"
+
+
+@query(QUERIES, f"WITH c AS (SELECT x, y, lo AS d FROM {CELLS}), {', '.join(map(rolled_sql, range(3)))} SELECT x, y, round(d, 6) AS d FROM r2")
 def q_density_rollup(t: Tables) -> DataFrame:
     level = cells(t).select("x", "y", F.col("lo").alias("d"))
-    for _ in range(3):
-        level = A.density_rollup(level, "d")
+    for rows in (128, 64, 32):
+        level = A.density_rollup(level, "d", rows)
     return level.withColumn("d", F.round("d", 6))
 
 

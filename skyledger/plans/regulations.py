@@ -7,13 +7,16 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.functions.storage import shared_folder
+from skyledger.functions.storage import shared_folder, written
+from skyledger.operators import aggregates as A
 from skyledger.operators import outline, regulation
+from skyledger.operators import quality as Q
 from skyledger.operators import text as X
-from skyledger.sources.readers import scan_regulation_xml
+from skyledger.sources.readers import products_in_regions, scan_regulation_xml
 
+from .bindings import BOXES, boxes
 from .query import Query, Tables, query
-from .texts import document_lines
+from .texts import NORMAL, TERMS, asked_terms, document_lines
 
 QUERIES: list[Query] = []
 # Forms of a head, the number stated for it, and what is read from them, with {n} and {s} for number and subject, written out for the SQL.
@@ -88,3 +91,56 @@ def q_printed_labels(t: Tables) -> DataFrame:
     pages = t.lineitem.select(c("l_orderkey").alias("page")).distinct().select("page", F.lit(400.0).alias("page_width"), F.lit(600.0).alias("page_height"))
     found = X.page_labels(item(190.0, 10.0, c("head")).unionByName(item(200.5, 9.0, c("tail"))), pages, "page", ["text"], r"[A-Z]-\d+")
     return found.select("page", F.size("labels").alias("n"), F.array_join(F.array_sort("labels"), " ").alias("labels"))
+
+
+@query(QUERIES, """WITH e AS (SELECT DISTINCT o_orderpriority AS p, o_orderdate AS d FROM orders WHERE o_orderdate <= TIMESTAMP '1997-01-01'), k AS (SELECT *, row_number() OVER (PARTITION BY p ORDER BY d DESC) AS place FROM e)
+SELECT o_orderkey, o_orderpriority FROM orders JOIN k ON p = o_orderpriority AND d = o_orderdate AND place <= 5""")
+def q_retained(t: Tables) -> DataFrame:
+    """Orders of each priority's five newest dates up to a cutoff."""
+    return A.retained(t.orders, "o_orderpriority", "o_orderdate", 5, "1997-01-01 00:00:00").select("o_orderkey", "o_orderpriority")
+
+
+@query(QUERIES, "SELECT l_orderkey, k::INT AS k, n, CASE WHEN k <= 0 THEN 'not positive' ELSE 'repeated' END AS reason FROM (SELECT l_orderkey, l_linenumber - 2 AS k, count(*)::BIGINT AS n FROM lineitem GROUP BY 1, 2) WHERE k <= 0 OR n > 1")
+def q_sequence_faults(t: Tables) -> DataFrame:
+    return Q.sequence_faults(t.lineitem.select("l_orderkey", (F.col("l_linenumber") - 2).cast("int").alias("k")), ["l_orderkey"], "k")
+
+
+@query(QUERIES, f"""WITH r AS (SELECT 'r' || (box % 1500) AS id, CASE WHEN box % 7 > 0 THEN 'title' ELSE ' ' END AS title, west, south, east, north, size FROM {BOXES}), n AS (SELECT id FROM r GROUP BY 1 HAVING count(*) > 1)
+SELECT id, reasons, count(*)::BIGINT AS rows FROM (SELECT id, concat_ws(',', CASE WHEN id IN (SELECT id FROM n) THEN 'repeated id' END, CASE WHEN title = ' ' THEN 'no title' END, CASE WHEN size = 1 THEN 'incomplete' END, CASE WHEN west * 1.2 < -180 OR east * 1.2 > 180 OR north * 1.2 > 90 OR south * 1.2 < -90 THEN 'out of range' END, CASE WHEN size > 45 THEN 'disordered' END) AS reasons FROM r) WHERE reasons <> '' GROUP BY 1, 2""")
+def q_region_faults(t: Tables) -> DataFrame:
+    """Regions of two rectangles: titles that are blank, ids given twice, sides that are missing, off the map or in the wrong order."""
+    c, b = F.col, boxes(t)
+    first = F.array(*[F.col(k) * 1.2 for k in ("west", "south", "east", "north")])
+    second = F.when(c("size") == 1, F.array(c("west"), c("south"))).when(c("size") > 45, F.array(F.lit(5.0), F.lit(0.0), F.lit(1.0), F.lit(1.0))).otherwise(F.array(F.lit(0.0), F.lit(0.0), F.lit(1.0), F.lit(1.0)))
+    rows = b.select(F.concat(F.lit("r"), (c("box") % 1500).cast("string")).alias("id"), F.when(c("box") % 7 > 0, "title").otherwise(" ").alias("title"), F.array(first, second).alias("bounds"))
+    return Q.region_faults(rows, "id", "title", "bounds").groupBy("id", F.array_join("reasons", ",").alias("reasons")).agg(F.count("*").alias("rows"))
+
+
+@query(QUERIES, f"""WITH k AS (SELECT DISTINCT (o_orderkey % 130 - 35)::INT AS north, (o_custkey % 360 - 180)::INT AS west FROM orders) SELECT DISTINCT CASE WHEN k.north < 0 THEN 's' ELSE 'n' END || lpad(abs(k.north)::VARCHAR, 2, '0') || CASE WHEN k.west < 0 THEN 'w' ELSE 'e' END || lpad(abs(k.west)::VARCHAR, 3, '0') AS tile, k.west - 0.01 AS west, k.north + 0.01 AS north
+FROM k JOIN {BOXES} b ON k.north <= 90 AND k.west - 0.01 < b.east AND k.west + 1.01 > b.west AND k.north - 1.01 < b.north AND k.north + 0.01 > b.south""")
+def q_products_in_regions(t: Tables) -> DataFrame:
+    """Listed degree tiles, widened by a hundredth, that overlap a region."""
+    c = F.col
+    north, west = (c("o_orderkey") % 130 - 35).cast("int"), (c("o_custkey") % 360 - 180).cast("int")
+    pad = lambda x, n: F.lpad(F.abs(x).cast("string"), n, "0")
+    name = F.concat(F.when(north < 0, "s").otherwise("n"), pad(north, 2), F.when(west < 0, "w").otherwise("e"), pad(west, 3))
+    found, _ = products_in_regions(t.orders.select(F.concat(F.lit("elevation/"), name, F.lit(".tif")).alias("key")), boxes(t), r"/([ns])(\d{2})([ew])(\d{3})\.tif$", 0.01)
+    return found.select(F.substring("key", 11, 7).alias("tile"), "west", "north")
+
+
+@query(QUERIES, f"""WITH q AS (SELECT DISTINCT item_id, unnest(string_split({NORMAL.format(c='text')}, ' ')) AS term FROM benchmark), i AS (SELECT term AS word, doc_id, ln(1 + count(*)) AS tf FROM {TERMS} WHERE term <> '' GROUP BY 1, 2), v AS (SELECT DISTINCT word FROM i), a AS (SELECT DISTINCT term FROM q WHERE term <> ''),
+p AS (SELECT term, word, CASE WHEN term = word THEN 1.0 WHEN starts_with(word, term) THEN 0.375 * length(word) / (length(word) + 0.3 * (length(word) - length(term))) ELSE 0.45 * length(word) / (length(word) + levenshtein(term, word)) END AS worth FROM a JOIN v ON starts_with(word, term) OR levenshtein(term, word) <= floor(length(term) * 0.2)),
+m AS (SELECT term, doc_id, sum(tf * worth) AS tf FROM p JOIN i USING (word) GROUP BY 1, 2), f AS (SELECT term, count(*) AS df FROM m GROUP BY 1), need AS (SELECT item_id, count(*) AS need FROM q WHERE term <> '' GROUP BY 1)
+SELECT item_id, doc_id, round(sum(tf * ln(1 + (SELECT count(*) FROM documents) / df)), 6) AS score FROM q JOIN m USING (term) JOIN f USING (term) JOIN need USING (item_id) GROUP BY item_id, doc_id, need HAVING count(*) = need""")
+def q_search_near(t: Tables) -> DataFrame:
+    """Documents that hold each word of an item, a longer or a near one, which weigh less than the word itself."""
+    index = written(X.inverted_index(t.documents, "doc_id", ["text"]), "index")
+    found = X.weighted_search(asked_terms(t), index, index.select(F.col("term").alias("word")), "item_id", "doc_id", {"text": 1.0}, t.documents.count())
+    return found.select("item_id", "doc_id", F.round("score", 6).alias("score"))
+
+
+@query(QUERIES)
+def q_local_targets(t: Tables) -> DataFrame:
+    """Where the links of pages lead, below the folder of each page's host."""
+    refs = X.links(t.pages, "page_id", "html").join(t.pages.select("page_id", "url"), "page_id")
+    return X.local_targets(refs, "url", "ref", "https://").select("page_id", "ref", "target")

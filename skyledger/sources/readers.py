@@ -147,3 +147,25 @@ def listing_products(objects: DataFrame, pattern: str, sidecar: str) -> tuple[Da
     joined = rasters.join(sides, "stem", "left")
     bad = joined.where("side is null").select("key", F.lit("no sidecar").alias("reason")).unionByName(counted.where("count > 1").select("key", F.lit("repeated").alias("reason")))
     return joined.where("side is not null and count = 1").select("key", "stem", "side"), bad
+
+
+def tile_bounds(key: Column, pattern: str, halo: float) -> Column:
+    """Bounds of a degree tile named by its north-western corner, such as n41w073, widened by ``halo``; null where the name is none or off the map.
+
+    ``pattern`` finds n or s, two digits, e or w, three digits in ``key``, each as a group."""
+    part = lambda k: F.regexp_extract(key, pattern, k)
+    north = part(2).try_cast("int") * F.when(part(1) == "n", 1).otherwise(-1)
+    west = part(4).try_cast("int") * F.when(part(3) == "e", 1).otherwise(-1)
+    usable = (north > -90) & (north <= 90) & (west >= -180) & (west < 180)
+    return F.when(usable, F.struct((west - halo).alias("west"), (north - 1 - halo).alias("south"), (west + 1 + halo).alias("east"), (north + halo).alias("north")))
+
+
+def products_in_regions(objects: DataFrame, regions: DataFrame, pattern: str, halo: float) -> tuple[DataFrame, DataFrame]:
+    """Listed products (key) whose tile overlaps a region (west, south, east, north), with their bounds, each once; and keys that name no tile."""
+    from skyledger.operators.joins import bbox_join
+
+    named = objects.select("key").distinct().withColumn("tile", tile_bounds(F.col("key"), pattern, halo))
+    bounds = named.where("tile is not null").select("key", "tile.*")
+    edges = ("west", "south", "east", "north")
+    found = bbox_join(bounds, regions.select(*edges), 4.0).select("key", *edges).distinct()
+    return found, named.where("tile is null").select("key")

@@ -83,3 +83,29 @@ def test_labels_printed_on_pages(spark):
     pages = spark.createDataFrame([(p, 400.0, 600.0) for p in (1, 2, 3)], "page int, page_width double, page_height double")
     found = X.page_labels(spark.createDataFrame(items, "page int, y double, x double, width double, text string"), pages, "page", ["text"], r"[A-Z]-\d+").collect()
     assert {r["page"]: r["labels"] for r in found} == {1: ["A-12", "B-3"], 2: [], 3: []}
+
+
+def test_targets_below_a_root(spark):
+    from urllib.parse import urljoin, urlsplit
+
+    page, root = "https://a.org/docs/aim/page.html?x=1#y", "https://a.org/docs/"
+    refs = ["b.html", "./b.html", "../c/d.html", "../../up.html", "/docs/e", "/other", "?q=2", "f/", "g/.", "g/..", "https://A.org/docs/h?i#j", "HTTPS://a.org/docs", "//a.org/docs/k", "//b.org/docs/k", "http://a.org/docs/l", "mailto:x@y", "data:text/plain,docs", "javascript:void(0)", "#top", "", " m.html ", "../../../../docs/n", "a&amp;b.html"]
+
+    def want(ref):
+        plain = ref.strip().replace("&amp;", "&")
+        if not plain or plain.startswith("#"):
+            return None
+        u = urlsplit(urljoin(page, plain))
+        full = f"{u.scheme}://{u.netloc.lower()}{u.path or '/'}"
+        return full if full.startswith(root) else None
+
+    df = spark.createDataFrame([(page, r) for r in refs] + [(page, None)], "url string, ref string")
+    assert {r["ref"]: r["target"] for r in X.local_targets(df, "url", "ref", root).collect()} == {r: want(r) for r in refs} | {None: None}
+
+
+def test_near_words_weigh_less(spark):
+    docs = spark.createDataFrame([(1, "stall warning"), (2, "stalls warned"), (3, "stale warning"), (4, "stall"), (5, "warnings stall stall")], "d int, text string")
+    index = X.inverted_index(docs, "d", ["text"])
+    terms = spark.createDataFrame([(1, "stall"), (1, "warning"), (2, "nothing"), (2, "stall")], "q int, term string")
+    found = {(r["q"], r["d"]): r["score"] for r in X.weighted_search(terms, index, index.select(F.col("term").alias("word")), "q", "d", {"text": 1.0}, 5).collect()}
+    assert set(found) == {(1, 1), (1, 3), (1, 5)} and found[(1, 1)] > found[(1, 5)] > found[(1, 3)]
