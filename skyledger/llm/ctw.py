@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import LOWER_BYTES, LOWER_LUT, chunks, fold, runs, shared_folder, utf8, written
@@ -29,6 +29,8 @@ END = 0xFF  # no UTF-8 text holds this byte: it stands before and after every te
 WORDS, GRAMS = 0, 1
 END_WORD = np.uint64(xxhash.xxh3_64_intdigest(b"\n")).astype(np.int64)
 HALF = math.log(0.5)
+SLICE = 4096  # rows of a file whose running sum of bytes is one task's
+CUT_BYTES = 64 << 20  # of cuts between buckets that are broadcast
 FAN_IN = 64  # parts of a cell that meet in one sum
 PART_BYTES = 64 << 20  # of a cell's sheets that meet in one group
 WORD_CELLS = 10  # leading bits of a word's hash
@@ -355,19 +357,29 @@ def scorer(depth: int, tokens: int, distinct: int):
 
 
 def bucketed(docs: DataFrame, bucket_bytes: int) -> DataFrame:
-    """(doc_id, text, bucket): a bucket is a run of rows of one Parquet file, by their places in it, of about
-    ``bucket_bytes`` of text at the average size of a row.
+    """(doc_id, text, bucket): a bucket is a run of rows of one Parquet file, by their places in it: those of which the
+    bytes of text before them come to the same multiple of ``bucket_bytes``, so it passes that by one row at most.
 
     Places do not hang on how a scan is split, so a later read with other settings or fewer cores gives the same
-    buckets. Rows that do not come straight from Parquet files are written first."""
+    buckets. Running sums go by slices of ``SLICE`` rows, so a file of any length is no task's alone. Where the cuts are
+    few they are broadcast, a number a bucket; else rows meet them by file. Rows that do not come straight from Parquet
+    files are written first."""
     try:
         docs.select("_metadata.row_index")
     except AnalysisException:
         docs = written(docs.select("doc_id", "text"), "ctw-docs")
-    size = docs.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
-    rows = max(1, size["n"] * bucket_bytes // max(size["bytes"], 1))
-    place = F.floor(F.col("_metadata.row_index") / rows)
-    return docs.select("doc_id", "text", F.xxhash64(F.col("_metadata.file_path"), place).alias("bucket"))
+    file, row = F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
+    sizes = written(docs.select(file, row, F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes")), "ctw-sizes")
+    sizes = sizes.withColumn("slice", F.floor(F.col("row") / SLICE))
+    ahead = F.coalesce(F.sum("bytes").over(Window.partitionBy("file").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = sizes.groupBy("file", "slice").agg(F.sum("bytes").alias("bytes")).select("file", "slice", ahead.alias("before"))
+    inside = F.coalesce(F.sum("bytes").over(Window.partitionBy("file", "slice").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = sizes.withColumn("inside", inside).join(before, ["file", "slice"]).groupBy("file", F.floor((F.col("before") + F.col("inside")) / bucket_bytes).alias("bucket")).agg(F.min("row").alias("cut"))
+    cuts = written(placed.groupBy("file").agg(F.array_sort(F.collect_list("cut")).alias("cuts")), "ctw-cuts")
+    weight = cuts.agg(F.coalesce(F.sum(F.size("cuts") * 8 + F.length("file")), F.lit(0))).first()[0]
+    rows = docs.select("doc_id", "text", file, row).join(F.broadcast(cuts) if weight <= CUT_BYTES else cuts, "file")
+    place = F.size(F.filter("cuts", lambda c: c <= F.col("row")))
+    return rows.select("doc_id", "text", F.xxhash64("file", place).alias("bucket"))
 
 
 def ctw_scores(docs: DataFrame, depth: int = 5, held_out_fold: int = 1, folds: int = 5, bucket_bytes: int = 28 << 20, part_bytes: int = PART_BYTES) -> DataFrame:

@@ -9,7 +9,7 @@ from .common import n_words, written
 
 SMALL_TABLE = 100_000  # rows up to which the table of sources is broadcast
 UNIT = float(1 << 52)
-CLASSES = 1024  # preferences are told apart in eighths below this many
+DIGITS, REACH = 8, 30  # preferences are told apart by 8 binary digits, from 2**-30 to 2**30: some 7,700 values at most
 
 
 def source_key(source: Column) -> Column:
@@ -46,13 +46,17 @@ def with_sources(docs: DataFrame, sources: DataFrame) -> DataFrame:
 
 def measured(docs: DataFrame, preference: Column | None, seed: str, row: Column | None = None) -> DataFrame:
     """(doc_id, key, size, class, digits) of each row, and ``row`` if given. ``preference`` is an expression over ``docs``
-    and the column ``size`` of its words; it counts in eighths, from 0 to ``CLASSES - 1`` of them. Null counts as 0."""
+    and the column ``size`` of its words. Its first ``DIGITS`` binary digits count, those beyond ``REACH`` powers of two as
+    the nearest within; null, NaN, 0 and less count as 0, and nothing else does."""
     sized = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), source_key(F.col("source")).alias("key"), F.explode(F.array(n_words(F.col("text")))).alias("size"))  # explode: else each use of size would count the words anew
-    eighths = F.lit(8) if preference is None else F.least(F.lit(CLASSES - 1), F.greatest(F.lit(0), F.round(8 * F.coalesce(preference.cast("double"), F.lit(0.0)))))
+    value = F.lit(1.0) if preference is None else F.nanvl(F.coalesce(preference.cast("double"), F.lit(0.0)), F.lit(0.0))
+    within = F.least(F.lit(2.0**REACH), F.greatest(F.lit(2.0**-REACH), value))
+    step = F.pow(F.lit(2.0), F.floor(F.log2(within)) - (DIGITS - 1))
+    grade = F.when(value > 0, F.round(within / step) * step).otherwise(0.0)
     opened = sized if preference is None else sized.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in ("row", "id", "key", "size")], "row", "id", "key", "size")
     digits = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(F.col("id").cast("string"), F.lit(""))).cast("binary")), 1, 13), 16, 10).cast("long")
     kept = ["row"] if row is not None else []
-    return opened.select(F.col("id").alias("doc_id"), "key", "size", eighths.cast("int").alias("class"), digits.alias("digits"), *kept)
+    return opened.select(F.col("id").alias("doc_id"), "key", "size", grade.alias("class"), digits.alias("digits"), *kept)
 
 
 def expected_copies(sums: DataFrame, sources: DataFrame, most: int) -> DataFrame:
@@ -61,7 +65,7 @@ def expected_copies(sums: DataFrame, sources: DataFrame, most: int) -> DataFrame
     Copies are in proportion to the preference, ``most`` at most, so that the words of all come to the floor of the
     source's target. The level is found by filling from the highest class on: the first class at which the words still
     wanted, spread over it and all lower ones by preference, ask for ``most`` copies or fewer sets it. The window runs
-    over the classes of one source, ``CLASSES`` rows at most."""
+    over the classes of one source, a few thousand rows at most."""
     order = Window.partitionBy("key").orderBy(F.desc("class"))
     all_rows = Window.partitionBy("key")
     rows = sums.join(sources, "key").withColumn("goal", F.floor("target").cast("long"))

@@ -489,6 +489,27 @@ def test_contamination_catches_reordered_passages(spark):
     assert sorted(r["doc_id"] for r in tiling.decontaminated(docs, bench).collect()) == [3, 4, 5]
 
 
+def test_buckets_of_files_sorted_by_length(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ctw, "SLICE", 50)
+    texts = ["x" * 5000] * 40 + ["y" * 9000] + [None, ""] * 20 + ["z" * 10] * 2000
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(path)
+    for most in (20_000, 1):
+        monkeypatch.setattr(ctw, "CUT_BYTES", 64 << 20 if most > 1 else 0)
+        found = ctw.bucketed(spark.read.parquet(path), most).groupBy("bucket").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("bytes"), F.count("*").alias("n"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).collect()
+        assert sum(r["n"] for r in found) == len(texts) and all(r["b"] - r["a"] + 1 == r["n"] for r in found)
+        assert all(r["bytes"] < most + 9000 for r in found) and (most == 1 or len(found) == 12)
+
+
+def test_preferences_far_apart_are_told_apart(spark):
+    docs = spark.createDataFrame([(i, " ".join(["w"] * 20), "a", [0.01, 0.03, 1.0, 1000.0, 0.0, float("nan"), None][i % 7]) for i in range(7000)], "doc_id long, text string, source string, liking double")
+    rows = {r["liking"]: r for r in mixing.mix(docs.where("liking > 0"), weights=(1,), preference=F.col("liking"), most=3).join(docs.select("doc_id", "liking"), "doc_id").groupBy("liking").agg(F.avg("copies").alias("copies"), F.sum("taken").alias("taken")).collect()}
+    assert rows[1000.0]["copies"] == 3.0 and rows[0.03]["copies"] / rows[0.01]["copies"] == pytest.approx(3.0, rel=0.02) and rows[1.0]["copies"] / rows[0.03]["copies"] == pytest.approx(1 / 0.03, rel=0.02)
+    assert rows[0.03]["taken"] > rows[0.01]["taken"] > 0
+    none = mixing.mix(docs.where("liking = 0 or isnan(liking) or liking is null"), weights=(1,), preference=F.col("liking")).agg(F.sum("taken")).first()[0]
+    assert none == 0
+
+
 # all
 
 
