@@ -187,6 +187,16 @@ def as_of(need: DataFrame, editions: DataFrame, name: str, day: str, edition: st
     return rows.join(ends, [name, "period"], "left").select(name, day, F.coalesce("found", "before").alias(edition))
 
 
+def preferred_files(files: DataFrame, cycle: str, name: str, root: str, roots: list[str], through: str) -> DataFrame:
+    """Of the files (cycle, name, root and others) up to cycle ``through``, one of each cycle and name, in any case of letters: that of the first of ``roots``.
+
+    Files of other roots are left out; of one root's files that differ in case alone the least name counts."""
+    rank = F.array_position(F.array(*map(F.lit, roots)), F.col(root))
+    usable = files.where((F.col(cycle) <= F.lit(through)) & (rank > 0))
+    best = usable.groupBy(cycle, F.lower(name).alias("_name")).agg(F.min_by(F.struct(*[c for c in files.columns if c != cycle]), F.struct(rank, F.col(name))).alias("file"))
+    return best.select(cycle, "file.*")
+
+
 def rule_cascade(left: DataFrame, id_column: str, rules: list[tuple[str, DataFrame, list[str]]]) -> DataFrame:
     """Candidates by the first rule that has any: status matched, ambiguous or unmatched, and the rule.
 

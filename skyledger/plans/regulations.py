@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.storage import shared_folder, written
 from skyledger.operators import aggregates as A
+from skyledger.operators import joins as J
 from skyledger.operators import outline, regulation
 from skyledger.operators import quality as Q
 from skyledger.operators import text as X
@@ -144,3 +145,23 @@ def q_local_targets(t: Tables) -> DataFrame:
     """Where the links of pages lead, below the folder of each page's host."""
     refs = X.links(t.pages, "page_id", "html").join(t.pages.select("page_id", "url"), "page_id")
     return X.local_targets(refs, "url", "ref", "https://").select("page_id", "ref", "target")
+
+
+@query(QUERIES, """WITH p AS (SELECT p_partkey AS page, 'S' || p_size % 5 AS section, unnest(['A' || p_partkey % 300, 'K' || p_size]) AS id FROM part), f AS (SELECT section, id, min(page) AS page FROM p GROUP BY 1, 2)
+SELECT s_suppkey, min(page)::DOUBLE AS page FROM (SELECT s_suppkey, 'S' || s_nationkey % 6 AS section, unnest(['A' || s_suppkey, 'K' || s_nationkey]) AS id FROM supplier) LEFT JOIN f USING (section, id) GROUP BY 1""")
+def q_section_pages(t: Tables) -> DataFrame:
+    """Suppliers' first pages of their section that name one of their identifiers in parentheses."""
+    c, text = F.col, lambda *p: F.concat(*[F.lit(x) if isinstance(x, str) else x.cast("string") for x in p])
+    pages = t.part.select(c("p_partkey").alias("page"), F.array(text("s", c("p_size") % 5, " ", c("p_partkey")), F.lit("12")).alias("labels"), text("Name (a ", c("p_partkey") % 300, "/k", c("p_size"), ") (not: this) A1").alias("text"))
+    targets = t.supplier.select("s_suppkey", text("s", c("s_nationkey") % 6).alias("section"), F.array(text("A", c("s_suppkey")), text("K", c("s_nationkey"))).alias("identifiers"))
+    return X.section_pages(pages, targets, "page", "s_suppkey").select("s_suppkey", c("page").cast("double").alias("page"))
+
+
+@query(QUERIES, """SELECT o_orderdate, name, root, o_orderkey FROM (SELECT o_orderdate, o_orderkey, lower(CASE WHEN o_orderkey % 2 = 0 THEN 'Cs-' ELSE 'cs-' END || o_custkey % 3) AS name, CASE WHEN o_orderstatus = 'F' THEN 'sources' ELSE 'charts' END AS root, CASE WHEN o_orderkey % 2 = 0 THEN 'Cs-' ELSE 'cs-' END || o_custkey % 3 || '-' || lpad(o_orderkey::VARCHAR, 12, '0') AS full_name FROM orders WHERE o_orderstatus <> 'P' AND o_orderdate <= TIMESTAMP '1997-06-01')
+QUALIFY row_number() OVER (PARTITION BY o_orderdate, name ORDER BY root = 'charts', o_orderkey) = 1""")
+def q_preferred_files(t: Tables) -> DataFrame:
+    """One file of each date and name, downloaded sources before older books; others' roots and later dates stay out."""
+    c = F.col
+    rows = t.orders.select("o_orderdate", "o_orderkey", F.concat(F.lit("cs-"), (c("o_custkey") % 3).cast("string")).alias("name"), F.element_at(F.create_map(*map(F.lit, ("F", "sources", "O", "charts", "P", "other"))), c("o_orderstatus")).alias("root"))
+    least = rows.groupBy("o_orderdate", "name", "root").agg(F.min("o_orderkey").alias("o_orderkey"))
+    return J.preferred_files(least, "o_orderdate", "name", "root", ["sources", "charts"], "1997-06-01 00:00:00").select("o_orderdate", "name", "root", "o_orderkey")

@@ -59,16 +59,19 @@ def header_cycle(spark: SparkSession, path: str, expected: str, at: tuple[int, i
     return cycle.where(F.col("cycle") != expected).unionByName(none)
 
 
-CATALOG = """_ID string, city_name array<struct<_ID string, _volume string, airport_name array<struct<_ID string, _apt_ident string, _icao_ident string, _military string,
- record array<struct<chartseq string, chart_code string, chart_name string, pdf_name string, useraction string>>>>>>"""
+# The fields of a catalog record.
+RECORD = ("chartseq", "chart_code", "chart_name", "useraction", "pdf_name", "cn_flg", "cnsection", "cnpage", "bvsection", "bvpage", "procuid", "two_colored", "civil", "faanfd18", "copter", "amdtnum", "amdtdate")
+CATALOG = """_ID string, city_name array<struct<_ID string, _volume string, airport_name array<struct<_ID string, _apt_ident string, _icao_ident string, _military string, record array<map<string,string>>>>>>"""
 
 
 def scan_catalog_xml(spark: SparkSession, path: str) -> DataFrame:
-    """State, city, airport and record of a chart catalog, one row a record."""
+    """State, city, airport and record of a chart catalog, one row a record; ``extra`` holds the fields of a record that are not known ones."""
     states = spark.read.format("xml").option("rowTag", "state_code").schema(CATALOG).load(path)
     cities = states.select(F.col("_ID").alias("state"), F.explode("city_name").alias("c"))
     airports = cities.select("state", F.col("c._ID").alias("city"), F.col("c._volume").alias("volume"), F.explode("c.airport_name").alias("a"))
-    return airports.select("state", "city", "volume", F.col("a._ID").alias("airport"), F.col("a._apt_ident").alias("ident"), F.col("a._icao_ident").alias("icao"), F.explode("a.record").alias("r")).select("*", "r.*").drop("r")
+    rows = airports.select("state", "city", "volume", F.col("a._ID").alias("airport"), F.col("a._apt_ident").alias("ident"), F.col("a._icao_ident").alias("icao"), F.col("a._military").alias("military"), F.explode("a.record").alias("r"))
+    extra = F.transform_values(F.map_filter("r", lambda k, v: ~k.isin(*RECORD)), lambda k, v: F.trim(F.coalesce(v, F.lit(""))))
+    return rows.select("*", *[F.col("r")[f].alias(f) for f in RECORD], extra.alias("extra")).drop("r")
 
 
 def scan_supplement_xml(spark: SparkSession, path: str) -> DataFrame:

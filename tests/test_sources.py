@@ -41,6 +41,12 @@ def test_catalog_xml(spark, tmp_path):
     assert [(r["state"], r["ident"], r["chart_name"]) for r in S.scan_catalog_xml(spark, path).orderBy("chart_name").collect()] == [("AK", "PP", "ILS"), ("AK", "PP", "VOR")]
 
 
+def test_unknown_fields_of_a_record_are_kept(spark, tmp_path):
+    path = put(tmp_path, "c.xml", '<d><state_code ID="AK"><city_name ID="X"><airport_name ID="P" military="N"><record><chart_name>ILS</chart_name><odd a="1"> v </odd><empty/></record><record><procuid>7</procuid></record></airport_name></city_name></state_code></d>')
+    rows = {r["chart_name"]: r for r in S.scan_catalog_xml(spark, path).collect()}
+    assert rows["ILS"]["extra"] == {"odd": "v", "empty": ""} and rows[None]["extra"] == {} and rows[None]["procuid"] == "7" and rows["ILS"]["military"] == "N"
+
+
 def test_supplement_xml(spark, tmp_path):
     path = put(tmp_path, "s.xml", "<airports><location state='A'><airport><aptid>X</aptid><pdf>NE_12_23JAN2020.pdf</pdf></airport><airport><aptid> </aptid><pdf>NE_1_23JAN2020.pdf</pdf></airport></location></airports>")
     row = S.scan_supplement_xml(spark, path).collect()
