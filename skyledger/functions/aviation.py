@@ -27,6 +27,9 @@ SERVICES = (
 # The letter of each approach family with a runway, and the word of each with a circling letter.
 RUNWAY_FAMILIES = (("ILS", "I"), ("LOC BC", "B"), ("LOC/DME BC", "B"), ("LOC", "L"), ("LOC/DME", "L"), ("LDA", "X"), ("LDA/DME", "X"), ("SDF", "U"), ("RNAV (RNP)", "H"), ("RNAV (GPS)", "R"), ("VOR/DME", "D"), ("VOR", "S"), ("NDB/DME", "Q"), ("NDB", "N"), ("GPS", "P"))
 CIRCLING_FAMILIES = (("RNAV (GPS)", "RNV"), ("VOR/DME", "VDM"), ("VOR", "VOR"), ("LOC BC", "LBC"), ("LOC/DME BC", "LOC BC"), ("LOC", "LOC"), ("LOC/DME", "LOC"), ("LDA", "LDA"), ("LDA/DME", "LDA"), ("NDB", "NDB"), ("NDB/DME", "NDM"), ("GPS", "GPS"))
+# What the codes of catalog records stand for, and the sheets of minimums by their sequence.
+CHART_KINDS = (("APD", "airport-diagram"), ("IAP", "approach"), ("DP", "departure"), ("ODP", "departure"), ("STR", "arrival"), ("STAR", "arrival"), ("HOT", "hot-spot"), ("LAH", "lahso"))
+MINIMUMS = ((10100, "takeoff-minimums"), (10110, "diverse-vector-area"), (10200, "alternate-minimums"), (10400, "radar-minimums"))
 # Horizontal accuracy in feet by code 1 to 6, and in metres of code 7.
 ACCURACY_FT, ACCURACY_7_M = (20, 50, 100, 250, 500, 1000), 926.0
 
@@ -47,6 +50,12 @@ def service_reason(use: Column, facility: Column, megahertz: Column) -> Column:
     return F.when(service_type(use, facility).isNull(), "service-outside-airport-projection").when(~usable, "unsupported-frequency")
 
 
+def procedure_kind(code: Column, sequence: Column) -> Column:
+    """Kind of a catalog record by its code, that of minimums by its sequence; ``other`` for all else."""
+    minimums = looked_up(sequence.try_cast("int"), MINIMUMS)
+    return F.coalesce(F.when(code == "MIN", minimums).otherwise(looked_up(code, CHART_KINDS)), F.lit("other"))
+
+
 def looked_up(key: Column, values) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for pair in values for x in pair]), key)
 

@@ -94,6 +94,15 @@ def degree_tiles(boxes: DataFrame, step: float = 1.0) -> DataFrame:
     return wide.select("lon", F.explode(F.sequence(index("south", F.floor), east("north"))).alias("lat")).distinct()
 
 
+def clipped_tiles(boxes: DataFrame, key: str, step: float = 1.0) -> DataFrame:
+    """(key, lon, lat, west, south, east, north): the steps of degrees that each rectangle touches, cut to it."""
+    c = F.col
+    span = lambda a, b: F.explode(F.sequence(F.floor(c(a) / step), F.greatest(F.ceil(c(b) / step) - 1, F.floor(c(a) / step))))
+    at = boxes.withColumn("lon", span("west", "east")).withColumn("lat", span("south", "north"))
+    low = [F.greatest(e, c(k) * step).alias(e) for e, k in (("west", "lon"), ("south", "lat"))]
+    return at.select(key, "lon", "lat", *low, *[F.least(e, (c(k) + 1) * step).alias(e) for e, k in (("east", "lon"), ("north", "lat"))])
+
+
 def median_split(rows: DataFrame, key: str, most: int, rounds: int = 40) -> DataFrame:
     """Adds ``part``: groups over ``most`` rows are halved along the wider axis, ties by key, until none is above.
 

@@ -80,3 +80,41 @@ def resolve_tiles(wanted: DataFrame, sheets: DataFrame, tiles: DataFrame, combin
     parents = held.join(tops.toDF("pz", "px", "py", "layer"), ["pz", "px", "py"]).select("z", "x", "y", "layer")
     layers = shown.unionByName(parents).groupBy("z", "x", "y").agg(F.array_sort(F.collect_list("layer")).alias("layers"))
     return asked.join(layers, ["z", "x", "y"], "left").withColumn("layers", F.coalesce("layers", F.array()))
+
+
+def pyramid(base: DataFrame, top: int, measures: dict[str, Column]) -> DataFrame:
+    """(z, x, y, measures): ``base`` (x, y and the measures' columns) as level ``top`` and all levels above it, to z 0.
+
+    ``measures`` names each column and how it is made of the up to four below it. A level is made of the one below, which
+    is written, so no level is computed twice."""
+    level = base.select("x", "y", *measures)
+    out = level.select(F.lit(top).alias("z"), "*")
+    for z in range(top - 1, -1, -1):
+        level = written(rolled(level, 1, *[m.alias(n) for n, m in measures.items()]), "level")
+        out = out.unionByName(level.select(F.lit(z).alias("z"), "*"))
+    return out
+
+
+def viewport(features: DataFrame, bounds: tuple[float, float, float, float], zoom: int, coarse: int, halo: float) -> DataFrame:
+    """What a view of (west, south, east, north), widened by ``halo`` degrees, shows of ``features`` (id, west, south, east, north).
+
+    From zoom ``coarse`` up a row a feature that touches it: id and its bounds. Below, a row a degree square with the ``n``
+    features whose south-western corners lie there."""
+    w, s, e, n = bounds[0] - halo, bounds[1] - halo, bounds[2] + halo, bounds[3] + halo
+    seen = features.where((F.col("west") <= e) & (F.col("east") >= w) & (F.col("south") <= n) & (F.col("north") >= s))
+    if zoom >= coarse:
+        return seen.select("id", "west", "south", "east", "north")
+    return seen.groupBy(F.floor("west").alias("lon"), F.floor("south").alias("lat")).agg(F.count("*").alias("n"))
+
+
+def region_files(regions: DataFrame, files: DataFrame, key: str, size: float) -> DataFrame:
+    """(key, n_files, bytes) of the files (file, bytes, west, south, east, north) that overlap any rectangle of a region, each once.
+
+    ``regions``: key and ``bounds``, an array of rectangles [west, south, east, north]. A region without files has zeros."""
+    from .joins import bbox_join
+
+    c = F.col
+    boxes = regions.select(key, F.explode("bounds").alias("b")).select(key, *[c("b")[i].alias(e) for i, e in enumerate(("west", "south", "east", "north"))])
+    met = bbox_join(boxes, files, size).select(key, "b_file", "b_bytes").distinct()
+    found = met.groupBy(key).agg(F.count("*").alias("n_files"), F.sum("b_bytes").alias("bytes"))
+    return regions.select(key).join(found, key, "left").na.fill(0, ["n_files", "bytes"])

@@ -8,14 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions import columns as C
+from skyledger.functions.aviation import procedure_kind
 from skyledger.functions.storage import shared_folder
 from skyledger.operators import areas as A
+from skyledger.operators import grid as G
 from skyledger.operators import landing, tiles
 from skyledger.operators.associations import associate
 from skyledger.sources import generations
 from skyledger.streaming import feeds
 
-from .bindings import BOXES, POINTS, boxes, cells, points
+from .bindings import BOXES, CELLS, POINTS, boxes, cells, points
 from .query import Query, Tables, query
 
 QUERIES: list[Query] = []
@@ -164,3 +166,47 @@ def q_edition_stream(t: Tables) -> DataFrame:
     """Editions that a stream has closed: those that end before the watermark, three days behind the newest record."""
     place = f"{shared_folder(t.spark)}/editions-{uuid.uuid4().hex}"
     return feeds.drained(feeds.edition_window(feeds.read_stream(t.spark, t.folder, "events")), place).select("edition", "n")
+
+
+RISE = " UNION ALL ".join(f"SELECT {z} AS z, x // {1 << (7 - z)} AS x, y // {1 << (7 - z)} AS y, min(lo) AS lo, max(hi) AS hi, bit_or(lines)::INT AS lines, count(*)::BIGINT AS n FROM c GROUP BY 2, 3" for z in range(8))
+
+
+@query(QUERIES, f"WITH c AS {CELLS} SELECT z, x, y, lo, hi, lines, n FROM ({RISE})")
+def q_pyramid_measures(t: Tables) -> DataFrame:
+    """Lowest, highest, flags and numbers of cells at all levels."""
+    base = cells(t).withColumns({"n": F.lit(1).cast("long"), "lines": F.col("lines").cast("int")})
+    return tiles.pyramid(base, 7, {"lo": F.min("lo"), "hi": F.max("hi"), "lines": F.bit_or("lines"), "n": F.sum("n")})
+
+
+@query(QUERIES, f"SELECT box AS id, west, south FROM {BOXES} WHERE west <= -59.75 AND east >= -120.25 AND south <= 50.25 AND north >= 19.75")
+def q_viewport_features(t: Tables) -> DataFrame:
+    return tiles.viewport(boxes(t).withColumnRenamed("box", "id"), (-120.0, 20.0, -60.0, 50.0), 9, 8, 0.25).select("id", "west", "south")
+
+
+@query(QUERIES, f"SELECT floor(west)::BIGINT AS lon, floor(south)::BIGINT AS lat, count(*)::BIGINT AS n FROM {BOXES} WHERE west <= -59.75 AND east >= -120.25 AND south <= 50.25 AND north >= 19.75 GROUP BY 1, 2")
+def q_viewport_squares(t: Tables) -> DataFrame:
+    return tiles.viewport(boxes(t).withColumnRenamed("box", "id"), (-120.0, 20.0, -60.0, 50.0), 7, 8, 0.25)
+
+
+@query(QUERIES, f"""WITH r AS (SELECT box AS region, west, south, east, north FROM {BOXES} WHERE size > 40 UNION ALL SELECT box, west + 1, south - 1, east + 3, north + 1 FROM {BOXES} WHERE size > 40), m AS (SELECT DISTINCT region, b.box, b.size FROM r JOIN {BOXES} b ON r.west < b.east AND r.east > b.west AND r.south < b.north AND r.north > b.south)
+SELECT s.box AS region, count(m.box)::BIGINT AS n_files, coalesce(sum(m.size * 1000), 0)::BIGINT AS bytes FROM {BOXES} s LEFT JOIN m ON m.region = s.box WHERE s.size > 40 GROUP BY 1""")
+def q_region_files(t: Tables) -> DataFrame:
+    """Files of regions of two rectangles that overlap each other, each file once."""
+    c, b = F.col, boxes(t)
+    regions = b.where("size > 40").select(c("box").alias("region"), F.array(F.array("west", "south", "east", "north"), F.array(c("west") + 1, c("south") - 1, c("east") + 3, c("north") + 1)).alias("bounds"))
+    files = b.select(c("box").alias("file"), (c("size") * 1000).cast("long").alias("bytes"), "west", "south", "east", "north")
+    return tiles.region_files(regions, files, "region", 5.0)
+
+
+@query(QUERIES, f"SELECT box, lon::BIGINT AS lon, lat::BIGINT AS lat, greatest(west, lon)::DOUBLE AS west, greatest(south, lat)::DOUBLE AS south, least(east, lon + 1)::DOUBLE AS east, least(north, lat + 1)::DOUBLE AS north FROM {BOXES}, range(floor(west)::INT, greatest(ceil(east)::INT - 1, floor(west)::INT) + 1) a(lon), range(floor(south)::INT, greatest(ceil(north)::INT - 1, floor(south)::INT) + 1) b(lat)")
+def q_clipped_tiles(t: Tables) -> DataFrame:
+    return G.clipped_tiles(boxes(t), "box")
+
+
+KINDS = (("APD", "1", "airport-diagram"), ("IAP", None, "approach"), ("DP", "", "departure"), ("ODP", "x", "departure"), ("STR", "2", "arrival"), ("STAR", "2", "arrival"), ("HOT", "2", "hot-spot"), ("LAH", "2", "lahso"), ("MIN", "10100", "takeoff-minimums"), ("MIN", "10110", "diverse-vector-area"), ("MIN", "10200", "alternate-minimums"), ("MIN", "10400", "radar-minimums"), ("MIN", "10500", "other"), ("MIN", "no number", "other"), ("XYZ", "10100", "other"), (None, "10100", "other"))
+
+
+@query(QUERIES, f"SELECT p_partkey, [{', '.join(repr(k[2]) for k in KINDS)}][p_partkey % {len(KINDS)} + 1] AS kind FROM part")
+def q_procedure_kinds(t: Tables) -> DataFrame:
+    picked = lambda k: F.element_at(F.array(*[F.lit(x[k]) for x in KINDS]), (F.col("p_partkey") % len(KINDS) + 1).cast("int"))
+    return t.part.select("p_partkey", procedure_kind(picked(0), picked(1)).alias("kind"))

@@ -31,6 +31,19 @@ def test_query_matches_sql(spark, duck, name):
     assert rows(found.columns, [tuple(r) for r in found.collect()]) == rows(want.columns, want.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(registry.oracle_sql())))
-def test_query_runs(spark, name):
+#: Queries over all keys of a table, some of which are too large at the smallest scale to show.
+LARGE_KEYS = ("q_coded_numbers", "q_approach_idents", "q_associations", "q_section_heads", "q_region_faults", "q_procedure_kinds")
+
+
+@pytest.mark.parametrize("name", LARGE_KEYS)
+def test_query_matches_sql_on_larger_tables(spark, name):
+    folder, con = FOLDER.replace("0.001", "0.01"), duckdb.connect()
+    for t in TABLES.split():
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
+    found, want = registry.queries()[name](spark, folder), con.sql(registry.oracle_sql()[name])
+    assert rows(found.columns, [tuple(r) for r in found.collect()]) == rows(want.columns, want.fetchall())
+
+
+@pytest.mark.parametrize("name", ["q_landing_areas", "q_outline_levels", "q_local_targets"])
+def test_queries_whose_operators_are_tested_elsewhere_run(spark, name):
     assert registry.queries()[name](spark, FOLDER).count() > 0
