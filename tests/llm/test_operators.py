@@ -325,15 +325,17 @@ def test_license_base_phrases_match_brute_force(docs, spark):
 
 def slow_labels(text, idf):
     """Templates that stand at some start by definition, every start of every template tried."""
-    w, out, best = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text)), set(), 0.0
+    w, out, best = license.parts_of(lower(text)), set(), 0.0
     for label, body, phrase in license.TEMPLATES:
-        parts, need = body.split(), phrase.split()
+        parts, need = license.parts_of(body), phrase.split()
         first = next(i for i in range(len(parts)) if parts[i : i + len(need)] == need)
-        rare = set(sorted(set(parts), key=lambda x: (-idf[x], x))[: license.RARE])
-        for start in range(-len(parts), len(w)):
+        rare = set(sorted(set(parts) & set(w), key=lambda x: (-idf[x], x))[: license.RARE])
+        for start in range(-first, len(w)):
+            if w[start + first : start + first + len(need)] != need:
+                continue
             here = [k for k, x in enumerate(parts) if 0 <= start + k < len(w) and w[start + k] == x]
             share = sum(idf[parts[k]] for k in here) / sum(idf[x] for x in parts)
-            if sum(parts[k] in rare for k in here) >= license.AGREE and share >= license.COVER and all(k in here for k in range(first, first + len(need))):
+            if sum(parts[k] in rare for k in here) >= license.AGREE and share >= license.COVER:
                 out.add(label)
                 best = max(best, share)
     return out, best
@@ -343,10 +345,11 @@ def test_license_labels_match_brute_force(docs, spark):
     rng, rows = random.Random(6), []
     for i, (_, body, _) in enumerate(license.TEMPLATES):
         for j in range(3):
-            w = body.split()
+            w = license.parts_of(body)
             for _ in range(j * 2):
                 w[rng.randrange(len(w))] = rng.choice(["other", "the", "license"])
             rows.append((10_000 + 10 * i + j, "so it is, " + " ".join(w[: len(w) - j]) + " and more"))
+            rows.append((20_000 + 10 * i + j, " ".join(w[j * len(w) // 5 :]) + " " + " ".join(w)))
     df = docs.select("doc_id", "text").limit(40).unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
     idf = license.word_idf(license.with_words(df))
     found = {r["doc_id"]: r for r in license.license_scan(df).collect()}
@@ -358,6 +361,27 @@ def test_license_labels_match_brute_force(docs, spark):
         assert got["score"] == pytest.approx(1.0 if base else best, abs=1e-6)
 
 
+def test_license_idf_counts_documents(spark):
+    df = spark.createDataFrame([(1, "the license"), (2, "The"), (3, None), (3, "sublicense sublicense")], "doc_id long, text string")
+    idf = license.word_idf(license.with_words(df))
+    assert [idf[w] for w in ("the", "sublicense", "merge")] == pytest.approx([math.log(5 / 2.5), math.log(5 / 1.5), math.log(5 / 0.5)])
+
+
+def test_whole_licences_are_found_as_files_hold_them(spark):
+    whole = {label: text for label, text, _ in license.WHOLE}
+    lines = lambda text, mark: "".join(mark + " ".join(text.split()[i : i + 11]) + "\n" for i in range(0, len(text.split()), 11))
+    rows = [(1, "Copyright (c) 2020 A. Person\n\n" + lines(whole["mit"], "")), (2, "/*\n" + lines(whole["gpl-2"], " * ") + " */\nint main() {}"), (3, lines(whole["unlicense"], "// ").upper())]
+    # the five words that are rarest of all are changed one by one; the file's own rarest words are looked up
+    idf = license.word_idf(license.with_words(spark.createDataFrame(rows, "doc_id long, text string")))
+    gone = sorted(set(license.parts_of(whole["zlib"])), key=lambda w: (-idf[w], w))
+    lost = [w for w in gone if w not in "must be plainly marked as such"][: license.RARE]
+    rows += [(4, " ".join("xx" if w in lost else w for w in license.parts_of(whole["zlib"]))), (5, "sublicense merchantability noninfringement tort " * 50), (6, " ".join(license.parts_of(whole["mit"])[:20])), (7, lines(whole["bsd-3"], "# "))]
+    rows += [(8, "filler text " * 30_000 + whole["isc"] + " filler" * 30_000), (9, "mit license " * 20_000)]
+    got = {r["doc_id"]: r for r in license.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i]["labels"] for i in range(1, 10)] == ["mit", "gpl,gpl-2", "unlicense", "zlib", "", "mit", "bsd,bsd-3", "isc", "mit"]
+    assert got[9]["n_base"] == 20_000 and got[8]["n_words"] == 90_000 + len(license.parts_of(whole["isc"])) and got[1]["score"] == pytest.approx(1, abs=1e-6)
+
+
 # 7 and 8: classifiers
 
 
