@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 EARTH_RADIUS_M = 6371008.8
 AIRAC_EPOCH = "2020-01-02"
+MAJOR_EPOCH = "2026-09-03"  # fixed value: a day on which a 56-day edition begins; every other 28-day edition does
 
 
 def present(c: Column) -> Column:
@@ -78,8 +79,8 @@ def airac_start(day: Column) -> Column:
 
 def major_start(day: Column) -> Column:
     """First day of the 56-day edition that holds a date."""
-    since = F.datediff(day, F.lit(AIRAC_EPOCH).cast("date"))
-    return F.date_add(F.lit(AIRAC_EPOCH).cast("date"), (F.floor(since / 56) * 56).cast("int"))
+    since = F.datediff(day, F.lit(MAJOR_EPOCH).cast("date"))
+    return F.date_add(F.lit(MAJOR_EPOCH).cast("date"), (F.floor(since / 56) * 56).cast("int"))
 
 
 def airac_cycle(day: Column) -> Column:

@@ -118,3 +118,20 @@ def region_files(regions: DataFrame, files: DataFrame, key: str, size: float) ->
     met = bbox_join(boxes, files, size).select(key, "b_file", "b_bytes").distinct()
     found = met.groupBy(key).agg(F.count("*").alias("n_files"), F.sum("b_bytes").alias("bytes"))
     return regions.select(key).join(found, key, "left").na.fill(0, ["n_files", "bytes"])
+
+
+def possible_chunks(chunks: DataFrame, key: str, cells: DataFrame, roles: list[Column], halo: int = 2) -> DataFrame:
+    """Keys of chunks, the ranges of cells (``x0``..``x1``, ``y0``..``y1``), that may hold something: each of ``roles``, a condition over
+    ``cells`` (``x``, ``y``), is true in some cell of the chunk or ``halo`` cells around it, not always the same one.
+
+    A rejection is final and a chunk that stays is only possible. The cells of all sources may repeat: what they say is or-ed, and
+    cells without any role go, before chunks are spread over the cells of their ranges, which are as many as a chunk is large. A null
+    condition is false; a chunk without cells goes.
+    """
+    bits = F.lit(0)
+    for i, role in enumerate(roles):
+        bits = bits.bitwiseOR(F.when(role, F.lit(1 << i)).otherwise(F.lit(0)))
+    known = cells.select("x", "y", bits.alias("bits")).where("bits > 0").groupBy("x", "y").agg(F.bit_or("bits").alias("bits"))
+    around = chunks.select(key, F.explode(F.sequence(F.col("x0") - halo, F.col("x1") + halo)).alias("x"), "y0", "y1").select(key, "x", F.explode(F.sequence(F.col("y0") - halo, F.col("y1") + halo)).alias("y"))
+    found = around.join(known, ["x", "y"]).groupBy(key).agg(F.bit_or("bits").alias("bits"))
+    return found.where(F.col("bits") == (1 << len(roles)) - 1).select(key)

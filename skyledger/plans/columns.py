@@ -99,7 +99,7 @@ def q_airac(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", C.airac_cycle(F.to_date("o_orderdate")).alias("cycle"), start.cast("string").alias("effective"), F.date_add(start, 28).cast("string").alias("expires"))
 
 
-@query(QUERIES, f"SELECT o_orderkey, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN {START.format(n=56)} ELSE {START.format(n=28)} END::DATE::VARCHAR AS effective FROM (SELECT o_orderkey, o_orderpriority, o_orderdate::DATE AS d FROM orders)")
+@query(QUERIES, f"SELECT o_orderkey, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN {START.format(n=56).replace('2020-01-02', '2026-09-03')} ELSE {START.format(n=28)} END::DATE::VARCHAR AS effective FROM (SELECT o_orderkey, o_orderpriority, o_orderdate::DATE AS d FROM orders)")
 def q_major_cycle(t: Tables) -> DataFrame:
     day = F.to_date("o_orderdate")
     return t.orders.select("o_orderkey", F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), C.major_start(day)).otherwise(C.airac_start(day)).cast("string").alias("effective"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("history", "columns", "relations", "spatial", "texts", "feeds", "areas", "regulations")
+MODULES = ("history", "columns", "relations", "spatial", "texts", "feeds", "areas", "regulations", "editions")
 
 
 def _all():

@@ -32,7 +32,7 @@ def test_query_matches_sql(spark, duck, name):
 
 
 #: Queries over all keys of a table, some of which are too large at the smallest scale to show.
-LARGE_KEYS = ("q_coded_numbers", "q_approach_idents", "q_associations", "q_section_heads", "q_region_faults", "q_procedure_kinds")
+LARGE_KEYS = ("q_coded_numbers", "q_approach_idents", "q_associations", "q_section_heads", "q_region_faults", "q_procedure_kinds", "q_effective_periods", "q_group_editions", "q_edition_agreement", "q_complete_cycles", "q_printed_pages", "q_chunk_roles")
 
 
 @pytest.mark.parametrize("name", LARGE_KEYS)
