@@ -15,6 +15,7 @@ BASE = (("mit license", "mit"), ("apache license version 2", "apache-2"), ("cc b
 #: Passages of licences that the method finds: label, words in order, the phrase in them that must stand.
 PASSAGES = (
     ("mit", "released under the mit license", "mit license"),
+    ("mit", "mit license", "mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "permission is hereby granted free of charge"),
     ("apache-2", "licensed under the apache license version 2 0", "apache license"),
     ("cc-by-nc", "licensed under cc by nc 4 0", "cc by nc"),
@@ -167,8 +168,8 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, base=BASE, rare: int = RA
 
     All work is inside the row, so nothing is shuffled but the document frequencies; it is linear in the words of the
     text. Null, empty and wordless texts give no words, null first_word and last_word, empty labels and score 0.
-    score is 1 with a base phrase, else the best cover. Null or repeated ids and repeated rows pass through as rows;
-    other columns are ignored. An empty table gives an empty result.
+    score is 1 with a base phrase, else the best cover, 1 at most however its sums round. Null or repeated ids and
+    repeated rows pass through as rows; other columns are ignored. An empty table gives an empty result.
     """
     words = with_words(docs)
     index = posted(templates, word_idf(words, templates))
@@ -205,5 +206,5 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, base=BASE, rare: int = RA
         F.array_max(starts).cast("long").alias("last_word"),
         F.array_join(F.array_sort(labels), ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union(labels, F.transform("found", lambda c: c["label"]))), ",").alias("labels"),
-        F.when(F.size("places") > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max(F.transform("found", lambda c: c["cover"])), F.lit(0.0))).alias("score"),
+        F.when(F.size("places") > 0, F.lit(1.0)).otherwise(F.least(F.coalesce(F.array_max(F.transform("found", lambda c: c["cover"])), F.lit(0.0)), F.lit(1.0))).alias("score"),
     )

@@ -20,6 +20,8 @@ from .trie import conversation_trie
 from .whitening import whiten
 
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
+#: The phrases that op6's contract names; the operator's own take a bare mention of the MIT licence too.
+LICENSE_BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
 
 
 def op1_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +45,7 @@ def op5_placement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_license(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan(table(spark, sf_dir, "documents"))
+    return license_scan(table(spark, sf_dir, "documents"), base=LICENSE_BASE)
 
 
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

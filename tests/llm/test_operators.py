@@ -382,6 +382,29 @@ def test_whole_licences_are_found_as_files_hold_them(spark):
     assert got[9]["n_base"] == 20_000 and got[8]["n_words"] == 90_000 + len(license.parts_of(whole["isc"])) and got[1]["score"] == pytest.approx(1, abs=1e-6)
 
 
+def test_license_query_takes_the_phrases_of_its_contract(spark, tmp_path):
+    phrases = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
+    rng = random.Random(7)
+    texts = [None, "", "MIT License", "the MIT License", "Released under the MIT License.", "UNDER_the\x00mit\x7flicense", "under the mit licenses", "under the m\u0130t license", "under the under the mit license", "\u00fcnder the mit license under the mit\u0085license"]
+    texts += ["under the mit license " * 300 + "mit license", "Apache License, Version 2.0; apache license version 20", "CC-BY-NC cc by nc4", "\U0001f600under the mit license"]
+    texts += ["".join(rng.choice("under the The mit MIT license apache version 2 cc by nc".split()) + rng.choice(" -_\n\x00\x7f") for _ in range(60)) for _ in range(40)]
+    texts += [body for _, body, _ in license.TEMPLATES]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r for r in queries.op6_license(spark, str(tmp_path)).collect()}
+    assert len(found) == len(rows)
+    for i, t in rows:
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t))
+        places = [(k, label) for phrase, label in phrases for k in range(len(w)) if w[k : k + len(phrase.split())] == phrase.split()]
+        starts, labels = [k for k, _ in places], {label for _, label in places}
+        got = found[i]
+        assert (got["n_words"], got["n_base"], got["base_labels"]) == (len(w), len(places), ",".join(sorted(labels))), t
+        assert (got["first_word"], got["last_word"]) == ((min(starts), max(starts)) if starts else (None, None)), t
+        assert labels <= set(got["labels"].split(",")) | {""} and 0 <= got["score"] <= 1, t
+        assert (got["labels"] == "") == (got["score"] == 0), t
+    assert (found[2]["base_labels"], found[2]["labels"]) == ("", "mit") and found[2]["score"] == pytest.approx(1)
+
+
 # 7 and 8: classifiers
 
 
