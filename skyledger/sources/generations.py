@@ -40,7 +40,9 @@ def bounded_parts(rows: DataFrame, keys: list[str], order: list[str], size: Colu
     placed = sliced.withColumns({"_ib": upto(small), "_in": upto(one), "_ig": upto(1 - one)}).join(before, [*keys, "_slice"])
     steps = (F.floor((c("_b") + c("_ib")) / half), F.floor((c("_n") + c("_in")) / most_rows))
     part = F.when(c("_big"), F.concat(F.lit("g"), c("_g") + c("_ig"))).otherwise(F.concat_ws("-", *[s.cast("string") for s in steps]))
-    return placed.withColumn("part", part).drop("_size", "_big", "_slice", "_b", "_n", "_g", "_ib", "_in", "_ig")
+    out = placed.withColumn("part", part).drop("_size", "_big", "_slice", "_b", "_n", "_g", "_ib", "_in", "_ig")
+    out.sliced = sliced  # to be forgotten once ``out`` is written
+    return out
 
 
 def manifest_of(spark: SparkSession, root: str, name: str) -> dict | None:
@@ -74,7 +76,8 @@ def publish_parts(rows: DataFrame, root: str, name: str, key: list[str], order:
 
     A row is reused if the last generation has its kind, z and key with the same fingerprint of ``content``. A part all
     of whose rows are reused stays as it is; rows of other parts are written anew with those that are new, in parts of
-    bounded size. The generation is a list of parts; one rename of the manifest commits it, and a run that stops before
+    bounded size. A part is the rows that share its name, which lie together in one file, many parts to a file: files are as
+    many as tasks, however small the parts. The generation is a list of parts; one rename of the manifest commits it, and a run that stops before
     leaves the last generation whole. Keys are unique within kind and z; a repeated one fails, and so does a null. Returns counts: rows,
     reused_rows (in kept parts), written_rows, parts."""
     spark, gen = rows.sparkSession, f"g{uuid.uuid4().hex}"
@@ -91,11 +94,12 @@ def publish_parts(rows: DataFrame, root: str, name: str, key: list[str], order:
         fresh = new.join(old.join(keep, ["gen", *ROW, "part"], "left_semi").select(*ROW, *key), [*ROW, *key], "left_anti")
     else:
         fresh = new
-    cut = bounded_parts(fresh, list(ROW), order, size, most_bytes, most_rows).withColumn("gen", F.lit(gen))
-    cut = written(cut, "cut")
+    placed = bounded_parts(fresh, list(ROW), order, size, most_bytes, most_rows)
+    cut = written(placed.withColumn("gen", F.lit(gen)), "cut")
+    forget(placed.sliced)
     total = cut.count()
-    # rows of a part go to one task and so into one file
-    cut.repartition(*ROW, "part").write.partitionBy("gen", *ROW, "part").mode("append").parquet(f"{root}/{name}/rows")
+    # rows of a part go to one task and so into one file, next to each other
+    cut.repartition(*ROW, "part").sortWithinPartitions(*ROW, "part", *order).write.partitionBy("gen").mode("append").parquet(f"{root}/{name}/rows")
     parts = cut.groupBy("gen", *ROW, "part").agg(F.count("*").alias("rows"), F.sum(size).alias("bytes"))
     if keep is not None:
         parts = parts.unionByName(keep.select(parts.columns))

@@ -52,6 +52,15 @@ def test_parts_hold_both_limits_and_generations_reuse_them(spark, tmp_path):
         publish(spark, root, [(None, 1, 1, "x")])
 
 
+def test_many_small_parts_share_few_files(spark, tmp_path):
+    root, data = f"file://{tmp_path}", rows(900)
+    made = publish(spark, root, data, most_rows=3)
+    files = list(tmp_path.rglob("rows/**/*.parquet"))
+    assert made["n_parts"] > 300 and len(files) <= 8
+    held = spark.read.parquet(f"{root}/t/rows").select("kind", "z", "part", F.input_file_name().alias("file"))
+    assert held.groupBy("kind", "z", "part").agg(F.count_distinct("file").alias("n")).where("n > 1").isEmpty()
+
+
 def test_a_run_that_stops_before_its_manifest_changes_nothing(spark, tmp_path, monkeypatch):
     root, data = f"file://{tmp_path}", rows(30)
     publish(spark, root, data)
