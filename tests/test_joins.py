@@ -2,6 +2,7 @@ import math
 from datetime import datetime
 
 from skyledger.operators import joins as J
+from skyledger.operators.areas import points_in_areas, segment_join
 from skyledger.operators.text import fuzzy_terms
 
 
@@ -39,6 +40,17 @@ def test_fuzzy_terms_against_all_pairs(spark):
     assert sorted(map(tuple, found.collect())) == sorted(want) and ("runway", "unway") in want
 
 
+def test_bins_are_never_sent_out_whole(spark):
+    boxes = spark.range(3).selectExpr("id as box", "id * 1.0D as west", "0.0D as south", "id + 40.0D as east", "30.0D as north", "1.5D as radius", "array(named_struct('x1', 0.0D, 'y1', 0.0D, 'x2', 5.0D, 'y2', 5.0D), named_struct('x1', 5.0D, 'y1', 5.0D, 'x2', 5.0D, 'y2', 0.0D), named_struct('x1', 5.0D, 'y1', 0.0D, 'x2', 0.0D, 'y2', 0.0D)) as edges")
+    points = spark.range(4).selectExpr("id", "id * 1.0D as lon", "1.0D as lat")
+    lines = boxes.selectExpr("box", "west as x1", "south as y1", "east as x2", "north as y2", "radius")
+    for found in (
+        J.points_in_boxes(points, boxes, 1.0), J.points_in_polygons(points, boxes, 1.0), J.bbox_join(boxes, boxes, 1.0), segment_join(points, lines, 1.0), points_in_areas(points, boxes, "box", 1.0),
+        J.distance_join(points, boxes.selectExpr("box", "west as b_lon", "south as b_lat", "radius"), 1.0),
+    ):
+        assert "Broadcast" not in found._jdf.queryExecution().sparkPlan().toString()
+
+
 def test_nearest_halves_bins_in_crowds(spark):
     places = spark.range(4000).selectExpr("id % 64 / 64.0D as lon", "id div 64 / 64.0D as lat")
     k = J.halvings(places, 4.0)
