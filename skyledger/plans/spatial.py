@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.functions import columns as C
-from skyledger.functions.storage import checkpointed
 from skyledger.operators import grid as G
 from skyledger.operators import joins as J
 from skyledger.operators.tiles import quad_blocks
 from skyledger.operators import text as X
-from skyledger.operators.graph import connected_components
+from skyledger.operators.graph import connected_components, reachable
 
 from .bindings import BOXES, CELLS, POINTS, boxes, cells, points
 from .query import Query, Tables, query
@@ -136,15 +135,10 @@ def q_single_link(t: Tables) -> DataFrame:
 
 @query(QUERIES, "WITH RECURSIVE n AS (SELECT count(*) AS n FROM pages), l AS (SELECT page_id, (page_id * 7 + 1) % n AS a, (page_id * page_id + 3) % n AS b FROM pages, n), s AS (SELECT 0::BIGINT AS page_id UNION SELECT unnest([a, b]) FROM s JOIN l USING (page_id)) SELECT page_id FROM s")
 def q_crawl_closure(t: Tables) -> DataFrame:
-    """Pages reached from page 0: a frontier loop, each page expanded once."""
+    """Pages reached from page 0: each page expanded once, long chains at a time."""
     n = t.pages.count()
     links = t.pages.select("page_id", F.explode(F.array((F.col("page_id") * 7 + 1) % n, (F.col("page_id") * F.col("page_id") + 3) % n)).alias("to"))
-    seen = front = t.spark.range(1).select(F.col("id").alias("page_id"))
-    while True:
-        front = checkpointed(links.join(front, "page_id").select(F.col("to").alias("page_id")).distinct().join(seen, "page_id", "left_anti"))
-        if front.isEmpty():
-            return seen
-        seen = checkpointed(seen.unionByName(front))
+    return reachable(links.select(F.col("page_id").alias("src"), F.col("to").alias("dst")), t.spark.range(1).select(F.col("id").alias("node"))).select(F.col("node").alias("page_id"))
 
 
 @query(QUERIES, "SELECT p_partkey, round(degrees(atan(sinh(pi() * (1 - 2 * (p_partkey % 64) / 64.0)))), 9) AS north, (p_partkey % 64) / 64.0 * 360 - 180 AS west FROM part")

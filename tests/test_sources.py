@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from skyledger.operators import graph
 from skyledger.operators.graph import connected_components
 from skyledger.operators.grid import label_components
 from skyledger.sources import readers as S
@@ -86,3 +87,12 @@ def test_cell_components_corner_contact_and_snake(spark):
     cells = spark.createDataFrame([*snake, (40, 40), (41, 41)], "x int, y int")
     assert label_components(cells, 64).select("label").distinct().count() == 3
     assert label_components(cells, 64, diagonal=True).select("label").distinct().count() == 2
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    rows, made = graph.written, []
+    monkeypatch.setattr(graph, "written", lambda df, name: made.append(name) or rows(df, name))
+    links = [(i, i + 1) for i in range(300)] + [(0, 0), (300, 0), (150, 900), (900, 901), (901, 150), (901, 950), (7, None), (2000, 3)]
+    found = graph.reachable(spark.createDataFrame(links, "src int, dst int"), spark.createDataFrame([(0,), (5000,)], "node int"))
+    assert sorted(r[0] for r in found.collect()) == [*range(301), 900, 901, 950, 5000]
+    assert made.count("front") < 40
