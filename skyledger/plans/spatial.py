@@ -10,7 +10,7 @@ from skyledger.operators import grid as G
 from skyledger.operators import joins as J
 from skyledger.operators.tiles import quad_blocks
 from skyledger.operators import text as X
-from skyledger.operators.graph import connected_components, reachable
+from skyledger.operators.graph import reachable
 
 from .bindings import BOXES, CELLS, POINTS, boxes, cells, points
 from .query import Query, Tables, query
@@ -128,9 +128,7 @@ def q_long_components(t: Tables) -> DataFrame:
 @query(QUERIES)
 def q_single_link(t: Tables) -> DataFrame:
     """Groups of all points that steps of half a degree connect; in SQL a quadratic self join, so tested by brute force."""
-    p = points(t).select("id", "lon", "lat")
-    close = J.distance_join(p, p.select(F.col("id").alias("b"), F.col("lon").alias("b_lon"), F.col("lat").alias("b_lat"), F.lit(0.5).alias("radius")), 1.0)
-    return connected_components(close, "id", "b").select(F.col("node").alias("id"), F.col("component").alias("root"))
+    return J.linked_within(points(t).select("id", "lon", "lat"), "id", 0.5).select(F.col("node").alias("id"), F.col("component").alias("root"))
 
 
 @query(QUERIES, "WITH RECURSIVE n AS (SELECT count(*) AS n FROM pages), l AS (SELECT page_id, (page_id * 7 + 1) % n AS a, (page_id * page_id + 3) % n AS b FROM pages, n), s AS (SELECT 0::BIGINT AS page_id UNION SELECT unnest([a, b]) FROM s JOIN l USING (page_id)) SELECT page_id FROM s")

@@ -60,3 +60,31 @@ def test_nearest_halves_bins_in_crowds(spark):
     want = {i: min(math.hypot(x - u, y - v) for u, v in at) for i, x, y in ((1, 0.3, 0.3), (2, 0.5, 0.5), (3, -90.0, 20.0))}
     found = {r["id"]: r["distance"] for r in J.nearest(samples, places.union(places), "id", 4.0).collect()}
     assert found.keys() == want.keys() and all(math.isclose(found[i], want[i], abs_tol=1e-12) for i in want)
+
+
+def test_linked_within_makes_no_pairs_in_a_crowd(spark, monkeypatch):
+    import random
+
+    rng, rows, sizes = random.Random(3), J.written, {}
+
+    def written(df, name, **options):
+        out = rows(df, name, **options)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(J, "written", written)
+    points = [(i, rng.random() * 0.3, rng.random() * 0.3) for i in range(1, 1500)] + [(i, rng.random() * 9, rng.random() * 9) for i in range(1500, 1650)] + [(0, 20.0, 20.0), (5000, 20.3, 20.4), (5001, 20.3, 20.9), (5002, None, 1.0)]
+    root = {i: i for i, x, _ in points if x is not None}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, x, y in points:
+        for b, u, v in points:
+            if a < b and None not in (x, u) and math.hypot(x - u, y - v) <= 0.5:
+                p, q = find(a), find(b)
+                root[max(p, q)] = min(p, q)
+    found = {r["node"]: r["component"] for r in J.linked_within(spark.createDataFrame(points, "id int, lon double, lat double"), "id", 0.5).collect()}
+    assert found == {i: find(i) for i in root} and sizes["pairs"] < 1500
