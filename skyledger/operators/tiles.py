@@ -114,8 +114,12 @@ def region_files(regions: DataFrame, files: DataFrame, key: str, size: float) ->
     from .joins import bbox_join
 
     c = F.col
-    boxes = regions.select(key, F.explode("bounds").alias("b")).select(key, *[c("b")[i].alias(e) for i, e in enumerate(("west", "south", "east", "north"))])
-    met = bbox_join(boxes, files, size).select(key, "b_file", "b_bytes").distinct()
+    boxes = regions.select(key, "bounds", F.posexplode("bounds").alias("nth", "b")).select(key, "bounds", "nth", *[c("b")[i].alias(e) for i, e in enumerate(("west", "south", "east", "north"))])
+    hit = lambda b: (b[0] < c("b_east")) & (b[2] > c("b_west")) & (b[1] < c("b_north")) & (b[3] > c("b_south"))
+    # a file counts at the first rectangle of a region that it overlaps: no pair is made distinct
+    met = bbox_join(boxes, files, size).where(~F.exists(F.slice("bounds", F.lit(1), c("nth")), hit)).select(key, "b_file", "b_bytes")
+    if not all(df.groupBy(k).count().where("count > 1").isEmpty() for df, k in ((regions, key), (files, "file"))):
+        met = met.distinct()  # a file or a region that stands in several rows
     found = met.groupBy(key).agg(F.count("*").alias("n_files"), F.sum("b_bytes").alias("bytes"))
     return regions.select(key).join(found, key, "left").na.fill(0, ["n_files", "bytes"])
 

@@ -2,6 +2,7 @@ import math
 from datetime import datetime
 
 from skyledger.operators import joins as J
+from skyledger.operators import tiles
 from skyledger.operators.areas import points_in_areas, segment_join
 from skyledger.operators.text import fuzzy_terms
 
@@ -88,3 +89,12 @@ def test_linked_within_makes_no_pairs_in_a_crowd(spark, monkeypatch):
                 root[max(p, q)] = min(p, q)
     found = {r["node"]: r["component"] for r in J.linked_within(spark.createDataFrame(points, "id int, lon double, lat double"), "id", 0.5).collect()}
     assert found == {i: find(i) for i in root} and sizes["pairs"] < 1500
+
+
+def test_region_files_counts_a_file_once_without_distinct_pairs(spark):
+    regions = spark.createDataFrame([(1, [[0.0, 0.0, 4.0, 4.0], [3.0, 3.0, 6.0, 6.0], [0.0, 0.0, 4.0, 4.0]]), (2, [[50.0, 50.0, 51.0, 51.0]]), (3, [])], "region int, bounds array<array<double>>")
+    files = spark.createDataFrame([(7, 10, 3.5, 3.5, 3.8, 3.8), (8, 100, 5.0, 5.0, 5.5, 5.5), (9, 1000, 9.0, 9.0, 9.5, 9.5)], "file int, bytes long, west double, south double, east double, north double")
+    found = tiles.region_files(regions, files, "region", 1.0)
+    assert {tuple(r) for r in found.collect()} == {(1, 2, 110), (2, 0, 0), (3, 0, 0)}
+    assert {tuple(r) for r in tiles.region_files(regions.union(regions), files.union(files), "region", 1.0).distinct().collect()} == {(1, 2, 110), (2, 0, 0), (3, 0, 0)}
+    assert "Distinct" not in found._jdf.queryExecution().analyzed().toString()
