@@ -137,5 +137,7 @@ def possible_chunks(chunks: DataFrame, key: str, cells: DataFrame, roles: list[C
         bits = bits.bitwiseOR(F.when(role, F.lit(1 << i)).otherwise(F.lit(0)))
     known = cells.select("x", "y", bits.alias("bits")).where("bits > 0").groupBy("x", "y").agg(F.bit_or("bits").alias("bits"))
     around = chunks.select(key, F.explode(F.sequence(F.col("x0") - halo, F.col("x1") + halo)).alias("x"), "y0", "y1").select(key, "x", F.explode(F.sequence(F.col("y0") - halo, F.col("y1") + halo)).alias("y"))
-    found = around.join(known, ["x", "y"]).groupBy(key).agg(F.bit_or("bits").alias("bits"))
+    from .joins import dealt
+
+    found = dealt(around).join(known, ["x", "y"]).groupBy(key).agg(F.bit_or("bits").alias("bits"))
     return found.where(F.col("bits") == (1 << len(roles)) - 1).select(key)

@@ -1,6 +1,8 @@
 import math
 from datetime import datetime
 
+from pyspark.sql import functions as F
+
 from skyledger.operators import joins as J
 from skyledger.operators import tiles
 from skyledger.operators.areas import points_in_areas, segment_join
@@ -98,3 +100,9 @@ def test_region_files_counts_a_file_once_without_distinct_pairs(spark):
     assert {tuple(r) for r in found.collect()} == {(1, 2, 110), (2, 0, 0), (3, 0, 0)}
     assert {tuple(r) for r in tiles.region_files(regions.union(regions), files.union(files), "region", 1.0).distinct().collect()} == {(1, 2, 110), (2, 0, 0), (3, 0, 0)}
     assert "Distinct" not in found._jdf.queryExecution().analyzed().toString()
+
+
+def test_chunks_are_never_sent_out_whole(spark):
+    chunks = spark.range(3).selectExpr("id as k", "id as x0", "id as y0", "id + 1 as x1", "id + 1 as y1")
+    found = tiles.possible_chunks(chunks, "k", spark.range(4).selectExpr("id as x", "id as y"), [F.col("x") > 2], halo=1)
+    assert "Broadcast" not in found._jdf.queryExecution().sparkPlan().toString() and {r["k"] for r in found.collect()} == {1, 2}
